@@ -18,9 +18,11 @@ def contained_names(
     """
     t = F.col(text)
     starts = F.sequence(F.lit(1), F.length(t))
-    pieces = F.flatten(
-        F.array(*[F.transform(starts, lambda i, n=n: t.substr(i, F.lit(n))) for n in range(1, gram + 1)])
-    )
+
+    def pieces_of(length: int) -> Column:
+        return F.transform(starts, lambda i: t.substr(i, F.lit(length)))
+
+    pieces = F.flatten(F.array(*[pieces_of(n) for n in range(1, gram + 1)]))
     distinct = texts.select(text).where(t.isNotNull() & (F.length(t) > 0)).distinct()
     grams = distinct.select(text, F.explode(F.array_distinct(pieces)).alias("_gram"))
     keyed = names.where(F.length(name) > 0).withColumn("_gram", F.substring(F.col(name), 1, gram))

@@ -14,7 +14,7 @@ HOT_ROWS = 1_000_000
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (for files: what the scan has to read)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

@@ -85,7 +85,7 @@ def game_group_stats(orders: DataFrame, share: float = MEDIAN_SHARE, min_rows: i
         F.min("_won_min").cast("double").alias("return_min"),
         F.max("_bet_max").cast("double").alias("bet_max"),
         ratio(F.sum("_monetary"), F.sum("_bets")).alias("bet_avg"),
-        F.avg(of_rated(money)).alias("monetary_mean"),
+        ratio(F.sum(of_rated(F.col("_monetary"))), F.count("_rate")).alias("monetary_mean"),
         F.stddev_samp(of_rated(money)).alias("monetary_std"),
         F.avg(of_rated(bets)).alias("cnt_mean"),
         F.stddev_samp(of_rated(bets)).alias("cnt_std"),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,18 @@ def _balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in by]) if by else df.hint("rebalance")
 
 
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Inserts into a catalog table follow the session setting, not an option of the writer."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Replace only those partitions of ``path`` that occur in ``df``."""
     (
@@ -45,7 +58,8 @@ def insert_overwrite(df: DataFrame, table: str) -> None:
     target = spark.table(table)
     by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     aligned = _balanced(df.select(*target.columns), by)
-    aligned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    with _overwrite_mode(spark, "dynamic"):
+        aligned.write.insertInto(table, overwrite=True)
 
 
 def replace_key(df: DataFrame, table: str, key: dict[str, str | int]) -> None:
@@ -53,10 +67,11 @@ def replace_key(df: DataFrame, table: str, key: dict[str, str | int]) -> None:
     spark = df.sparkSession
     rest = [c for c in spark.table(table).columns if c not in key]
     spec = ", ".join(f"`{k}` = {v!r}" for k, v in key.items())
-    spark.sql(
-        f"insert overwrite table {table} partition ({spec}) select * from {{rows}}",
-        rows=_balanced(df.select(*rest), []),
-    )
+    with _overwrite_mode(spark, "static"):
+        spark.sql(
+            f"insert overwrite table {table} partition ({spec}) select * from {{rows}}",
+            rows=_balanced(df.select(*rest), []),
+        )
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-MAX_BYTES_PER_TRIGGER = "1g"
+MAX_BYTES_PER_TRIGGER = 1 << 30
 INTERVAL = "20 seconds"
 
 
@@ -20,7 +20,7 @@ def read_event_files(
     path: str,
     schema: StructType,
     format: str = "parquet",
-    max_bytes: str = MAX_BYTES_PER_TRIGGER,
+    max_bytes: int = MAX_BYTES_PER_TRIGGER,
     **options: str,
 ) -> DataFrame:
     """Stream of the files of a folder (or glob), oldest first.
@@ -30,7 +30,7 @@ def read_event_files(
     return (
         spark.readStream.format(format)
         .schema(schema)
-        .options(maxBytesPerTrigger=max_bytes, **options)
+        .options(maxBytesPerTrigger=str(max_bytes), **options)
         .load(path)
     )
 
