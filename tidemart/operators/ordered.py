@@ -3,7 +3,8 @@
 A window over ``partitionBy(key).orderBy(time)`` puts each key into one task. Here the few keys that
 hold a large share of the rows are first cut into consecutive slices of their order; windows run
 inside ``(key, slice)``, and what has to cross a slice boundary is carried over in a table with one
-row per slice. Ordinary keys have a null slice and are not cut at all.
+row per slice. Ordinary keys have a null slice and are not cut at all. Where the scans are so small
+that a whole group fits into one task, the plain window is planned instead.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import left_join_null_safe
-from .sizes import HOT_ROWS, HOT_SHARE, hot_groups, mark_hot
+from .sizes import HOT_ROWS, HOT_SHARE, LITTLE_BYTES, hot_groups, mark_hot, reads_little
 
 SLICE = "_slice"
 
@@ -40,9 +41,7 @@ def slice_hot_groups(
     from min, max and count only, so they are the same each time Spark computes them.
     """
     pos = _position(order, df)
-    hot = hot_groups(
-        df, keys, F.min(pos).alias("_low"), F.max(pos).alias("_high"), share=share, min_rows=min_rows
-    )
+    hot = hot_groups(df, keys, {"_low": F.min(pos), "_high": F.max(pos)}, share, min_rows)
     pieces = F.ceil(2 * F.col("_rows") / F.col("_limit"))
     part = F.floor((pos - F.col("_low")) / (F.col("_high") - F.col("_low") + 1) * pieces)
     number = F.struct(*[F.col(m) for m in major or []], F.coalesce(part, F.lit(-1)).alias("_part"))
@@ -54,11 +53,20 @@ def slice_hot_groups(
 
 
 def _neighbour(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, forward: bool, **hot: float
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: Column,
+    out: str,
+    forward: bool,
+    little: int = LITTLE_BYTES,
+    **hot: float,
 ) -> DataFrame:
+    shift = F.lead if forward else F.lag
+    if reads_little(df, little):
+        return df.withColumn(out, shift(value).over(W.partitionBy(*keys).orderBy(*order)))
     major, time = order[:-2], order[-2]
     sliced = slice_hot_groups(df, keys, time, major, **hot).withColumn("_value", F.struct(value.alias("v")))
-    shift = F.lead if forward else F.lag
     inside = sliced.withColumn(
         "_near", shift("_value").over(W.partitionBy(*keys, SLICE).orderBy(*order))
     )
@@ -94,8 +102,24 @@ def next_value(
     return _neighbour(df, keys, order, value, out, forward=True, **hot)
 
 
+def _longest(runs: DataFrame, keys: list[str], out: str) -> DataFrame:
+    return (
+        runs.groupBy(*keys, "_run")
+        .agg(F.sum("_hits").alias("_hits"))
+        .groupBy(*keys)
+        .agg(F.max("_hits").cast("int").alias(out))
+    )
+
+
 def longest_runs(
-    df: DataFrame, keys: list[str], order: list[str], hit: Column, reset: Column, out: str, **hot: float
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    hit: Column,
+    reset: Column,
+    out: str,
+    little: int = LITTLE_BYTES,
+    **hot: float,
 ) -> DataFrame:
     """Per group, the most ``hit`` rows between two ``reset`` rows in the given order.
 
@@ -103,13 +127,16 @@ def longest_runs(
     runs that continue over a slice boundary get the same number because every slice starts from the
     resets of the slices before it.
     """
-    flags = df.withColumns({"_reset": reset.cast("int"), "_hit": (hit & ~reset).cast("int")})
+    flags = df.withColumns({"_reset": reset.cast("int"), "_hits": (hit & ~reset).cast("int")})
+    if reads_little(df, little):
+        rows = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        return _longest(flags.withColumn("_run", F.sum("_reset").over(rows)), keys, out)
     sliced = slice_hot_groups(flags, keys, order[-2], order[:-2], **hot)
     rows = W.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     local = (
         sliced.withColumn("_run", F.sum("_reset").over(rows))
         .groupBy(*keys, SLICE, "_run")
-        .agg(F.sum("_hit").alias("_hits"))
+        .agg(F.sum("_hits").alias("_hits"))
     )
     before = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
@@ -119,14 +146,10 @@ def longest_runs(
         .withColumn("_offset", F.coalesce(F.sum("_resets").over(before), F.lit(0)))
         .drop("_resets")
     )
-    return (
-        left_join_null_safe(local, F.broadcast(offsets), [*keys, SLICE])
-        .withColumn("_run", F.col("_run") + F.coalesce(F.col("_offset"), F.lit(0)))
-        .groupBy(*keys, "_run")
-        .agg(F.sum("_hits").alias("_hits"))
-        .groupBy(*keys)
-        .agg(F.max("_hits").cast("int").alias(out))
+    whole = left_join_null_safe(local, F.broadcast(offsets), [*keys, SLICE]).withColumn(
+        "_run", F.col("_run") + F.coalesce(F.col("_offset"), F.lit(0))
     )
+    return _longest(whole, keys, out)
 
 
 def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, left_join_null_safe, ratio
-from ..operators.sizes import HOT_ROWS, hot_groups, mark_hot
+from ..operators.sizes import HOT_ROWS, LITTLE_BYTES, hot_groups, mark_hot, reads_little
 from ..operators.statistics import exact_medians
 
 GROUP = ["gametype", "product_id", "platform"]
@@ -49,20 +49,27 @@ def _user_values(users: DataFrame) -> DataFrame:
     )
 
 
-def game_group_stats(orders: DataFrame, share: float = MEDIAN_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
+def game_group_stats(
+    orders: DataFrame, share: float = MEDIAN_SHARE, min_rows: int = HOT_ROWS, little: int = LITTLE_BYTES
+) -> DataFrame:
     """All group and user statistics, without the dimension keys.
 
     One shuffle by (group, user) gives a row per user, and a second, map-side combined one gives the
     groups. Medians need all users of a group: ordinary groups use the built-in aggregate; groups with
-    a large share of the rows leave it out and use the distributed median instead.
+    a large share of the rows leave it out and use the distributed median instead. Where the scans
+    are small there can be no such group, and the second way is not planned.
     """
     zero = F.lit(0).cast(MONEY)
     amounts = {"_account": "account", "_valid": "valid_account", "_won": "cus_account"}
     rows = orders.where(F.col("game_kind").isin(*GAME_KINDS)).select(
         *GROUP, "loginname", *[F.coalesce(F.col(c).cast(MONEY), zero).alias(n) for n, c in amounts.items()]
     )
-    hot = hot_groups(rows, GROUP, share=share, min_rows=min_rows)
-    marked = mark_hot(rows, hot, GROUP).withColumn("_hot", F.col("_rows").isNotNull())
+    all_ordinary = reads_little(rows, little)
+    if all_ordinary:
+        marked = rows.withColumn("_hot", F.lit(False))
+    else:
+        hot = hot_groups(rows, GROUP, share=share, min_rows=min_rows)
+        marked = mark_hot(rows, hot, GROUP).withColumn("_hot", F.col("_rows").isNotNull())
     users = _per_user(marked, "_hot")
     rated = F.col("_rate").isNotNull()
 
@@ -89,12 +96,15 @@ def game_group_stats(orders: DataFrame, share: float = MEDIAN_SHARE, min_rows: i
         F.stddev_samp(of_rated(money)).alias("monetary_std"),
         F.avg(of_rated(bets)).alias("cnt_mean"),
         F.stddev_samp(of_rated(bets)).alias("cnt_std"),
-        *[F.median(F.when(rated & ~F.col("_hot"), v)).alias(f"_{m}") for m, v in values.items()],
+        *[F.median(F.when(rated & ~F.col("_hot"), v)).alias(m) for m, v in values.items()],
     )
+    if all_ordinary:
+        return groups
     hot_users = _user_values(_per_user(marked.where(F.col("_hot"))))
     medians = exact_medians(hot_users, GROUP, MEDIANS)
+    renamed = medians.select(*GROUP, *[F.col(m).alias(f"_{m}") for m in MEDIANS])
     return (
-        left_join_null_safe(groups, medians, GROUP)
+        left_join_null_safe(groups, renamed, GROUP)
         .withColumns({m: F.coalesce(F.col(m), F.col(f"_{m}")) for m in MEDIANS})
         .drop(*[f"_{m}" for m in MEDIANS])
     )
