@@ -64,18 +64,15 @@ def bank_cleanse(
     ``cities`` has (city, province). The two city rules look at every distinct text once; a text that
     very many cards share is one row there, and is split at run time when joined back.
     """
-    area_text = F.col("province")
     cards = (
-        with_login_name(customer_banks.where(F.col("priority_order") == 1), customers)
-        .withColumn("_area", _after_comma(area_text))
+        customer_banks.where(F.col("priority_order") == 1)
+        .withColumn("_area", _after_comma(F.col("province")))
         .withColumn("country", _country(F.col("country"), F.col("product_id")))
         .withColumn("province", _province(F.col("province"), F.col("country")))
     )
-    # the last union covers rule 8, where the area text becomes the name of a municipality
-    texts = (
-        cards.select(F.col("province").alias("_text"))
-        .union(cards.select("_area"))
-        .union(inline_table(cities.sparkSession, ["_text"], [[m] for m in MUNICIPALITIES]))
+    # the union covers rule 8, where the area text becomes the name of a municipality
+    texts = cards.select(F.explode(F.array("province", "_area")).alias("_text")).union(
+        inline_table(cities.sparkSession, ["_text"], [[m] for m in MUNICIPALITIES])
     )
     found = contained_names(
         texts, "_text", cities.select("city", F.col("province").alias("city_province")),
@@ -87,7 +84,7 @@ def bank_cleanse(
     matched = cards.join(by_province, "province", "left").withColumn("province", province)
     is_municipality = F.col("province").isin(*MUNICIPALITIES)
     placed = matched.withColumn("_area", F.when(is_municipality, F.col("province")).otherwise(F.col("_area")))
-    named = placed.join(by_area, "_area", "left")
+    named = with_login_name(placed.join(by_area, "_area", "left"), customers)
     area = F.regexp_replace(F.coalesce("_city", "_area"), AREA_NOISE, "")
     return named.select(
         user_key("product_id", "login_name").alias("user_fk"),

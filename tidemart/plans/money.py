@@ -1,8 +1,9 @@
 """Hourly deposits, withdrawals and rebates per user.
 
-The logs are reduced to one row per customer, hour and code group before they meet the customer
-table. That join then moves aggregates instead of log lines, and a customer with very many lines is a
-handful of rows by then. Counts, sums, maxima and minima all carry over to the second aggregate.
+A customer table that is small enough to broadcast meets the log lines where they are read, and the
+only shuffle is that of the partial sums. With a larger one the lines are first reduced to one row per
+customer, hour and code group: the join then moves sums instead of lines, and a customer with very many
+lines is a handful of rows by then. Counts, sums, maxima and minima combine the same way both times.
 """
 
 from __future__ import annotations
@@ -21,14 +22,14 @@ from ..functions.columns import money
 from ..functions.keys import user_key
 from ..functions.times import iso_day, iso_hour
 from ..operators.lookups import strict_lookup
+from ..operators.sizes import BROADCAST_BYTES, is_small
 from .runs import Days, rows_of_run, with_login_name
 
-_FIRST = {
-    "n": lambda n, x: F.sum(n),
-    "total": lambda n, x: F.sum(x),
-    "top": lambda n, x: F.max(x),
-    "low": lambda n, x: F.min(x),
-}
+
+def _combine(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("top").alias("top"), F.min("low").alias("low")
+    )
 
 
 def _per_user_hour(
@@ -40,38 +41,34 @@ def _per_user_hour(
     count: Column,
     amount: Column,
     extra: dict[str, Column] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     extra = extra or {}
-    keys = ["product_id", "customer_id", "snapshot_date"]
-    per_customer = rows.groupBy(
-        *keys,
+    customer = ["product_id", "customer_id", "snapshot_date"]
+    group = ["full_date_hour", *extra, "currency", "dt"]
+    lines = rows.select(
+        *customer,
         iso_hour("created_date").alias("full_date_hour"),
         F.col("currency").alias("currency_code"),
         *[c.alias(name) for name, c in extra.items()],
         iso_day("created_date").alias("dt"),
-    ).agg(*[make(count, amount).alias(name) for name, make in _FIRST.items()])
-    keyed = strict_lookup(
-        per_customer, hours, F.col("full_date_hour"), "full_date_hour", "date_hour_sk", "date_hour_fk", True
+        count.alias("n"),
+        *[amount.alias(name) for name in ("total", "top", "low")],
+    )
+    if not is_small(customers, broadcast_bytes):
+        lines = _combine(lines, [*customer, "full_date_hour", *extra, "currency_code", "dt"])
+    priced = strict_lookup(
+        lines, currencies, F.col("currency_code"), "currency_code", "currency_id", "currency"
     )
-    keyed = strict_lookup(
-        keyed, currencies, F.col("currency_code"), "currency_code", "currency_id", "currency"
+    named = with_login_name(priced, customers).withColumn("user_fk", user_key("product_id", "login_name"))
+    facts = strict_lookup(
+        _combine(named, [*group, "user_fk"]),
+        hours, F.col("full_date_hour"), "full_date_hour", "date_hour_sk", "date_hour_fk", True,
     )
-    return (
-        with_login_name(keyed, customers)
-        .groupBy(
-            F.col("date_hour_fk").cast("bigint").alias("date_hour_fk"),
-            user_key("product_id", "login_name").alias("user_fk"),
-            *extra,
-            "currency",
-            F.lit(load_time).alias("load_time"),
-            "dt",
-        )
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("total").cast("double").alias("total"),
-            F.max("top").cast("double").alias("top"),
-            F.min("low").cast("double").alias("low"),
-        )
+    return facts.select(
+        F.col("date_hour_fk").cast("bigint").alias("date_hour_fk"), "user_fk", *extra, "currency",
+        *["n", *[F.col(c).cast("double").alias(c) for c in ("total", "top", "low")]],
+        F.lit(load_time).alias("load_time"), "dt",
     )
 
 
@@ -82,12 +79,14 @@ def deposit_hourly(
     currencies: DataFrame,
     load_time: str,
     days: Days = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Deposit count and amount per hour, user, channel and currency."""
     rows = rows_of_run(credit_logs.where(F.col("trans_code").isin(*DEPOSIT_CODES)), "created_date", days)
     channel = {"deposit_channel_fk": deposit_channel("trans_code", "sub_type")}
     facts = _per_user_hour(
-        rows, customers, hours, currencies, load_time, F.lit(1), money("amount"), channel
+        rows, customers, hours, currencies, load_time, F.lit(1), money("amount"), channel,
+        broadcast_bytes,
     )
     return facts.select(
         "date_hour_fk", "user_fk", "deposit_channel_fk", "currency",
@@ -103,6 +102,7 @@ def withdraw_hourly(
     currencies: DataFrame,
     load_time: str,
     days: Days = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Withdrawals per hour, user and currency; reversals count negative, extremes stop at zero."""
     codes = (WITHDRAW_CODE, *WITHDRAW_REVERSALS)
@@ -110,7 +110,9 @@ def withdraw_hourly(
     sign = F.when(F.col("trans_code") == WITHDRAW_CODE, 1).otherwise(-1)
     amount = money("amount")
     signed = F.when(F.col("trans_code") == WITHDRAW_CODE, amount).otherwise(-amount)
-    facts = _per_user_hour(rows, customers, hours, currencies, load_time, sign, signed)
+    facts = _per_user_hour(
+        rows, customers, hours, currencies, load_time, sign, signed, broadcast_bytes=broadcast_bytes
+    )
     zero = F.lit(0.0)
     return facts.select(
         "date_hour_fk", "user_fk", "currency",
@@ -129,11 +131,13 @@ def rebate_hourly(
     currencies: DataFrame,
     load_time: str,
     days: Days = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rebates per hour, user and currency."""
     rows = rows_of_run(credit_logs.where(F.col("trans_code") == REBATE_CODE), "created_date", days)
     facts = _per_user_hour(
-        rows, customers, hours, currencies, load_time, F.lit(1), money("game_amount")
+        rows, customers, hours, currencies, load_time, F.lit(1), money("game_amount"),
+        broadcast_bytes=broadcast_bytes,
     )
     return facts.select(
         "date_hour_fk", "user_fk", "currency",

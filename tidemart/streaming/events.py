@@ -56,14 +56,25 @@ def gaps(events: DataFrame, key: str, time: str, tie: str) -> DataFrame:
     schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", gap bigint"
 
     def step(group: tuple, chunks: Iterator[Any], state: GroupState) -> Iterator[Any]:
+        import numpy as np
         import pandas as pd
 
-        batch = pd.concat(list(chunks)).sort_values([time, tie], kind="stable")
-        gap = batch[time].diff().astype("Int64")
-        if state.exists:
-            gap.iloc[0] = int(batch[time].iloc[0]) - state.get[0]
-        state.update((int(batch[time].iloc[-1]),))
-        yield batch.assign(gap=gap)[[*columns, "gap"]]
+        parts = list(chunks)
+        batch = parts[0] if len(parts) == 1 else pd.concat(parts)
+        times, ties = batch[time].to_numpy(), batch[tie].to_numpy()
+        order = np.lexsort((ties, times))
+        times = times[order]
+        first = state.get[0] if state.exists else times[0]
+        gap = np.diff(times, prepend=first)
+        missing = np.zeros(len(times), dtype=bool)
+        missing[0] = not state.exists
+        state.update((int(times[-1]),))
+        yield pd.DataFrame({
+            key: batch[key].to_numpy()[order],
+            time: times,
+            tie: ties[order],
+            "gap": pd.arrays.IntegerArray(gap, missing),
+        })
 
     return rows.groupBy(key).applyInPandasWithState(
         step, schema, "last bigint", "append", GroupStateTimeout.NoTimeout
