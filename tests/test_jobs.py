@@ -233,6 +233,10 @@ def test_funnel(spark, rows):
         (DAY, "其他", 0, 0, 0, 1, 1, 1, "h"),
         ("2018-04-16", "c", 0, 1, 1, 0, 0, 0, "g"),
     ]
+    once = funnel.funnel_tags(clicks, config, unique_per_name=True).withColumn("name", F.unbase64("tag_name").cast("string"))
+    assert rows(once.where(F.col("full_date") == DAY), "name", *funnel.COUNTS, "game_type") == [
+        ("a", 3, 1, 3, 2, 2, "g"), ("b", 0, 0, 0, 0, 0, "0"), ("b", 2, 1, 3, 2, 2, "g"), ("其他", 0, 0, 1, 1, 1, "h"),
+    ]
     runs = spark.createDataFrame([("A01", "2018-04-17"), ("A01", "2018-04-16")], "product_id string, dt string")
     chosen = funnel.funnel_tags(clicks, config, runs)
     assert rows(chosen, "full_date", "visitors_count", "game_type") == [("2018-04-16", 1, "g"), ("2018-04-17", 0, "0")]

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidemart.operators import lookups, matching, ordered, ranges, sizes
+from tidemart.operators import lookups, matching, ordered, ranges, sizes, uniques
 from tidemart.operators.statistics import exact_medians
 
 PLAIN = {}
@@ -186,3 +186,22 @@ def test_contained_names_equals_a_loop(spark, rows, gram):
             want.append((t, inside[0], inside[0].upper()))
     found = matching.contained_names(df, "t", dim, "name", matching.longest_name_first("name"), gram)
     assert rows(found) == sorted(want, key=repr)
+
+
+def test_totals_and_uniques(spark, rows):
+    rnd = random.Random(7)
+    data = [(rnd.choice(["a", "b", None]), rnd.choice([None, *"stuv"]), rnd.choice([None, 1, 2, 3]), rnd.randrange(3)) for _ in range(300)]
+    df = spark.createDataFrame(data, "k string, session string, user int, x int")
+    big, small = F.col("x") == 2, F.col("x") == 0
+    found = uniques.totals_and_uniques(
+        df, ["k"], {"n": uniques.ones(big), "total": F.col("x")},
+        {"session": {"s_big": big, "s_small": small}, "user": {"u_big": big}},
+    )
+    want = []
+    for k in ("a", "b", None):
+        mine = [d for d in data if d[0] == k]
+        want.append((
+            k, sum(d[3] == 2 for d in mine), sum(d[3] for d in mine), len({d[1] for d in mine if d[3] == 2}),
+            len({d[1] for d in mine if d[3] == 0}), len({d[2] for d in mine if d[3] == 2}),
+        ))
+    assert rows(found, "k", "n", "total", "s_big", "s_small", "u_big") == sorted(want, key=repr)

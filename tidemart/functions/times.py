@@ -30,6 +30,11 @@ def iso_hour(t: Column | str) -> Column:
     return F.substring_index(F.translate(col(t), "T", "-"), ":", 1)
 
 
+def day_of_hour(hour: Column | str) -> Column:
+    """``yyyy-MM-dd-HH`` → ``yyyy-MM-dd``."""
+    return F.substring_index(col(hour), "-", 3)
+
+
 def iso_text(t: Column | str) -> Column:
     """Timestamp → ISO text in whole seconds with the fixed offset."""
     return F.concat(F.date_format(col(t), "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000" + ISO_OFFSET))

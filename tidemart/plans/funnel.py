@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import base64_text, int_or
 from ..functions.columns import col
 from ..operators.lookups import as_of_version
+from ..operators.uniques import ones, totals_and_uniques
 
 # Name and game type of rows that only one side of the join has.
 OTHER_TAG = "其他"
@@ -18,29 +19,14 @@ COUNTS = (
 )
 
 
-def _distinct(condition: Column, value: str) -> Column:
-    """Distinct values under a condition, a missing value counting as one more."""
-    return F.count_distinct(F.when(condition, F.struct(value)))
-
-
-def tag_counts(clicks: DataFrame) -> DataFrame:
-    """Visitor and member counts per product, run day, tag, click day and game type.
-
-    An empty user id is a visitor. Spark spreads each distinct count over (group, value) first, so a
-    tag with a large share of the clicks is not gathered in one task.
-    """
-    visitor = F.col("user_id") == ""
-    member = ~F.coalesce(visitor, F.lit(False))
-    return clicks.groupBy(
-        F.col("p_id").alias("product_id"), "dt", F.col("tag_id").alias("tag"),
-        F.substring_index("click_time", "T", 1).alias("click_day"),
-        F.col("game_type_sk").alias("game_type"),
-    ).agg(
-        F.count_if(visitor).alias(COUNTS[0]),
-        _distinct(visitor, "session_id").alias(COUNTS[1]),
-        F.count_if(member).alias(COUNTS[2]),
-        _distinct(member, "user_id").alias(COUNTS[3]),
-        _distinct(member, "session_id").alias(COUNTS[4]),
+def visit_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Visitor and member counts of session_id and user_id; an empty user id is a visitor."""
+    visitor = F.coalesce(F.col("user_id") == "", F.lit(False))
+    return totals_and_uniques(
+        rows,
+        keys,
+        {COUNTS[0]: ones(visitor), COUNTS[2]: ones(~visitor)},
+        {"session_id": {COUNTS[1]: visitor, COUNTS[4]: ~visitor}, "user_id": {COUNTS[3]: ~visitor}},
     )
 
 
@@ -55,14 +41,16 @@ def split_label(label: Column | str) -> dict[str, Column]:
     }
 
 
-def funnel_tags(clicks: DataFrame, config: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+def funnel_tags(
+    clicks: DataFrame, config: DataFrame, runs: DataFrame | None = None, unique_per_name: bool = False
+) -> DataFrame:
     """Funnel rows of many daily runs at once.
 
     ``clicks``: click_time, tag_id, session_id, user_id, p_id, game_type_sk, dt. ``config``:
     product_id, version, tag_name, tag. ``runs``: product_id, dt (default: all that have clicks); each
     run uses the latest config version not after its day. Tags without a config go to 其他, configured
-    tags without clicks get zero counts. Unique counts are added up over the tags of a name, not
-    counted again.
+    tags without clicks get zero counts. Unique counts are taken per tag and click day and added up over
+    the tags of a name; ``unique_per_name=True`` counts a person once per name instead.
     """
     with_clicks = clicks.select(F.col("p_id").alias("product_id"), "dt").distinct()
     if runs is not None:
@@ -76,13 +64,27 @@ def funnel_tags(clicks: DataFrame, config: DataFrame, runs: DataFrame | None = N
         .select("product_id", "dt", "tag", "tag_name")
         .distinct()
     )
-    joined = tag_counts(clicks).join(tags, ["product_id", "dt", "tag"], "full")
-    filled = joined.fillna({"tag_name": OTHER_TAG, "game_type": NO_GAME, **dict.fromkeys(COUNTS, 0)})
-    summed = filled.groupBy("dt", F.col("tag_name").alias("_label"), "product_id", "game_type").agg(
-        *[F.sum(c).alias(c) for c in COUNTS]
+    rows = clicks.select(
+        F.col("p_id").alias("product_id"), "dt", F.col("tag_id").alias("tag"),
+        F.substring_index("click_time", "T", 1).alias("click_day"),
+        F.col("game_type_sk").alias("game_type"), "session_id", "user_id",
     )
+    run_tag, named = ["product_id", "dt", "tag"], ["product_id", "dt", "tag_name", "game_type"]
+    if unique_per_name:
+        known = rows.join(tags, run_tag, "left").fillna(OTHER_TAG, "tag_name")
+        unseen = tags.join(rows.select(*run_tag).distinct(), run_tag, "left_anti")
+        zeros = unseen.select(
+            "product_id", "dt", "tag_name", F.lit(NO_GAME).alias("game_type"), *[F.lit(0).alias(c) for c in COUNTS]
+        )
+        counted = visit_counts(known, named).unionByName(zeros)
+    else:
+        counts = visit_counts(rows, [*run_tag, "click_day", "game_type"])
+        counted = counts.join(tags, run_tag, "full").fillna(
+            {"tag_name": OTHER_TAG, "game_type": NO_GAME, **dict.fromkeys(COUNTS, 0)}
+        )
+    summed = counted.groupBy(*named).agg(*[F.sum(c).alias(c) for c in COUNTS])
     return summed.select(
-        *[c.alias(name) for name, c in split_label("_label").items()],
+        *[c.alias(name) for name, c in split_label("tag_name").items()],
         *COUNTS,
         "game_type",
         "product_id",

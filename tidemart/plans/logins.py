@@ -19,7 +19,7 @@ from ..functions.codes import (
     login_domain,
 )
 from ..functions.keys import user_key
-from ..functions.times import iso_day, iso_hour
+from ..functions.times import day_of_hour, iso_hour
 from ..operators.lookups import strict_lookup
 from .runs import Days, rows_of_run
 
@@ -32,7 +32,6 @@ def _counts(
         iso_hour("login_time").alias("full_date_hour"),
         user_key("product_id", "login_name").alias("user_fk"),
         *[c.alias(name) for name, c in extra.items()],
-        iso_day("login_time").alias("dt"),
     ).agg(F.count(F.lit(1)).alias("login_count"))
     keyed = strict_lookup(
         counted, hours, F.col("full_date_hour"), "full_date_hour", "date_hour_sk", "date_hour_fk", True
@@ -43,7 +42,7 @@ def _counts(
         *extra,
         "login_count",
         F.lit(load_time).alias("load_time"),
-        "dt",
+        day_of_hour("full_date_hour").alias("dt"),
     )
 
 

@@ -47,10 +47,12 @@ def active_days(logins: DataFrame, last_day: str, days: int = LOGIN_DAYS, recent
     first, first_recent = days_before(last_day, days - 1), days_before(last_day, recent - 1)
     return (
         logins.where(F.col("dt").between(first, last_day))
+        .select("user_fk", "dt")
+        .distinct()
         .groupBy("user_fk")
         .agg(
-            F.count_distinct("dt").alias("cnt_30"),
-            F.count_distinct(F.when(F.col("dt") >= first_recent, F.col("dt"))).alias("cnt_7"),
+            F.count(F.lit(1)).alias("cnt_30"),
+            F.count_if(F.col("dt") >= first_recent).alias("cnt_7"),
         )
     )
 

@@ -20,7 +20,7 @@ from ..functions.codes import (
 )
 from ..functions.columns import money
 from ..functions.keys import user_key
-from ..functions.times import iso_day, iso_hour
+from ..functions.times import day_of_hour, iso_hour
 from ..operators.lookups import strict_lookup
 from ..operators.sizes import BROADCAST_BYTES, is_small
 from .runs import Days, rows_of_run, with_login_name
@@ -44,23 +44,23 @@ def _per_user_hour(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     extra = extra or {}
-    customer = ["product_id", "customer_id", "snapshot_date"]
-    group = ["full_date_hour", *extra, "currency", "dt"]
+    customer = ["product_id", "customer_id"]
+    group = ["full_date_hour", *extra, "currency"]
     lines = rows.select(
         *customer,
         iso_hour("created_date").alias("full_date_hour"),
         F.col("currency").alias("currency_code"),
         *[c.alias(name) for name, c in extra.items()],
-        iso_day("created_date").alias("dt"),
         count.alias("n"),
         *[amount.alias(name) for name in ("total", "top", "low")],
     )
     if not is_small(customers, broadcast_bytes):
-        lines = _combine(lines, [*customer, "full_date_hour", *extra, "currency_code", "dt"])
+        lines = _combine(lines, [*customer, "full_date_hour", *extra, "currency_code"])
     priced = strict_lookup(
         lines, currencies, F.col("currency_code"), "currency_code", "currency_id", "currency"
     )
-    named = with_login_name(priced, customers).withColumn("user_fk", user_key("product_id", "login_name"))
+    dated = priced.withColumn("snapshot_date", day_of_hour("full_date_hour"))
+    named = with_login_name(dated, customers).withColumn("user_fk", user_key("product_id", "login_name"))
     facts = strict_lookup(
         _combine(named, [*group, "user_fk"]),
         hours, F.col("full_date_hour"), "full_date_hour", "date_hour_sk", "date_hour_fk", True,
@@ -68,7 +68,7 @@ def _per_user_hour(
     return facts.select(
         F.col("date_hour_fk").cast("bigint").alias("date_hour_fk"), "user_fk", *extra, "currency",
         *["n", *[F.col(c).cast("double").alias(c) for c in ("total", "top", "low")]],
-        F.lit(load_time).alias("load_time"), "dt",
+        F.lit(load_time).alias("load_time"), day_of_hour("full_date_hour").alias("dt"),
     )
 
 

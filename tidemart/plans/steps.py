@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import full_province
@@ -11,6 +11,7 @@ from ..functions.times import iso_millis
 from ..operators.lookups import lookup_with_defaults
 from ..operators.ordered import next_value
 from ..operators.ranges import range_lookup
+from ..operators.uniques import ones, totals_and_uniques
 
 # Text for anything unknown, the guest marker and the city suffix.
 UNKNOWN = "未知"
@@ -118,24 +119,23 @@ def process_hourly(steps: DataFrame, hours: DataFrame, load_time: str, day: str
     error = F.col("errCode") == 1
     ended = (F.col("errCode") == 0) & (F.col("t_action") == 0.0)
 
-    def views(condition: Column) -> Column:
-        return F.count_if(condition)
-
-    def visitors(condition: Column, who: str) -> Column:
-        return F.count_distinct(F.when(condition, F.struct(who)))
-
-    return keyed.groupBy(*FACT_KEYS, "hour_num", "snapshot_date").agg(
-        views(guest).alias("guest_pv"),
-        visitors(guest, "session_id").alias("guest_uv"),
-        views(~guest).alias("mpv"),
-        visitors(~guest, "user_id").alias("muv"),
-        views(error).alias("err_pv"),
-        visitors(error, "session_id").alias("err_uv"),
-        views(ended).alias("terminate_pv"),
-        visitors(ended, "session_id").alias("terminate_uv"),
-        F.sum(F.col("t_action").cast("decimal(18,3)")).cast("double").alias("total_action_time"),
-    ).select(
+    counted = totals_and_uniques(
+        keyed,
+        [*FACT_KEYS, "hour_num", "snapshot_date"],
+        {
+            "guest_pv": ones(guest),
+            "mpv": ones(~guest),
+            "err_pv": ones(error),
+            "terminate_pv": ones(ended),
+            "total_action_time": F.col("t_action").cast("decimal(18,3)"),
+        },
+        {
+            "session_id": {"guest_uv": guest, "err_uv": error, "terminate_uv": ended},
+            "user_id": {"muv": ~guest},
+        },
+    )
+    return counted.select(
         *FACT_KEYS, "guest_pv", "guest_uv", "mpv", "muv", "err_pv", "err_uv", "terminate_pv",
-        "terminate_uv", "total_action_time", "hour_num", F.lit(load_time).alias("load_time"),
-        "snapshot_date",
+        "terminate_uv", F.col("total_action_time").cast("double").alias("total_action_time"),
+        "hour_num", F.lit(load_time).alias("load_time"), "snapshot_date",
     )
