@@ -37,8 +37,9 @@ def slice_hot_groups(
     """Add ``_slice``: null in ordinary groups, else the number of the row's slice.
 
     Slices are equal parts of the group's range of ``order`` (a time or a whole number), about two per
-    ``_limit`` rows. ``major`` names columns that come before ``order`` in the sort. The bounds come
-    from min, max and count only, so they are the same each time Spark computes them.
+    ``_limit`` rows, so all groups together have at most ``3 / share`` of them. ``major`` names columns
+    with few values that come before ``order`` in the sort; each of their values has its own slices. The
+    bounds come from min, max and count only, so they are the same each time Spark computes them.
     """
     pos = _position(order, df)
     hot = hot_groups(df, keys, {"_low": F.min(pos), "_high": F.max(pos)}, share, min_rows)
@@ -70,7 +71,7 @@ def _neighbour(
     inside = sliced.withColumn(
         "_near", shift("_value").over(W.partitionBy(*keys, SLICE).orderBy(*order))
     )
-    # one row per slice: what the neighbouring slice has to know (at most a few per hot group)
+    # one row per slice: what the neighbouring slice has to know
     edge = F.min_by if forward else F.max_by
     edges = (
         sliced.where(F.col(SLICE).isNotNull())

@@ -9,7 +9,7 @@ from ..functions.columns import left_join_null_safe
 
 BROADCAST_BYTES = 32 << 20
 LITTLE_BYTES = 64 << 20
-HOT_SHARE = 1 / 50_000
+HOT_SHARE = 1 / 20_000
 HOT_ROWS = 1_000_000
 
 

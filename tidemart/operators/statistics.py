@@ -30,10 +30,11 @@ def _seek(pieces: DataFrame, group: list[str], order: str) -> DataFrame:
 def exact_medians(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """Exact median of each column per group (mean of the two middle values), nulls ignored.
 
-    Nothing is gathered per group. Pass 1 counts coarse logarithmic bins and finds the ones with the
-    middle ranks; pass 2 cuts those bins into equal cells; pass 3 counts the distinct values of the
-    middle cells. Every pass is a map-side combined count over the rows the pass before left over, and
-    all decisions rest on exact counts.
+    Meant for few but large groups: nothing is gathered per group, and what is broadcast is at most two
+    rows per group and column. The values are first counted, so equal ones become one row. Pass 1 adds up
+    the counts in coarse logarithmic bins and finds the bins with the middle ranks; pass 2 does the same
+    with equal cells inside those bins; pass 3 orders the values of the middle cells. All passes read the
+    same shuffled counts, and all decisions rest on exact numbers.
     """
     group = ["_g", "_measure"]
     measures = F.array(
@@ -42,12 +43,14 @@ def exact_medians(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame
     values = (
         df.select(F.struct(*by).alias("_g"), F.inline(measures))
         .where(F.col("_v").isNotNull())
+        .groupBy(*group, "_v")
+        .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bin", _log_bin(F.col("_v")))
     )
     total = F.sum("_n").over(W.partitionBy(*group))
     bins = (
         values.groupBy(*group, "_bin")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
         .withColumn("_base", F.lit(0))
         .withColumn("_r1", F.floor((total + 1) / 2))
         .withColumn("_r2", F.floor(total / 2) + 1)
@@ -55,21 +58,18 @@ def exact_medians(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame
     middle = _seek(bins, group, "_bin").select(*group, "_bin", "_low", "_high", "_before", "_r1", "_r2")
     span = F.col("_high") - F.col("_low")
     cell = F.floor(F.coalesce(F.try_divide(F.col("_v") - F.col("_low"), span), F.lit(0.0)) * CELLS)
-    inside = values.join(middle, [*group, "_bin"]).withColumn("_cell", cell)
+    inside = values.join(F.broadcast(middle), [*group, "_bin"]).withColumn("_cell", cell)
     cells = inside.groupBy(*group, "_bin", "_cell").agg(
-        F.count(F.lit(1)).alias("_n"),
+        F.sum("_n").alias("_n"),
         *[F.first(c).alias(c) for c in ("_r1", "_r2")],
         F.first("_before").alias("_base"),
     )
     kept = _seek(cells, [*group, "_bin"], "_cell").select(
         *group, "_bin", "_cell", F.col("_before").alias("_base")
     )
-    counts = (
-        inside.join(kept, [*group, "_bin", "_cell"])
-        .groupBy(*group, "_bin", "_cell", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in ("_base", "_r1", "_r2")])
+    found = _seek(
+        inside.join(F.broadcast(kept), [*group, "_bin", "_cell"]), [*group, "_bin", "_cell"], "_v"
     )
-    found = _seek(counts, [*group, "_bin", "_cell"], "_v")
 
     def at(rank: str) -> Column:
         hit = (F.col("_before") < F.col(rank)) & (F.col("_end") >= F.col(rank))

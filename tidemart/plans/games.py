@@ -11,7 +11,7 @@ from ..operators.statistics import exact_medians
 
 GROUP = ["gametype", "product_id", "platform"]
 GAME_KINDS = (5, 8)
-MEDIAN_SHARE = 1 / 200_000
+MEDIAN_SHARE = 1 / 100_000
 MEDIANS = ["return_rate_median", "monetary_median", "cnt_median"]
 OUTPUT = (
     "game_platform_sk", "product_platform_sk", "member_cnt", "monetary", "valid_monetary",
