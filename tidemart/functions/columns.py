@@ -22,14 +22,6 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Join condition in which null equals null, as it does in a group key."""
-    condition = left[keys[0]].eqNullSafe(right[keys[0]])
-    for k in keys[1:]:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
-
-
 def left_join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on ``keys`` where null keys match too; the keys of ``right`` are dropped."""
     renamed = right.select(

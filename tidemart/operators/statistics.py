@@ -11,9 +11,12 @@ CELLS = 4096
 
 
 def _log_bin(v: Column) -> Column:
-    """A number that never decreases as ``v`` grows, with a bounded number of values."""
+    """A number that never decreases as ``v`` grows, with a bounded number of values.
+
+    It is never null, so that no join adds a null filter below the counts all passes share.
+    """
     size = F.floor(F.log2(F.greatest(F.abs(v), F.lit(1e-12))) * BINS_PER_OCTAVE) + 2000
-    return F.when(v > 0, size).when(v < 0, -size).otherwise(0)
+    return F.coalesce(F.when(v > 0, size).when(v < 0, -size), F.lit(0).cast("bigint"))
 
 
 def _seek(pieces: DataFrame, group: list[str], order: str) -> DataFrame:

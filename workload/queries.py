@@ -115,9 +115,8 @@ def scalar_codes(spark: SparkSession, sf: str) -> DataFrame:
     channels = logs.groupBy(codes.deposit_channel("trans_code", "sub_type").cast("string").alias("label")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    hundreds = logs.groupBy(codes.next_hundred(F.greatest(F.col("amount") - 100000, F.lit(0.0))).cast("string").alias("label")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    hundred = codes.next_hundred(F.greatest(F.col("amount") - 100000, F.lit(0.0)))
+    hundreds = logs.groupBy(hundred.cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
     return (
         names.withColumn("kind", F.lit("province"))
         .unionByName(channels.withColumn("kind", F.lit("channel")))
