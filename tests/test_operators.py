@@ -15,7 +15,8 @@ from tidemart.operators.statistics import exact_medians
 PLAIN = {}
 ALL_HOT = {"little": 0, "min_rows": 0, "share": 1e-9}
 SOME_HOT = {"little": 0, "min_rows": 20, "share": 0.05}
-WAYS = [PLAIN, ALL_HOT, SOME_HOT]
+FINE = {"little": 0, "min_rows": 0, "share": 0.01}
+WAYS = [PLAIN, ALL_HOT, SOME_HOT, FINE]
 SHORT = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
@@ -23,7 +24,7 @@ def skewed(seed, n=600, users=30):
     """Events where user 0 holds a third of the rows and the times have ties and gaps."""
     rnd = random.Random(seed)
     return [
-        (i, 0 if rnd.random() < 0.33 else rnd.randrange(users), rnd.choice([rnd.randrange(50), rnd.randrange(10**9)]))
+        (i, 0 if rnd.random() < 0.33 else rnd.randrange(users), rnd.choice([rnd.randrange(50), rnd.randrange(10**9), 7_000_000 + i]))
         for i in range(n)
     ]
 
@@ -100,11 +101,15 @@ def test_hot_groups_are_few_and_sized(spark, rows):
     assert sizes.hot_groups(df, ["user"], share=share, min_rows=10**6).count() == 0
 
 
-def test_slices_spread_a_hot_group(spark):
-    df = spark.range(10_000).select(F.lit(1).alias("user"), F.col("id").alias("t"))
+@pytest.mark.parametrize("burst", [False, True])
+def test_slices_spread_a_hot_group(spark, rows, burst):
+    t = F.when((F.col("id") > 500) & F.lit(burst), F.col("id") + 1_000_000).otherwise(F.col("id") * 1000)
+    df = spark.range(10_000).select(F.lit(1).alias("user"), "id", t.alias("t"))
     sliced = ordered.slice_hot_groups(df, ["user"], "t", share=0.01, min_rows=0)
-    largest = sliced.groupBy("_slice").count().agg(F.max("count")).first()[0]
-    assert largest <= 100
+    sizes_of = sliced.groupBy("_slice").agg(F.count("*").alias("n"), F.min("t").alias("low"), F.max("t").alias("high"))
+    assert sizes_of.agg(F.max("n")).first()[0] <= 100
+    bounds = [(r["low"], r["high"]) for r in sizes_of.orderBy("_slice").collect()]
+    assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
 
 
 def test_running_sums(spark, rows):

@@ -34,21 +34,40 @@ def slice_hot_groups(
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add ``_slice``: null in ordinary groups, else the number of the row's slice.
+    """Add ``_slice``: null in ordinary groups, else the place of the row's slice in its group.
 
     Slices are equal parts of the group's range of ``order`` (a time or a whole number), about two per
-    ``_limit`` rows, so all groups together have at most ``3 / share`` of them. ``major`` names columns
-    with few values that come before ``order`` in the sort; each of their values has its own slices. The
-    bounds come from min, max and count only, so they are the same each time Spark computes them.
+    ``_limit`` rows; a slice that still holds more than ``_limit`` rows, because the group comes in
+    bursts, is cut once more in the same way. All groups together have at most ``6 / share`` slices.
+    ``major`` names columns with few values that come before ``order`` in the sort; each of their values
+    has its own slices. The bounds come from min, max and count only, so they are the same each time
+    Spark computes them.
     """
     pos = _position(order, df)
-    hot = hot_groups(df, keys, {"_low": F.min(pos), "_high": F.max(pos)}, share, min_rows)
+    extent = {"_low": F.min(pos), "_high": F.max(pos)}
     pieces = F.ceil(2 * F.col("_rows") / F.col("_limit"))
     part = F.floor((pos - F.col("_low")) / (F.col("_high") - F.col("_low") + 1) * pieces)
-    number = F.struct(*[F.col(m) for m in major or []], F.coalesce(part, F.lit(-1)).alias("_part"))
-    return (
+    hot = hot_groups(df, keys, extent, share, min_rows)
+    coarse = F.struct(*[F.col(m) for m in major or []], F.coalesce(part, F.lit(-1)).alias("_part"))
+    cut = (
         mark_hot(df, hot, keys)
-        .withColumn(SLICE, F.when(F.col("_rows").isNotNull(), number))
+        .withColumn(SLICE, F.when(F.col("_rows").isNotNull(), coarse))
+        .drop("_rows", "_low", "_high")
+    )
+    crowded = (
+        cut.where(F.col(SLICE).isNotNull())
+        .groupBy(*keys, SLICE)
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[c.alias(name) for name, c in extent.items()],
+            F.max("_limit").alias("_limit"),
+        )
+        .where(F.col("_rows") > F.col("_limit"))
+    )
+    fine = F.struct(F.col(SLICE).alias("_coarse"), F.coalesce(part, F.lit(0)).alias("_part"))
+    return (
+        mark_hot(cut.drop("_limit"), crowded, [*keys, SLICE])
+        .withColumn(SLICE, F.when(F.col(SLICE).isNotNull(), fine))
         .drop("_rows", "_limit", "_low", "_high")
     )
 
