@@ -440,6 +440,15 @@ def test_win_streaks(spark, rows, way):
     assert levels.count() == sum(w[1] - 4 for w in want if w[1] >= 5)
 
 
+def test_round_bets(spark, rows):
+    schema = "product_id string, platform string, gametype string, game_kind int, playtype int, dt string"
+    good = ("A02", "AGQJ", "BAC", 3, 1, "2018-04-01")
+    others = [good[:i] + (bad,) + good[i + 1:] for i, bad in enumerate(["A01", "PT", "SL", 5, 3, "2018-05-01"])]
+    logs = spark.createDataFrame([good, good[:4] + (2, "2018-04-30"), *others], schema)
+    found = streaks.round_bets(logs, "A02", "AGQJ", "BAC", 3, "2018-04-01", "2018-04-30")
+    assert rows(found, "playtype", "dt") == [(1, "2018-04-01"), (2, "2018-04-30")]
+
+
 def test_streak_report(spark, tmp_path):
     found = spark.createDataFrame([("2018-04-01", "u", 6)], "dt string, user_id string, streak int")
     path = str(tmp_path / "report")

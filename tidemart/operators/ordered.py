@@ -39,8 +39,8 @@ def slice_hot_groups(
     Slices are equal parts of the group's range of ``order`` (a time or a whole number), about two per
     ``_limit`` rows; a slice that still holds more than ``_limit`` rows, because the group comes in
     bursts, is cut once more in the same way. All groups together have at most ``6 / share`` slices.
-    ``major`` names columns with few values that come before ``order`` in the sort; each of their values
-    has its own slices. The bounds come from min, max and count only, so they are the same each time
+    ``major`` names columns with few values (configured step numbers) that come before ``order`` in the
+    sort; each of their values has its own slices, so the bound is multiplied by their number. The bounds come from min, max and count only, so they are the same each time
     Spark computes them.
     """
     pos = _position(order, df)

@@ -16,6 +16,20 @@ LONGEST, SHORTEST = 18, 5
 REPORT_COLUMNS = ("日期", "连赢次数", "用户ID")
 
 
+def round_bets(
+    logs: DataFrame, product_id: str, platform: str, gametype: str, game_kind: int, first_day: str, last_day: str
+) -> DataFrame:
+    """Bets on a side of one game in a range of days; the range prunes the day partitions."""
+    return logs.where(
+        F.col("dt").between(first_day, last_day)
+        & (F.col("product_id") == product_id)
+        & (F.col("platform") == platform)
+        & (F.col("gametype") == gametype)
+        & (F.col("game_kind") == game_kind)
+        & F.col("playtype").isin(*SIDES)
+    )
+
+
 def hedged_rounds(bets: DataFrame, keys: list[str], game: str = "gmcode") -> DataFrame:
     """Rounds in which a player bet on both sides: one combined row per player and round."""
     sides = [F.bool_or(F.coalesce(F.col("playtype") == s, F.lit(False))).alias(f"_side{s}") for s in SIDES]
