@@ -83,7 +83,7 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     """Events with the number of ``props`` as ``k`` and the day as ``dt``."""
     return table(spark, sf, "events").withColumns({
         "k": F.from_json("props", "k int")["k"],
-        "dt": F.date_format("ts", "yyyy-MM-dd"),
+        "dt": F.col("ts").cast("date").cast("string"),
         "iso": F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+08:00")),
     })
 
@@ -123,14 +123,14 @@ def order_credits(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").selectExpr(
         "concat('A0', o_custkey % 3 + 1) as product_id",
         "cast(o_custkey as string) as customer_id",
-        "concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T', lpad(o_orderkey % 24, 2, '0'),"
+        "concat(cast(cast(o_orderdate as date) as string), 'T', lpad(o_orderkey % 24, 2, '0'),"
         " ':30:00.000+08:00') as created_date",
         "case o_orderstatus when 'O' then 'CNY' when 'F' then 'USD' else 'VND' end as currency",
         "case o_orderpriority when '1-URGENT' then '111101' when '2-HIGH' then '111106'"
         " when '5-LOW' then '999999' else '111105' end as trans_code",
         f"element_at(array({subs}), cast(o_orderkey % 7 + 1 as int)) as sub_type",
         "o_totalprice as amount",
-        "date_format(o_orderdate, 'yyyy-MM-dd') as snapshot_date",
+        "cast(cast(o_orderdate as date) as string) as snapshot_date",
     )
 
 
@@ -149,13 +149,13 @@ def line_credits(spark: SparkSession, sf: str, codes: dict[str, str]) -> DataFra
     return table(spark, sf, "lineitem").selectExpr(
         "concat('A0', l_suppkey % 3 + 1) as product_id",
         "cast(l_suppkey as string) as customer_id",
-        "concat(date_format(l_shipdate, 'yyyy-MM-dd'), 'T', lpad(l_orderkey % 24, 2, '0'),"
+        "concat(cast(cast(l_shipdate as date) as string), 'T', lpad(l_orderkey % 24, 2, '0'),"
         " ':15:00.000+08:00') as created_date",
         "case l_linestatus when 'O' then 'CNY' else 'USD' end as currency",
         f"case l_returnflag {whens} end as trans_code",
         "l_extendedprice as amount",
         "l_extendedprice as game_amount",
-        "date_format(l_shipdate, 'yyyy-MM-dd') as snapshot_date",
+        "cast(cast(l_shipdate as date) as string) as snapshot_date",
     )
 
 
@@ -176,7 +176,7 @@ def line_bets(spark: SparkSession, sf: str) -> DataFrame:
         "cast(l_quantity as decimal(18,2)) * (cast(l_discount as decimal(4,2)) - 0.05) as profit",
         "case when l_discount > 0.02 then l_extendedprice else 0 end as valid_monetary",
         "case l_returnflag when 'N' then 5 else 8 end as game_kind_fk",
-        "date_format(l_shipdate, 'yyyy-MM-dd') as dt",
+        "cast(cast(l_shipdate as date) as string) as dt",
     )
 
 
@@ -338,7 +338,7 @@ def bank_cards(spark: SparkSession, sf: str) -> DataFrame:
         f"{pick(BANK_TEXTS, 5)} as bank",
         "concat('branch ', o_orderkey) as branch",
         "case o_orderpriority when '5-LOW' then 2 else 1 end as priority_order",
-        "date_format(o_orderdate, 'yyyy-MM-dd') as dt",
+        "cast(cast(o_orderdate as date) as string) as dt",
     )
 
 
@@ -357,7 +357,7 @@ def cities(spark: SparkSession) -> DataFrame:
 def order_deposits(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").selectExpr(
         "concat('A01_r', o_custkey) as user_fk",
-        "date_format(o_orderdate, 'yyyy-MM-dd') as dt",
+        "cast(cast(o_orderdate as date) as string) as dt",
         "o_totalprice as deposit_amount",
         "o_orderstatus",
     )
