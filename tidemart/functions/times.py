@@ -22,17 +22,18 @@ def days_before(day: str, n: int) -> str:
 
 
 def iso_day(t: Column | str) -> Column:
-    return F.substring_index(col(t), "T", 1)
+    """``yyyy-MM-ddTHH:mm…`` → ``yyyy-MM-dd``; by position, which is several times faster than splitting."""
+    return F.substring(col(t), 1, 10)
 
 
 def iso_hour(t: Column | str) -> Column:
     """``yyyy-MM-ddTHH:mm…`` → ``yyyy-MM-dd-HH``."""
-    return F.substring_index(F.translate(col(t), "T", "-"), ":", 1)
+    return F.concat(F.substring(col(t), 1, 10), F.lit("-"), F.substring(col(t), 12, 2))
 
 
 def day_of_hour(hour: Column | str) -> Column:
     """``yyyy-MM-dd-HH`` → ``yyyy-MM-dd``."""
-    return F.substring_index(col(hour), "-", 3)
+    return F.substring(col(hour), 1, 10)
 
 
 def iso_text(t: Column | str) -> Column:

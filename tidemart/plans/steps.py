@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import full_province
 from ..functions.network import ipv4_number
-from ..functions.times import iso_millis
+from ..functions.times import iso_hour, iso_millis
 from ..operators.lookups import lookup_with_defaults
 from ..operators.ordered import next_value
 from ..operators.ranges import range_lookup
@@ -106,14 +106,13 @@ def process_hourly(steps: DataFrame, hours: DataFrame, load_time: str, day: str
     The user id ``null`` is a guest. A termination is a last step without an error.
     """
     rows = steps.where(F.col("snapshot_date") == day) if day else steps
-    hour = F.substring_index(F.regexp_replace("click_time", "T", "-"), ":", 1)
     keyed = rows.select(
         *[c for c in FACT_KEYS if c not in ("country", "province", "city", "date_hour_sk")],
         F.col("server_country").alias("country"),
         F.col("server_province").alias("province"),
         F.col("server_city").alias("city"),
         "user_id", "session_id", "t_action", "errCode", "snapshot_date",
-        hour.alias("full_date_hour"),
+        iso_hour("click_time").alias("full_date_hour"),
     ).join(hours.select("full_date_hour", "date_hour_sk", "hour_num"), "full_date_hour", "left")
     guest = F.coalesce(F.col("user_id") == GUEST, F.lit(False))
     error = F.col("errCode") == 1
