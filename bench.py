@@ -16,7 +16,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tidemart.session import local_session  # noqa: E402
-from workload.queries import QUERIES  # noqa: E402
+from __spark_entry__ import QUERIES  # noqa: E402
 
 
 def main() -> None:
