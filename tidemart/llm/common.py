@@ -42,12 +42,8 @@ def in_pieces(batch: pa.RecordBatch, work: Callable[[pa.RecordBatch], pa.RecordB
         yield work(batch.slice(start, rows))
 
 
-def size_in_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of a plan's size, from file sizes where the plan is a scan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def read_bytes(df: DataFrame) -> int:
-    """Compressed bytes of the files below a plan (0 where it reads none)."""
-    plan = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(plan.apply(i).stats().sizeInBytes())) for i in range(plan.size()))
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a plan scans; sources of unknown size, which Spark gives as huge, count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < 1 << 62)

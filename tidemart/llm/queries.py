@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+from importlib.util import find_spec
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, personal_data
+from ..session import scratch_folder
+from . import chat, personal_data, pieces, token_files
 from .common import read_table
 
 
+def vocabulary(name: str) -> str:
+    """Place of a vocabulary file of the `public_tokenizers` package."""
+    return str(Path(find_spec("public_tokenizers").origin).parent / name)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark, "token-files")
+    token_files.write_token_files(read_table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), end_id=1)
+    return token_files.sequence_digests(spark, folder)
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_texts(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), digest=True)
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data_digest(read_table(spark, sf_dir, "documents"))
 
@@ -22,6 +41,8 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_files": op3_token_files,
+    "op5_pieces": op5_pieces,
     "op6_personal_data": op6_personal_data,
     "op9_chat_formatting": op9_chat_formatting,
 }
