@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_folder
-from . import chat, personal_data, pieces, token_files
+from . import chat, personal_data, pieces, quality, token_files, toxicity
 from .common import read_table
 
 
@@ -17,6 +17,10 @@ def vocabulary(name: str) -> str:
     return str(Path(find_spec("public_tokenizers").origin).parent / name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "token-files")
     token_files.write_token_files(read_table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), end_id=1)
@@ -31,6 +35,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame(
@@ -41,9 +49,11 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_token_files": op3_token_files,
     "op5_pieces": op5_pieces,
     "op6_personal_data": op6_personal_data,
+    "op8_toxicity": op8_toxicity,
     "op9_chat_formatting": op9_chat_formatting,
 }
 
