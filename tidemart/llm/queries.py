@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_folder
-from . import chat, personal_data, pieces, quality, token_files, toxicity
+from . import chat, near_duplicates, personal_data, pieces, quality, token_files, toxicity
 from .common import read_table
 
 
@@ -48,6 +48,10 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(extra)))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"), size=2)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_token_files": op3_token_files,
@@ -55,9 +59,31 @@ QUERIES = {
     "op6_personal_data": op6_personal_data,
     "op8_toxicity": op8_toxicity,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE = {
+    "op10_near_duplicates": r"""
+        with recursive worded as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+            from documents
+        ), sets as (
+            select doc_id, case when len(w) = 1 then w
+                else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as s
+            from worded
+        ), rows as (
+            select doc_id, len(s) as n, unnest(s) as shingle from sets
+        ), links as (
+            select a.doc_id as u, b.doc_id as v
+            from rows a join rows b on a.shingle = b.shingle and a.doc_id <> b.doc_id and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            group by a.doc_id, b.doc_id, a.n, b.n
+            having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+        ), reached(doc_id, other) as (
+            select doc_id, doc_id from sets union select r.doc_id, l.v from reached r join links l on r.other = l.u
+        )
+        select doc_id, cast(len(any_value(s)) as bigint) as n_shingles, min(other) as component_id, min(other) = doc_id as kept
+        from reached join sets using (doc_id) group by doc_id""",
     "op9_chat_formatting": r"""
         with messages as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
