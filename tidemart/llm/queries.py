@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_folder
-from . import chat, near_duplicates, personal_data, pieces, quality, token_files, toxicity
+from . import chat, near_duplicates, personal_data, pieces, quality, repeats, token_files, toxicity
 from .common import read_table
 
 
@@ -21,6 +21,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.Corpus(read_table(spark, sf_dir, "documents")).without_repeats(digest=True)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "token-files")
     token_files.write_token_files(read_table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), end_id=1)
@@ -54,6 +58,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_repeats": op2_repeats,
     "op3_token_files": op3_token_files,
     "op5_pieces": op5_pieces,
     "op6_personal_data": op6_personal_data,
@@ -63,6 +68,32 @@ QUERIES = {
 }
 
 ORACLE = {
+    # Texts as hexadecimal digits, two for a byte; a window is 200 of them.
+    "op2_repeats": r"""
+        with coded as (
+            select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+        ), windows as (
+            select doc_id, s, substring(h, 2 * s + 1, 200) as w
+            from (select doc_id, h, unnest(range(0, cast(length(h) // 2 - 99 as bigint))) as s from coded where length(h) >= 200)
+        ), later as (
+            select doc_id, s from (select doc_id, s, row_number() over (partition by md5(w) order by doc_id, s) as k from windows) where k > 1
+        ), marked as (
+            select *, case when s <= lag(s) over (partition by doc_id order by s) + 100 then 0 else 1 end as fresh from later
+        ), islands as (
+            select doc_id, min(s) as a, max(s) + 100 as b
+            from (select *, sum(fresh) over (partition by doc_id order by s) as island from marked) group by doc_id, island
+        ), kept as (
+            select doc_id, b as low, lead(a) over (partition by doc_id order by a) as high from islands
+            union all select doc_id, 0, min(a) from islands group by doc_id
+        ), rest as (
+            select k.doc_id, string_agg(substring(h, 2 * low + 1, 2 * (coalesce(high, length(h) // 2) - low)), '' order by low) as r
+            from kept k join coded using (doc_id) group by k.doc_id
+        ), counts as (
+            select doc_id, sum(b - a) as n_removed, count(*) as n_spans from islands group by doc_id
+        )
+        select doc_id, length(h) // 2 as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+            cast(coalesce(n_spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(r, h))) as kept_sha256
+        from coded left join counts using (doc_id) left join rest using (doc_id)""",
     "op10_near_duplicates": r"""
         with recursive worded as (
             select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
