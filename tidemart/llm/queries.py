@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_folder
-from . import chat, near_duplicates, personal_data, pieces, quality, repeats, token_files, toxicity
+from . import chat, decontamination, near_duplicates, personal_data, pieces, quality, repeats, token_files, toxicity
 from .common import read_table
 
 
@@ -31,6 +31,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.sequence_digests(spark, folder)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_texts(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), digest=True)
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_repeats": op2_repeats,
     "op3_token_files": op3_token_files,
+    "op4_decontamination": op4_decontamination,
     "op5_pieces": op5_pieces,
     "op6_personal_data": op6_personal_data,
     "op8_toxicity": op8_toxicity,
