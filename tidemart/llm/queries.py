@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_folder
-from . import chat, decontamination, near_duplicates, personal_data, pieces, quality, repeats, token_files, toxicity
+from . import chat, decontamination, hamming, near_duplicates, personal_data, pieces, quality, repeats, token_files, toxicity
 from .common import read_table
 
 
@@ -43,6 +43,11 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op7_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return hamming.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=10, dims=64)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_pieces": op5_pieces,
     "op6_personal_data": op6_personal_data,
+    "op7_hamming": op7_hamming,
     "op8_toxicity": op8_toxicity,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_near_duplicates": op10_near_duplicates,
@@ -120,6 +126,17 @@ ORACLE = {
         )
         select doc_id, cast(len(any_value(s)) as bigint) as n_shingles, min(other) as component_id, min(other) = doc_id as kept
         from reached join sets using (doc_id) group by doc_id""",
+    "op7_hamming": r"""
+        with signs as (
+            select vec_id, list_transform(embedding, lambda x: x > 0) as code from embeddings
+        ), pairs as (
+            select q.vec_id as query_id, v.vec_id as neighbor_id,
+                cast(len(list_filter(list_zip(q.code, v.code), lambda p: p[1] <> p[2])) as integer) as distance
+            from signs q cross join signs v where q.vec_id % 50 = 0
+        )
+        select query_id, cast(row_number() over (partition by query_id order by distance, neighbor_id) as integer) as rank,
+            neighbor_id, distance
+        from pairs qualify rank <= 10""",
     "op9_chat_formatting": r"""
         with messages as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
