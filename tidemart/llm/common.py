@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +26,7 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
     """`work` on each Arrow batch; one batch in, one batch out, so memory is bounded by the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,6 +43,26 @@ def in_pieces(batch: pa.RecordBatch, work: Callable[[pa.RecordBatch], pa.RecordB
         yield work(batch.slice(start, rows))
 
 
+def _texts(batch: pa.RecordBatch) -> list[str]:
+    return [t or "" for t in batch.column("text").to_pylist()]
+
+
+def keep_rows(docs: DataFrame, decide: Callable[[list[str]], list[bool]]) -> DataFrame:
+    """Rows whose text `decide` keeps (a null one counts as empty), with all their columns and without a shuffle."""
+    return map_batches(docs, lambda batch: batch.filter(pa.array(decide(_texts(batch)), pa.bool_())), docs.schema)
+
+
+def change_texts(docs: DataFrame, change: Callable[[list[str]], list[str]]) -> DataFrame:
+    """All rows with what `change` makes of their texts; a null one stays null."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        known = batch.column("text").is_null().to_pylist()
+        new = [None if null else t for null, t in zip(known, change(_texts(batch)))]
+        return batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(new, pa.string()))
+
+    return map_batches(docs, work, docs.schema)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the files that a plan scans; sources of unknown size, which Spark gives as huge, count as nothing."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_batches
+from .common import id_and_text, keep_rows, map_batches
 
 GRAM = 3
 STRETCH = 8
@@ -194,3 +194,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
         found = found.unionAll(map_batches(texts, work, schema))
     return found
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all their columns, that match no item."""
+    texts, rest = id_and_text(docs), docs
+    for items in _blocks(benchmark):
+        items.choose_seeds(_counts(texts, items))
+        matcher = Matcher(items)
+        rest = keep_rows(rest, lambda found, matcher=matcher: [not matcher.matches(t, threshold) for t in found])
+    return rest

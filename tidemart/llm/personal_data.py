@@ -24,13 +24,14 @@ are ignored; an empty table gives an empty result. Work and memory per text are
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_batches
+from .common import change_texts, id_and_text, map_batches
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "account", "secret", "url")
@@ -60,8 +61,9 @@ def account_valid(number: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+@lru_cache(maxsize=1)
 def anchors() -> ahocorasick.Automaton:
-    """The automaton; the value of an anchor is the parser it calls and the length of the anchor."""
+    """The automaton, built once for each Python worker; the value of an anchor is the parser it calls and the length of the anchor."""
     found = ahocorasick.Automaton()
     for digit in "0123456789":
         found.add_word(digit, ("digit", 1))
@@ -142,13 +144,10 @@ def masked(text: str, spans: list[Span]) -> str:
 
 def find_personal_data(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """`doc_id` and `spans` (kind, start, end); with_text adds the masked text."""
-    held: list[ahocorasick.Automaton] = []  # one automaton for each Python worker, built on first use
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not held:
-            held.append(anchors())
         texts = batch.column("text").to_pylist()
-        spans = [spans_of(text, held[0]) for text in texts]
+        spans = [spans_of(text, anchors()) for text in texts]
         columns = {
             "doc_id": batch.column("doc_id"),
             "spans": pa.array(
@@ -164,6 +163,11 @@ def find_personal_data(docs: DataFrame, with_text: bool = False) -> DataFrame:
     return map_batches(id_and_text(docs), work, schema)
 
 
+def mask_texts(docs: DataFrame) -> DataFrame:
+    """The rows, with all their columns, and their texts masked."""
+    return change_texts(docs, lambda texts: [masked(t, spans_of(t, anchors())) for t in texts])
+
+
 def personal_data_digest(docs: DataFrame) -> DataFrame:
     """Counts of the base kinds, a digest of their spans, and all spans as text."""
     written = "transform({}, s -> concat_ws(':', s.kind, s.start, s.end))"

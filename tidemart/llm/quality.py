@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, id_and_text, map_batches
+from .common import held_out, id_and_text, keep_rows, map_batches
 from .toxicity import labelled_sample
 
 SAMPLE_ROWS = 3_000
@@ -254,3 +254,8 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     """`doc_id`, `held_out`, `score` and `predicted`, learned from the labels outside the held-out fifth."""
     scored = score_quality(docs, train(docs, labels))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, field: LineField, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all their columns, whose text scores at least the threshold."""
+    return keep_rows(docs, lambda texts: (field.score([t.encode() for t in texts]) >= threshold).tolist())
