@@ -54,6 +54,7 @@ def corpus(draw, groups=12, copies=12, words=60):
 @pytest.mark.parametrize("seed, size, crowded", [(1, 2, 100), (2, 5, 2)])
 def test_components_equal_all_pairs(spark, monkeypatch, seed, size, crowded):
     monkeypatch.setattr(nd, "CROWDED", crowded)
+    monkeypatch.setattr(nd, "CHUNK", crowded)
     rows = corpus(random.Random(seed))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in nd.near_duplicates(docs, size).collect()}

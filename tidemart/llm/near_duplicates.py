@@ -9,10 +9,13 @@ Within a node pairs are compared exhaustively, but for two shortcuts that lose n
 sets are one beforehand, and pairs that are connected already are not compared.
 
 1. Every document of a node is compared with the node's pivot (its smallest document) by 80 one-bit minwise sketches,
-   those far from the pivot with all others. What passes (six standard deviations below 0.8) is a candidate.
-2. Each document's best pivot, and the candidates of those far from a pivot, are confirmed on the full sets. These
+   those far from the pivot with all others. What passes (4.5 standard deviations below 0.8) is a candidate.
+2. Each document's smallest pivot, and the candidates of those far from a pivot, are confirmed on the full sets. These
    links give a first partition into components.
-3. Candidates whose ends are in different components, in any node, are confirmed on the full sets as well.
+3. Documents of one pivot but in different components are compared with each other as they differ from the pivot: the
+   shingles in which a set and its pivot's differ are few, and they tell the similarity of two sets exactly. The
+   documents of a pivot are dealt into chunks; those outside the pivot's component go to each chunk.
+4. All other candidates whose ends are in different components, in any node, are confirmed on the full sets.
 
 All steps are aggregates and joins keyed by node or document, so a node with a third of all documents is spread over
 tasks by Spark's skew handling; tables between the steps are written to the shared scratch folder.
@@ -27,7 +30,7 @@ row for each, linked by its own text; other columns are ignored; an empty table
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,8 @@ FIRST_DEPTH, LAST_DEPTH = 2, 4
 CROWDED = 100
 SIMILARITY_PERCENT = 80
 # Of 80 bits, 8 differ on average at similarity 0.8, with a standard deviation of 2.7.
-SKETCH_LIMIT = 24
+SKETCH_LIMIT = 20
+CHUNK = 2_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(31)
 KEPT_WORDS = 400_000
@@ -181,7 +185,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
             a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
             both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum()) if len(a) and len(b) else 0
-            keep.append(both > 0 and 100 * both >= SIMILARITY_PERCENT * (len(a) + len(b) - both))
+            keep.append(similar(len(a), len(b), len(a) + len(b) - 2 * both))
         return pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     left = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a"))
@@ -189,6 +193,70 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b"), work, "u long, v long")
 
 
+def _stars(edges: DataFrame, sets: DataFrame) -> DataFrame:
+    """For each document and its pivot: size of its set, whether they are linked, and where their sets differ."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sizes, linked, differing = [], [], []
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            off = np.setxor1d(a, b, assume_unique=True)
+            sizes.append(len(a))
+            differing.append(off.tobytes())
+            linked.append(similar(len(a), len(b), len(off)))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("rep"), batch.column("pivot"), pa.array(sizes, pa.int64()), pa.array(linked, pa.bool_()), pa.array(differing, pa.binary())],
+            names=["rep", "pivot", "n", "linked", "differing"],
+        )
+
+    left = sets.select("rep", F.col("shingles").alias("a"))
+    right = sets.select(F.col("rep").alias("pivot"), F.col("shingles").alias("b"))
+    joined = edges.join(left, "rep").join(right, "pivot").select("rep", "pivot", "a", "b")
+    return map_batches(joined, work, "rep long, pivot long, n long, linked boolean, differing binary")
+
+
+def similar(a: int, b: int, differing: int) -> bool:
+    """Whether sets of sizes a and b that differ in so many elements are similar enough."""
+    both = (a + b - differing) // 2
+    return both > 0 and 100 * both >= SIMILARITY_PERCENT * (both + differing)
+
+
+def _links_of_pivots(stars: DataFrame, placed: DataFrame) -> DataFrame:
+    """Links (u, v) between documents of one pivot that are in different components."""
+    roots = placed.select(F.col("node").alias("rep"), "root")
+    marked = stars.join(roots, "rep", "left").withColumn("part", F.coalesce("root", "rep")).drop("root")
+    main = placed.select(F.col("node").alias("pivot"), F.col("root").alias("main"))
+    marked = marked.join(main, "pivot", "left").withColumn("outside", F.col("part") != F.coalesce("main", "pivot"))
+    open_pivots = marked.groupBy("pivot").agg(F.count("*").alias("held"), F.max("outside").alias("open")).where("open and held > 1")
+    rows = marked.select("pivot", "rep", "part", "n", "differing", "outside").join(
+        open_pivots.select("pivot", F.expr(f"cast(ceil(held / {CHUNK}) as int)").alias("chunks")), "pivot")
+    once = rows.withColumn("chunk", F.expr("cast(pmod(xxhash64(rep), chunks) as int)")).withColumn("asks", F.lit(False))
+    asking = rows.where("outside").withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)"))).withColumn("asks", F.lit(True))
+
+    def compare(rows: pa.Table) -> pa.Table:
+        asks = np.array(rows.column("asks").to_pylist(), bool)
+        ids, parts, sizes = [rows.column(c).to_numpy() for c in ("rep", "part", "n")]
+        sets = [np.frombuffer(d, np.uint64) for d in rows.column("differing").to_pylist()]
+        members = np.flatnonzero(~asks)
+        lengths = np.array([len(sets[i]) for i in members])
+        flat = np.concatenate([sets[i] for i in members] + [np.empty(0, np.uint64)])
+        owner = np.repeat(np.arange(len(members)), lengths)
+        u, v = [], []
+        for i in np.flatnonzero(asks):
+            at = np.minimum(np.searchsorted(sets[i], flat), max(0, len(sets[i]) - 1))
+            hit = sets[i][at] == flat if len(sets[i]) else np.zeros(len(flat), bool)
+            shared = np.bincount(owner[hit], minlength=len(members))
+            differing = lengths + len(sets[i]) - 2 * shared
+            both = (sizes[members] + sizes[i] - differing) // 2
+            linked = (both > 0) & (100 * both >= SIMILARITY_PERCENT * (both + differing)) & (parts[members] != parts[i])
+            u += [ids[i]] * int(linked.sum())
+            v += ids[members[linked]].tolist()
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    columns = ["pivot", "chunk", "rep", "part", "n", "differing", "asks"]
+    return once.select(columns).unionAll(asking.select(columns)).groupBy("pivot", "chunk").applyInArrow(compare, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` and `kept` (the smallest id of its component) of every document."""
     tokens = _stored(_tokens(docs, size), "tokens")
@@ -202,24 +270,24 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     nodes = _stored(_nodes(first).join(sketches, "rep"), "nodes")
     pivots = nodes.groupBy("node").agg(F.min(F.struct("rep", "n", "s1", "s2")).alias("p"))
     seen = nodes.alias("m").join(pivots, "node").withColumn("near", _close("m", "p") & F.expr("m.rep <> p.rep"))
-    # A document meets many pivots; the nearest is its first link.
-    stars = seen.where("near").select("rep", F.col("p.rep").alias("pivot"), F.expr("bit_count(m.s1 ^ p.s1) + bit_count(m.s2 ^ p.s2)").alias("off"))
-    best = stars.groupBy("rep").agg(F.min(F.struct("off", "pivot")).alias("best")).select(
-        F.col("best.pivot").alias("u"), F.col("rep").alias("v"))
+    edges = seen.where("near").groupBy("rep").agg(F.min("p.rep").alias("pivot"))
     far = seen.where("not near and m.rep <> p.rep").select("node", "rep", "n", "s1", "s2")
-    strays = _pairs(far, nodes, F.lit(True))
-    candidates = _stored(best.unionAll(strays).distinct(), "candidates")
-    ends = candidates.select(F.col("u").alias("doc_id")).unionAll(candidates.select("v")).unionAll(
-        stars.select("rep")).unionAll(stars.select("pivot")).distinct()
-    sets = _stored(_sets(docs, ends, size), "sets")
-
-    links = _stored(_confirmed(candidates, sets), "links")
-    placed = connected_components(links)
+    edges = _stored(edges, "edges")
+    strays = _stored(_pairs(far, nodes, F.lit(True)), "strays")
+    ends = [edges.select("rep"), edges.select("pivot"), strays.select("u"), strays.select("v")]
+    # The ends of all later candidates are among these: such a pair is near a pivot or one of them is far from it.
+    wanted = reduce(DataFrame.unionAll, [*ends, seen.where("near").select("p.rep")]).toDF("doc_id").distinct()
+    sets = _stored(_sets(docs, wanted, size), "sets")
+
+    stars = _stored(_stars(edges, sets), "stars")
+    links = stars.where("linked").select(F.col("rep").alias("u"), F.col("pivot").alias("v"))
+    placed = connected_components(links.unionAll(_confirmed(strays, sets)))
     marked = nodes.join(placed.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("root", "rep")).drop("root")
     mixed_nodes = marked.groupBy("node").agg(F.min("part").alias("main"), F.max("part").alias("last")).where("main <> last")
-    open_rows = marked.join(mixed_nodes.select("node", "main"), "node")
-    across = _pairs(open_rows.where("part <> main"), open_rows, F.expr("a.part <> b.part"))
-    more = _confirmed(across.join(candidates, ["u", "v"], "left_anti"), sets)
+    open_rows = marked.join(mixed_nodes.select("node", "main"), "node").join(stars.select("rep", "pivot"), "rep", "left")
+    apart = F.expr("a.part <> b.part and not coalesce(a.pivot = b.pivot or a.pivot = b.rep or b.pivot = a.rep, false)")
+    across = _pairs(open_rows.where("part <> main"), open_rows, apart).join(strays, ["u", "v"], "left_anti")
+    more = _confirmed(across, sets).unionAll(_links_of_pivots(stars, placed))
     joined = connected_components(placed.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more))
 
     member = tokens.select("doc_id", "n", "h1", "h2").distinct()
