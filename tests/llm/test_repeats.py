@@ -111,6 +111,23 @@ def test_blocks_change_nothing(monkeypatch):
     assert set(zip(*[x.tolist() for x in whole[:2]])) == set(zip(*[x.tolist() for x in cut[:2]]))
 
 
+def test_suffix_arrays_apart_by_distance_cover_the_same(monkeypatch):
+    rows = []
+    for i, text in corpus(5):
+        text = (text or "").encode()
+        found, at, first, last = repeats.anchors_of(np.frombuffer(text, np.uint8))
+        rows += [{"anchor": int(a.view(np.int64)), "doc_id": i or 0, "start": int(f), "off": int(p - f), "piece": text[f : e + repeats.LENGTH]}
+                 for a, p, f, e in zip(found, at, first, last)]
+    bucket = pa.Table.from_pylist(rows)
+
+    def covered():
+        return {(i, b) for n, ids, starts in repeats._groups_of_bucket(bucket) for i, s in zip(ids[1:], starts[1:]) for b in range(s, s + n)}
+
+    together = covered()
+    monkeypatch.setattr(repeats, "TOGETHER", 1)
+    assert together and covered() == together
+
+
 def test_spans_join():
     spans = pa.table({"doc_id": [2, 1, 1, 1, 2], "start": [5, 0, 4, 20, 0], "end": [9, 5, 12, 30, 3]})
     assert list(zip(*repeats.joined_spans(spans).to_pydict().values())) == [(1, 0, 12), (1, 20, 30), (2, 0, 3), (2, 5, 9)]

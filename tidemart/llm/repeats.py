@@ -11,7 +11,8 @@ suffix arrays that together see every repeated string:
 2. For each such anchor the piece of text that its windows cover is sent to a bucket by the anchor's hash. The bucket
    sorts the suffixes of its pieces, computes common prefixes of neighbours, and a scan with a stack builds the tree of
    common-prefix intervals. Intervals of at least `LENGTH` whose occurrences differ in the byte to the left (or have
-   none) are maximal repeats within their pieces; each is put out with all its occurrences.
+   none) are maximal repeats within their pieces; each is put out with all its occurrences. Where an anchor has more
+   than `TOGETHER` distinct pieces, their suffixes are sorted apart by the distance from the anchor.
 3. Anchors met more than `FREQUENT` times would be too much for one bucket. Equal pieces of theirs count once, by an
    aggregate; the windows of the rest are grouped by 128-bit hash, again by an aggregate, so that no group is gathered.
 4. All occurrences of a repeat but the earliest are spans; the spans of a document, joined, are what goes.
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,8 @@ from .common import id_and_text, input_bytes
 
 LENGTH = 100
 GRAM = 32
-FREQUENT = 8_000
+FREQUENT = 200_000
+TOGETHER = 4_000
 CELL_BYTES = 8 << 20
 BUCKETS_PER_CELL = 4
 _NULL_ID = -(1 << 63)
@@ -104,17 +107,24 @@ def _runs(mask: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(edges[::2].tolist(), edges[1::2].tolist())
 
 
-def maximal_repeats(pieces: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def maximal_repeats(
+    pieces: list[bytes], length: int = LENGTH, starts: np.ndarray | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Length, pieces and starts in them of every repeat that is maximal within the pieces.
 
     Suffixes with at least `length` bytes are sorted; intervals whose occurrences all have the same byte to the left
-    are left out, as the repeat that begins with that byte holds them.
+    are left out, as the repeat that begins with that byte holds them. With `starts` (one for each piece, or -1) only
+    those suffixes are sorted.
     """
     sizes = np.array([len(p) for p in pieces], np.int64)
     begins = np.cumsum(sizes) - sizes
-    windows = sizes - length + 1
-    owner = np.repeat(np.arange(len(pieces)), windows)
-    start = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    if starts is None:
+        windows = sizes - length + 1
+        owner = np.repeat(np.arange(len(pieces)), windows)
+        start = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    else:
+        owner = np.flatnonzero((starts >= 0) & (starts + length <= sizes))
+        start = starts[owner]
     left_over = sizes[owner] - start
     depth = int(sizes.max(initial=0))
     text = np.frombuffer(b"".join(pieces) + bytes(depth), np.uint8)
@@ -140,6 +150,7 @@ def _groups_of_bucket(rows: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndar
     """
     rows = rows.sort_by([("anchor", "ascending"), ("doc_id", "ascending"), ("start", "ascending")])
     ids, starts = rows.column("doc_id").to_numpy(), rows.column("start").to_numpy()
+    offs = rows.column("off").to_numpy()
     groups: dict[int, dict[bytes, list[int]]] = {}
     for i, (anchor, piece) in enumerate(zip(rows.column("anchor").to_pylist(), rows.column("piece").to_pylist())):
         groups.setdefault(anchor, {}).setdefault(piece, []).append(i)
@@ -152,19 +163,24 @@ def _groups_of_bucket(rows: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndar
         if len(pieces) > 1:
             many += pieces
             earliest += [at[0] for at in pieces.values()]
-    for some in _slices(many, groups):
-        for length, owner, start in maximal_repeats([many[i] for i in some]):
-            at = np.array(earliest[some.start : some.stop])[owner]
+    for some in _slices(groups):
+        chosen, first = many[some.start : some.stop], np.array(earliest[some.start : some.stop])
+        if len(chosen) <= TOGETHER:
+            arrays = [maximal_repeats(chosen)]
+        else:  # equal windows are equally far before their anchor, so each distance has a suffix array of its own
+            arrays = [maximal_repeats(chosen, starts=offs[first] - far) for far in range(int(offs[first].max()) + 1)]
+        for length, owner, start in chain.from_iterable(arrays):
+            at = first[owner]
             place = np.lexsort((starts[at] + start, ids[at]))
             yield length, ids[at][place], (starts[at] + start)[place]
 
 
-def _slices(many: list[bytes], groups: dict[int, dict[bytes, list[int]]], most: int = 4_000) -> Iterator[range]:
+def _slices(groups: dict[int, dict[bytes, list[int]]]) -> Iterator[range]:
     """Consecutive groups of pieces together, so that one suffix array stays small; a group is never cut."""
     begin = end = 0
     for pieces in groups.values():
         if len(pieces) > 1:
-            if end > begin and end - begin + len(pieces) > most:
+            if end > begin and end - begin + len(pieces) > TOGETHER:
                 yield range(begin, end)
                 begin = end
             end += len(pieces)
