@@ -14,7 +14,7 @@ from tidemart.sources.text import key_values, step_config
 
 DAY = "2018-04-15"
 LOAD = "2018-04-16T01:00:00.000+08:00"
-HOT = {"little": 0, "min_rows": 0, "share": 1e-9}
+NARROW = {"width": 1, "tie_width": 1}
 
 
 def at(time, day=DAY):
@@ -266,7 +266,7 @@ def places(spark):
     )
 
 
-@pytest.mark.parametrize("way", [{}, HOT])
+@pytest.mark.parametrize("way", [{}, NARROW])
 def test_process_steps(spark, rows, places, hours, way):
     lines = spark.createDataFrame(
         [("t1,h,r=login,1,first",), ("t2,h,r=login,2,second=x",), ("t3,h,r=login,bad,third",), ("t4,h,r=short",), ("no line",)],
@@ -364,8 +364,8 @@ def test_intraday(spark, rows):
 ORDER = "gametype string, product_id string, platform string, loginname string, account double, valid_account double, cus_account double, game_kind int"
 
 
-@pytest.mark.parametrize("way", [{}, HOT, {"little": 0, "min_rows": 50, "share": 0.3}])
-def test_game_stats(spark, rows, way):
+@pytest.mark.parametrize("most_users", [games.MEDIAN_USERS, 0, 10])
+def test_game_stats(spark, rows, most_users):
     rnd = random.Random(8)
     orders = [
         ("hot" if rnd.random() < 0.5 else rnd.choice(["a", None]), "A01", "p", rnd.choice([None, *"uvwxyz"]) if i % 3 else f"n{i}",
@@ -373,7 +373,7 @@ def test_game_stats(spark, rows, way):
         for i in range(400)
     ] + [("one", "A01", "p", "u", 5.0, 0.0, 1.0, 5), ("two", "A01", "p", "u", 5.0, 10.0, 1.0, 5), ("two", "A01", "p", "u", 5.0, 10.0, 1.0, 3)]
     df = spark.createDataFrame(orders, ORDER)
-    found = {r["gametype"]: r for r in games.game_group_stats(df, **way).collect()}
+    found = {r["gametype"]: r for r in games.game_group_stats(df, most_users).collect()}
     assert found.keys() == {"hot", "a", None, "one", "two"}
     for game, row in found.items():
         mine = [(o[3], o[4] or 0.0, o[5], o[6]) for o in orders if o[0] == game and o[7] in (5, 8)]
@@ -420,7 +420,7 @@ def streak_by_loop(bets):
     return min(best, 18)
 
 
-@pytest.mark.parametrize("way", [{}, HOT, {"little": 0, "min_rows": 30, "share": 0.2}])
+@pytest.mark.parametrize("way", [{}, NARROW, {"width": 300}])
 def test_win_streaks(spark, rows, way):
     rnd = random.Random(9)
     bets = []

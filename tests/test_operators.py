@@ -1,4 +1,4 @@
-"""Operators against plain loops, with hot groups forced on so that the sliced ways are taken."""
+"""Operators against plain loops, with narrow and wide slices."""
 
 import random
 import statistics
@@ -10,13 +10,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemart.operators import lookups, matching, ordered, ranges, sizes, uniques
+from tidemart.functions.columns import money
 from tidemart.operators.statistics import exact_medians
 
-PLAIN = {}
-ALL_HOT = {"little": 0, "min_rows": 0, "share": 1e-9}
-SOME_HOT = {"little": 0, "min_rows": 20, "share": 0.05}
-FINE = {"little": 0, "min_rows": 0, "share": 0.01}
-WAYS = [PLAIN, ALL_HOT, SOME_HOT, FINE]
+WAYS = [{}, {"width": 1, "tie_width": 1}, {"width": 7, "tie_width": 5}, {"width": 100}]
 SHORT = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
@@ -93,21 +90,12 @@ def test_longest_runs(spark, rows, way, seed, hit):
     assert rows(found, "user", "best") == sorted(want, key=repr)
 
 
-def test_hot_groups_are_few_and_sized(spark, rows):
-    df = spark.createDataFrame(skewed(5), "id long, user long, t long")
-    share = 0.1
-    hot = sizes.hot_groups(df, ["user"], share=share, min_rows=0).collect()
-    assert [r["user"] for r in hot] == [0] and len(hot) <= 1 / share
-    assert sizes.hot_groups(df, ["user"], share=share, min_rows=10**6).count() == 0
-
-
-@pytest.mark.parametrize("burst", [False, True])
-def test_slices_spread_a_hot_group(spark, rows, burst):
-    t = F.when((F.col("id") > 500) & F.lit(burst), F.col("id") + 1_000_000).otherwise(F.col("id") * 1000)
+def test_slices_spread_a_hot_key_and_follow_its_order(spark):
+    t = F.when(F.col("id") >= 2000, F.col("id") * 10)
     df = spark.range(10_000).select(F.lit(1).alias("user"), "id", t.alias("t"))
-    sliced = ordered.slice_hot_groups(df, ["user"], "t", share=0.01, min_rows=0)
-    sizes_of = sliced.groupBy("_slice").agg(F.count("*").alias("n"), F.min("t").alias("low"), F.max("t").alias("high"))
-    assert sizes_of.agg(F.max("n")).first()[0] <= 100
+    cut = ordered.sliced(df, ["user"], ["t", "id"], width=1000, tie_width=100)
+    sizes_of = cut.groupBy("_slice").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+    assert sizes_of.agg(F.max("n")).first()[0] == 100
     bounds = [(r["low"], r["high"]) for r in sizes_of.orderBy("_slice").collect()]
     assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
 
@@ -210,3 +198,23 @@ def test_totals_and_uniques(spark, rows):
             len({d[1] for d in mine if d[3] == 0}), len({d[2] for d in mine if d[3] == 2}),
         ))
     assert rows(found, "k", "n", "total", "s_big", "s_small", "u_big") == sorted(want, key=repr)
+
+
+def test_strict_lookup_raises_whatever_is_read(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, other string")
+    dim = spark.createDataFrame([(1, "one"), (3, None)], "k2 int, v string")
+    found = lookups.strict_lookup(df, dim, F.col("k"), "k2", "v", "out")
+    for read in (found.count, found.select("other").collect, found.collect):
+        with pytest.raises(Exception, match="no v for k2 = 2"):
+            read()
+    known = lookups.strict_lookup(df.where("k = 1"), dim, F.col("k"), "k2", "v", "out")
+    assert known.count() == 1 and known.first()["out"] == "one"
+
+
+def test_money_keeps_all_digits_or_raises(spark):
+    small = spark.range(1000).select(F.lit(0.004).alias("x"), F.lit("0.000000000000000001").alias("t"))
+    row = small.agg(F.sum(money("x")).cast("double").alias("x"), F.sum(money("t")).cast("string").alias("t")).first()
+    assert (row["x"], row["t"]) == (4.0, "0.000000000000001000")
+    with pytest.raises(Exception, match="amount does not fit: 0.125"):
+        spark.range(1).select(money(F.lit(0.125), 2)).collect()
+    assert spark.range(1).select(money(F.lit(None).cast("double"))).first()[0] is None

@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY_SCALE = 18
 
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(c: Column | str) -> Column:
-    """Exact two-digit amount, so that sums do not depend on the order of rows."""
-    return col(c).cast(MONEY)
+def money(c: Column | str, scale: int = MONEY_SCALE) -> Column:
+    """Exact amount, so that sums do not depend on the order of rows.
+
+    All digits of the input are kept; an amount with more of them than the scale holds raises.
+    """
+    amount, exact = col(c), col(c).cast(f"decimal(38,{scale})")
+    lost = amount.cast("double") != exact.cast("double")
+    message = F.concat(F.lit("amount does not fit: "), amount.cast("string"))
+    return F.when(lost, F.raise_error(message).cast(f"decimal(38,{scale})")).otherwise(exact)
 
 
 def ratio(num: Column, den: Column) -> Column:

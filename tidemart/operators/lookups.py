@@ -17,6 +17,7 @@ def strict_lookup(
 ) -> DataFrame:
     """Add ``out`` = the dimension's ``value`` for ``key``; a key the dimension lacks raises.
 
+    The check is a condition on the joined row, so it holds whether or not ``out`` is used later.
     No broadcast hint: Spark broadcasts the dimension when its size allows, and otherwise joins by
     sorting, with skewed keys split at run time.
     """
@@ -27,10 +28,11 @@ def strict_lookup(
     message = F.concat(
         F.lit(f"no {value} for {dim_key} = "), F.coalesce(F.col("_key").cast("string"), F.lit("null"))
     )
-    found = F.coalesce("_dim_value", F.raise_error(message).cast(dim.schema[value].dataType))
+    found = F.when(F.col("_dim_value").isNotNull(), True).otherwise(F.raise_error(message).cast("boolean"))
     return (
         keyed.join(side, F.col("_key") == F.col("_dim_key"), "left")
-        .withColumn(out, found)
+        .where(found)
+        .withColumn(out, F.col("_dim_value"))
         .drop("_key", "_dim_key", "_dim_value")
     )
 

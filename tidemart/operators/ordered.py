@@ -1,10 +1,10 @@
 """Order-dependent operators that do not need a whole group in one task.
 
-A window over ``partitionBy(key).orderBy(time)`` puts each key into one task. Here the few keys that
-hold a large share of the rows are first cut into consecutive slices of their order; windows run
-inside ``(key, slice)``, and what has to cross a slice boundary is carried over in a table with one
-row per slice. Ordinary keys have a null slice and are not cut at all. Where the scans are so small
-that a whole group fits into one task, the plain window is planned instead.
+A window over ``partitionBy(key).orderBy(time)`` puts each key into one task. Here every key is cut into
+slices of a fixed width of time, rows without a time by their tie-break, and windows run inside (key, slice).
+What has to cross a slice boundary is one row per slice, carried over by a window of its own. The rows are
+shuffled once, by (key, slice), and everything reads that one shuffle; there is no counting of keys
+beforehand and no other plan for small inputs.
 """
 
 from __future__ import annotations
@@ -13,133 +13,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.columns import left_join_null_safe
-from .sizes import HOT_ROWS, HOT_SHARE, LITTLE_BYTES, hot_groups, mark_hot, reads_little
+KEY, SLICE = "_key", "_slice"
+# Whole numbers are taken as milliseconds. A slice should hold no more rows of a key than a task can sort.
+WIDTH_MS = 3_600_000
+TIE_WIDTH = 1 << 20
 
-SLICE = "_slice"
 
+def sliced(df: DataFrame, keys: list[str], order: list[str], width: int = WIDTH_MS, tie_width: int = TIE_WIDTH) -> DataFrame:
+    """Add the key as one column and ``_slice``, which rises with ``order`` inside a key.
 
-def _position(c: str, df: DataFrame) -> Column:
-    kind = df.schema[c].dataType.typeName()
-    if kind.startswith("timestamp"):
-        return F.unix_micros(F.col(c).cast("timestamp"))
-    return F.col(c).cast("bigint")
-
-
-def slice_hot_groups(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    major: list[str] | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Add ``_slice``: null in ordinary groups, else the place of the row's slice in its group.
-
-    Slices are equal parts of the group's range of ``order`` (a time or a whole number), about two per
-    ``_limit`` rows; a slice that still holds more than ``_limit`` rows, because the group comes in
-    bursts, is cut once more in the same way. All groups together have at most ``6 / share`` slices.
-    ``major`` names columns with few values (configured step numbers) that come before ``order`` in the
-    sort; each of their values has its own slices, so the bound is multiplied by their number. The bounds come from min, max and count only, so they are the same each time
-    Spark computes them.
+    ``order`` ends with a time (or whole number) and a whole number as tie-break; leading columns with few
+    values come first in a slice. ``width`` is in milliseconds. Rows without a time come first, cut by
+    ``tie_width`` of the tie-break. Neither column is ever null, so that joins on them need no null rule.
     """
-    pos = _position(order, df)
-    extent = {"_low": F.min(pos), "_high": F.max(pos)}
-    pieces = F.ceil(2 * F.col("_rows") / F.col("_limit"))
-    part = F.floor((pos - F.col("_low")) / (F.col("_high") - F.col("_low") + 1) * pieces)
-    hot = hot_groups(df, keys, extent, share, min_rows)
-    coarse = F.struct(*[F.col(m) for m in major or []], F.coalesce(part, F.lit(-1)).alias("_part"))
-    cut = (
-        mark_hot(df, hot, keys)
-        .withColumn(SLICE, F.when(F.col("_rows").isNotNull(), coarse))
-        .drop("_rows", "_low", "_high")
-    )
-    crowded = (
-        cut.where(F.col(SLICE).isNotNull())
-        .groupBy(*keys, SLICE)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[c.alias(name) for name, c in extent.items()],
-            F.max("_limit").alias("_limit"),
-        )
-        .where(F.col("_rows") > F.col("_limit"))
-    )
-    fine = F.struct(F.col(SLICE).alias("_coarse"), F.coalesce(part, F.lit(0)).alias("_part"))
-    return (
-        mark_hot(cut.drop("_limit"), crowded, [*keys, SLICE])
-        .withColumn(SLICE, F.when(F.col(SLICE).isNotNull(), fine))
-        .drop("_rows", "_limit", "_low", "_high")
-    )
+    time, tie = order[-2], order[-1]
+    if df.schema[time].dataType.typeName().startswith("timestamp"):
+        position = F.unix_millis(F.col(time).cast("timestamp"))
+    else:
+        position = F.col(time).cast("bigint")
+    part = F.floor(position / width)
+    tie_part = F.when(position.isNull(), F.floor(F.col(tie) / tie_width))
+    parts = F.struct(*[F.col(m) for m in order[:-2]], part.alias("_part"), tie_part.alias("_tie_part"))
+    return df.withColumns({KEY: F.struct(*[F.col(k) for k in keys]), SLICE: parts})
 
 
 def _neighbour(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: Column,
-    out: str,
-    forward: bool,
-    little: int = LITTLE_BYTES,
-    **hot: float,
+    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, forward: bool, **widths: int
 ) -> DataFrame:
     shift = F.lead if forward else F.lag
-    if reads_little(df, little):
-        return df.withColumn(out, shift(value).over(W.partitionBy(*keys).orderBy(*order)))
-    major, time = order[:-2], order[-2]
-    sliced = slice_hot_groups(df, keys, time, major, **hot).withColumn("_value", F.struct(value.alias("v")))
-    inside = sliced.withColumn(
-        "_near", shift("_value").over(W.partitionBy(*keys, SLICE).orderBy(*order))
+    rows = W.partitionBy(KEY, SLICE).orderBy(*order)
+    inside = sliced(df, keys, order, **widths).withColumn("_value", F.struct(value.alias("v"))).withColumns(
+        {"_near": shift("_value").over(rows), "_after": F.lead(F.lit(True)).over(rows), "_before": F.lag(F.lit(True)).over(rows)}
     )
-    # one row per slice: what the neighbouring slice has to know
-    edge = F.min_by if forward else F.max_by
-    edges = (
-        sliced.where(F.col(SLICE).isNotNull())
-        .groupBy(*keys, SLICE)
-        .agg(edge("_value", F.struct(*order)).alias("_edge"))
-        .withColumn("_edge", shift("_edge").over(W.partitionBy(*keys).orderBy(SLICE)))
+    # What the neighbouring slice has to know is the value of the row at the border.
+    border = F.col("_before" if forward else "_after").isNull()
+    edges = inside.where(border).select(KEY, SLICE, "_value").select(
+        KEY, SLICE, shift("_value").over(W.partitionBy(KEY).orderBy(SLICE)).alias("_edge")
     )
     return (
-        left_join_null_safe(inside, F.broadcast(edges), [*keys, SLICE])
+        inside.join(edges, [KEY, SLICE], "left")
         .withColumn(out, F.coalesce(F.col("_near"), F.col("_edge"))["v"])
-        .drop("_value", "_near", "_edge", SLICE)
+        .drop("_value", "_near", "_edge", "_after", "_before", KEY, SLICE)
     )
 
 
 def previous_value(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, **hot: float
+    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, **widths: int
 ) -> DataFrame:
-    """Value of the previous row of the group; null on its first row.
-
-    ``order`` ends with a time (or whole-number) column and a tie-break; leading columns are optional.
-    """
-    return _neighbour(df, keys, order, value, out, forward=False, **hot)
+    """Value of the previous row of the group; null on its first row (see :func:`sliced` for ``order``)."""
+    return _neighbour(df, keys, order, value, out, forward=False, **widths)
 
 
 def next_value(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, **hot: float
+    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, **widths: int
 ) -> DataFrame:
     """Value of the next row of the group; null on its last row."""
-    return _neighbour(df, keys, order, value, out, forward=True, **hot)
-
-
-def _longest(runs: DataFrame, keys: list[str], out: str) -> DataFrame:
-    return (
-        runs.groupBy(*keys, "_run")
-        .agg(F.sum("_hits").alias("_hits"))
-        .groupBy(*keys)
-        .agg(F.max("_hits").cast("int").alias(out))
-    )
+    return _neighbour(df, keys, order, value, out, forward=True, **widths)
 
 
 def longest_runs(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    hit: Column,
-    reset: Column,
-    out: str,
-    little: int = LITTLE_BYTES,
-    **hot: float,
+    df: DataFrame, keys: list[str], order: list[str], hit: Column, reset: Column, out: str, **widths: int
 ) -> DataFrame:
     """Per group, the most ``hit`` rows between two ``reset`` rows in the given order.
 
@@ -148,28 +81,25 @@ def longest_runs(
     resets of the slices before it.
     """
     flags = df.withColumns({"_reset": reset.cast("int"), "_hits": (hit & ~reset).cast("int")})
-    if reads_little(df, little):
-        rows = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return _longest(flags.withColumn("_run", F.sum("_reset").over(rows)), keys, out)
-    sliced = slice_hot_groups(flags, keys, order[-2], order[:-2], **hot)
-    rows = W.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    rows = W.partitionBy(KEY, SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     local = (
-        sliced.withColumn("_run", F.sum("_reset").over(rows))
-        .groupBy(*keys, SLICE, "_run")
+        sliced(flags, keys, order, **widths)
+        .withColumn("_run", F.sum("_reset").over(rows))
+        .groupBy(KEY, SLICE, "_run")
         .agg(F.sum("_hits").alias("_hits"))
     )
-    before = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        sliced.where(F.col(SLICE).isNotNull())
-        .groupBy(*keys, SLICE)
-        .agg(F.sum("_reset").alias("_resets"))
-        .withColumn("_offset", F.coalesce(F.sum("_resets").over(before), F.lit(0)))
-        .drop("_resets")
+    before = W.partitionBy(KEY).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    offsets = local.groupBy(KEY, SLICE).agg(F.max("_run").alias("_resets")).select(
+        KEY, SLICE, F.coalesce(F.sum("_resets").over(before), F.lit(0)).alias("_offset")
     )
-    whole = left_join_null_safe(local, F.broadcast(offsets), [*keys, SLICE]).withColumn(
-        "_run", F.col("_run") + F.coalesce(F.col("_offset"), F.lit(0))
+    whole = local.join(offsets, [KEY, SLICE]).withColumn("_run", F.col("_run") + F.col("_offset"))
+    return (
+        whole.groupBy(KEY, "_run")
+        .agg(F.sum("_hits").alias("_hits"))
+        .groupBy(KEY)
+        .agg(F.max("_hits").cast("int").alias(out))
+        .select(f"{KEY}.*", out)
     )
-    return _longest(whole, keys, out)
 
 
 def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str]) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import MONEY, left_join_null_safe, ratio
-from ..operators.sizes import HOT_ROWS, LITTLE_BYTES, hot_groups, mark_hot, reads_little
+from ..functions.columns import left_join_null_safe, money, ratio
 from ..operators.statistics import exact_medians
 
 GROUP = ["gametype", "product_id", "platform"]
 GAME_KINDS = (5, 8)
-MEDIAN_SHARE = 1 / 100_000
+MEDIAN_USERS = 100_000
 MEDIANS = ["return_rate_median", "monetary_median", "cnt_median"]
+# Names and order of the columns of the fact table.
 OUTPUT = (
     "game_platform_sk", "product_platform_sk", "member_cnt", "monetary", "valid_monetary",
     "return_rate", "return_rate_mean", "return_rate_median", "return_rate_std", "return_rate_max",
@@ -22,10 +22,10 @@ OUTPUT = (
 )
 
 
-def _per_user(rows: DataFrame, *more: str) -> DataFrame:
+def _per_user(rows: DataFrame) -> DataFrame:
     """One row per group and user; everything later is derived from these partial results."""
     return (
-        rows.groupBy(*GROUP, "loginname", *more)
+        rows.groupBy(*GROUP, "loginname")
         .agg(
             F.sum("_account").alias("_monetary"),
             F.sum("_valid").alias("_valid"),
@@ -49,36 +49,28 @@ def _user_values(users: DataFrame) -> DataFrame:
     )
 
 
-def game_group_stats(
-    orders: DataFrame, share: float = MEDIAN_SHARE, min_rows: int = HOT_ROWS, little: int = LITTLE_BYTES
-) -> DataFrame:
+def game_group_stats(orders: DataFrame, most_users: int = MEDIAN_USERS) -> DataFrame:
     """All group and user statistics, without the dimension keys.
 
     One shuffle by (group, user) gives a row per user, and a second, map-side combined one gives the
-    groups. Medians need all users of a group: ordinary groups use the built-in aggregate; groups with
-    a large share of the rows leave it out and use the distributed median instead. Where the scans
-    are small there can be no such group, and the second way is not planned.
+    groups. Medians need all users of a group: groups of at most ``most_users`` rated users use the built-in
+    aggregate, larger ones leave it out and use the distributed median. Both read the rows per user.
     """
-    zero = F.lit(0).cast(MONEY)
     amounts = {"_account": "account", "_valid": "valid_account", "_won": "cus_account"}
     rows = orders.where(F.col("game_kind").isin(*GAME_KINDS)).select(
-        *GROUP, "loginname", *[F.coalesce(F.col(c).cast(MONEY), zero).alias(n) for n, c in amounts.items()]
+        *GROUP, "loginname", *[F.coalesce(money(c), money(F.lit(0))).alias(n) for n, c in amounts.items()]
     )
-    all_ordinary = reads_little(rows, little)
-    if all_ordinary:
-        marked = rows.withColumn("_hot", F.lit(False))
-    else:
-        hot = hot_groups(rows, GROUP, share=share, min_rows=min_rows)
-        marked = mark_hot(rows, hot, GROUP).withColumn("_hot", F.col("_rows").isNotNull())
-    users = _per_user(marked, "_hot")
+    per_user = _per_user(rows)
+    sizes = per_user.groupBy(*GROUP).agg((F.count("_rate") > most_users).alias("_hot"))
+    users = left_join_null_safe(per_user, sizes, GROUP)
     rated = F.col("_rate").isNotNull()
 
     def of_rated(value: Column) -> Column:
         return F.when(rated, value)
 
-    money = F.col("_monetary").cast("double")
+    staked = F.col("_monetary").cast("double")
     bets = F.col("_bets").cast("double")
-    values = dict(zip(MEDIANS, (F.col("_rate"), money, bets), strict=True))
+    values = dict(zip(MEDIANS, (F.col("_rate"), staked, bets), strict=True))
     groups = users.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("member_cnt"),
         F.sum("_monetary").cast("double").alias("monetary"),
@@ -93,15 +85,12 @@ def game_group_stats(
         F.max("_bet_max").cast("double").alias("bet_max"),
         ratio(F.sum("_monetary"), F.sum("_bets")).alias("bet_avg"),
         ratio(F.sum(of_rated(F.col("_monetary"))), F.count("_rate")).alias("monetary_mean"),
-        F.stddev_samp(of_rated(money)).alias("monetary_std"),
+        F.stddev_samp(of_rated(staked)).alias("monetary_std"),
         F.avg(of_rated(bets)).alias("cnt_mean"),
         F.stddev_samp(of_rated(bets)).alias("cnt_std"),
         *[F.median(F.when(rated & ~F.col("_hot"), v)).alias(m) for m, v in values.items()],
     )
-    if all_ordinary:
-        return groups
-    hot_users = _user_values(_per_user(marked.where(F.col("_hot"))))
-    medians = exact_medians(hot_users, GROUP, MEDIANS)
+    medians = exact_medians(_user_values(users.where(F.col("_hot"))), GROUP, MEDIANS)
     renamed = medians.select(*GROUP, *[F.col(m).alias(f"_{m}") for m in MEDIANS])
     return (
         left_join_null_safe(groups, renamed, GROUP)
@@ -116,7 +105,7 @@ def game_daily_stats(
     product_platforms: DataFrame,
     load_time: str,
     snapshot_date: str,
-    **hot: float,
+    most_users: int = MEDIAN_USERS,
 ) -> DataFrame:
     """The 23-column daily fact with the surrogate keys of game and product.
 
@@ -129,7 +118,7 @@ def game_daily_stats(
         F.col("id_sk").alias("product_platform_sk"), "product_id", "platform"
     )
     return (
-        game_group_stats(orders, **hot)
+        game_group_stats(orders, most_users)
         .join(games, ["gametype", "platform"], "left")
         .join(products, ["product_id", "platform"], "left")
         .withColumns({"load_time": F.lit(load_time), "snapshot_date": F.lit(snapshot_date)})

@@ -61,7 +61,7 @@ def net_profit_rate(deposits: DataFrame, withdrawals: DataFrame) -> DataFrame:
     """Share of the deposits that was not withdrawn again, per user with deposits."""
     put = deposits.groupBy("user_fk").agg(F.sum(money("deposit_amount")).alias("_in"))
     taken = withdrawals.groupBy("user_fk").agg(F.sum(money("withdraw_amount")).alias("_out"))
-    out = F.coalesce("_out", F.lit(0).cast("decimal(18,2)"))
+    out = F.coalesce("_out", F.lit(0).cast("decimal(38,18)"))
     return put.join(taken, "user_fk", "left").select(
         "user_fk",
         F.col("_in").cast("double").alias("dep_sum"),

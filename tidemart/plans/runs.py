@@ -13,12 +13,13 @@ Days = tuple[str, str] | None
 def rows_of_run(df: DataFrame, time: str, days: Days, partition: str = "snapshot_date") -> DataFrame:
     """Rows whose text time lies on the day of their own partition.
 
-    One call covers a range of daily runs; ``days=None`` takes every partition. The partition range is
-    pruned and the raw time range can be pushed to the scan.
+    A day ends with ``23:59:59.999``, whether one call covers a range of daily runs or, with ``days=None``,
+    every partition. The partition range is pruned and the raw time range can be pushed to the scan.
     """
     if days:
         df = df.where(F.col(partition).between(*days) & iso_between(time, *days))
-    return df.where(iso_day(time) == F.col(partition))
+    within = F.substring_index(time, "+", 1) <= F.concat(F.col(partition), F.lit("T23:59:59.999"))
+    return df.where((iso_day(time) == F.col(partition)) & within)
 
 
 def with_login_name(df: DataFrame, customers: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ def enrich_ip(df: DataFrame, ip: str, ranges: DataFrame, prefix: str = "", **lim
     ).drop("_ip", "_country", "_province", "_city")
 
 
-def action_seconds(df: DataFrame, **hot: float) -> DataFrame:
+def action_seconds(df: DataFrame, **widths: int) -> DataFrame:
     """Add ``t_action``: seconds to the next step of the same session, procedure and tag name.
 
     Steps are taken in the order of step number, time and the remaining columns of the event; the
@@ -68,14 +68,14 @@ def action_seconds(df: DataFrame, **hot: float) -> DataFrame:
     )
     keys, order = ["session_id", "procedure_id", "tag_name"], ["tag_step", "_ms", "_tie"]
     return (
-        next_value(timed, keys, order, F.col("_ms"), "_next", **hot)
+        next_value(timed, keys, order, F.col("_ms"), "_next", **{"tie_width": 1 << 50, **widths})
         .withColumn("t_action", F.coalesce((F.col("_next") - F.col("_ms")) / 1000.0, F.lit(0.0)))
         .drop("_ms", "_tie", "_next")
     )
 
 
 def process_steps(
-    staging: DataFrame, steps: DataFrame, ranges: DataFrame, load_time: str, **hot: float
+    staging: DataFrame, steps: DataFrame, ranges: DataFrame, load_time: str, **widths: int
 ) -> DataFrame:
     """Monitoring events with their JSON fields, configured step, step time and places.
 
@@ -95,7 +95,7 @@ def process_steps(
         parsed, steps, ["tag_id", "hierarchy", "referer"],
         {"tag_name": UNKNOWN, "tag_step": -1, "tag_detail": UNKNOWN},
     )
-    timed = action_seconds(named, **hot)
+    timed = action_seconds(named, **widths)
     placed = enrich_ip(enrich_ip(timed, "ip", ranges), "server_ip", ranges, "server_")
     return placed.select(*STEP_COLUMNS)
 

@@ -46,7 +46,7 @@ def win_streak(
     min_stake: float = MIN_STAKE,
     longest: int = LONGEST,
     shortest: int = SHORTEST,
-    **hot: float,
+    **widths: int,
 ) -> DataFrame:
     """Longest streak per player, capped at ``longest``; shorter than ``shortest`` is left out.
 
@@ -62,7 +62,7 @@ def win_streak(
     stake = F.coalesce(F.col("account"), F.lit(0))
     reset = (won < 0) | F.coalesce(F.col("_hedged"), F.lit(False))
     hit = (stake >= min_stake) & (won != 0)
-    runs = longest_runs(rows, keys, order, hit, reset, "streak", **hot)
+    runs = longest_runs(rows, keys, order, hit, reset, "streak", **widths)
     return runs.withColumn("streak", F.least("streak", F.lit(longest))).where(F.col("streak") >= shortest)
 
 

@@ -47,8 +47,9 @@ def gaps(events: DataFrame, key: str, time: str, tie: str) -> DataFrame:
     """Time since the previous event of the same key, across micro-batches; null on the first one.
 
     ``time`` and ``tie`` are whole numbers, ``key`` is a whole number or text. The state of a key is its
-    last time. Within a micro-batch the events of a key are put in order; an event that arrives in a
-    later batch than its successor gets a negative gap, as nothing waits for it.
+    greatest time so far. Within a micro-batch the events of a key are put in order; an event that arrives
+    in a later batch than its successor gets a negative gap, as nothing waits for it, and leaves the state
+    as it is.
     """
     columns = [key, time, tie]
     rows = events.select(*columns)
@@ -68,7 +69,7 @@ def gaps(events: DataFrame, key: str, time: str, tie: str) -> DataFrame:
         gap = np.diff(times, prepend=first)
         missing = np.zeros(len(times), dtype=bool)
         missing[0] = not state.exists
-        state.update((int(times[-1]),))
+        state.update((int(max(first, times[-1])),))
         yield pd.DataFrame({
             key: batch[key].to_numpy()[order],
             time: times,
@@ -82,10 +83,16 @@ def gaps(events: DataFrame, key: str, time: str, tie: str) -> DataFrame:
 
 
 def window_counts(
-    events: DataFrame, time: str, keys: list[str], width: str = INTERVAL, delay: str = "1 hour"
+    events: DataFrame, time: str, keys: list[str], width: str = INTERVAL, delay: str | None = None
 ) -> DataFrame:
-    """Events per tumbling window and keys; windows older than ``delay`` leave the state."""
-    timed = events.withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", delay)
+    """Events per tumbling window and keys.
+
+    Every event counts, however late, and the state keeps every window. With ``delay`` windows older than
+    that leave the state, and events that belong to them are no longer counted.
+    """
+    timed = events.withColumn("_time", F.col(time).cast("timestamp"))
+    if delay:
+        timed = timed.withWatermark("_time", delay)
     return (
         timed.groupBy(F.window("_time", width).alias("_window"), *keys)
         .agg(F.count(F.lit(1)).alias("n"))

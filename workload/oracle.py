@@ -1,4 +1,7 @@
-"""The registered queries as SQL over the same tables, written independently of the Spark plans."""
+"""The registered queries as SQL over the same tables.
+
+Written independently of the Spark plans; the tables of codes (provinces, banks, aliases) are the library's own.
+"""
 
 from __future__ import annotations
 
@@ -32,11 +35,17 @@ EVENTS = """(SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
 
 
 def money(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(18,2))"
+    """Through the shortest text of a number, as its binary value has more digits than were written."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18))"
+
+
+def double(x: str) -> str:
+    """A decimal as the nearest double; the direct cast divides, and so may be off by one bit."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
 
 
 def total(x: str) -> str:
-    return f"CAST(sum({money(x)}) AS DOUBLE)"
+    return double(f"sum({money(x)})")
 
 
 # --- scans and filters -------------------------------------------------------------------------
@@ -92,7 +101,8 @@ ORDER_LOG = f"""(SELECT 'A0' || (o_custkey % 3 + 1) AS product_id, o_custkey AS
     CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 3 END AS currency,
     CASE o_orderpriority WHEN '1-URGENT' THEN '111101' WHEN '2-HIGH' THEN '111106'
       WHEN '5-LOW' THEN '999999' ELSE '111105' END AS code,
-    {texts(t.SUB_TYPES)}[o_orderkey % 7 + 1] AS sub, o_totalprice AS amount FROM orders)"""
+    {texts(t.SUB_TYPES)}[o_orderkey % 7 + 1] AS sub, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') AS amount
+    FROM orders)"""
 CHANNEL = """CASE code WHEN '111101' THEN 1 WHEN '111106' THEN 2 ELSE
     CASE sub WHEN 'bitcoin' THEN 3 WHEN 'cubitpay' THEN 3 WHEN 'card' THEN 4 WHEN 'mobile' THEN 5
       WHEN 'qrcode' THEN 6 WHEN 'pay' THEN 7 ELSE 8 END END"""
@@ -102,7 +112,7 @@ FROM orders GROUP BY 1
 UNION ALL
 SELECT CAST({CHANNEL} AS VARCHAR), count(*), 'channel' FROM {ORDER_LOG} GROUP BY 1
 UNION ALL
-SELECT CAST((1 + CAST(trunc(greatest(amount - 100000, 0) / 100) AS BIGINT)) * 100 AS VARCHAR), count(*), 'hundred'
+SELECT CAST((1 + CAST(trunc(greatest(CAST(amount AS DOUBLE) - 100000, 0) / 100) AS BIGINT)) * 100 AS VARCHAR), count(*), 'hundred'
 FROM {ORDER_LOG} GROUP BY 1"""
 
 # --- hourly facts ------------------------------------------------------------------------------
@@ -174,7 +184,8 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 
 # --- rates and statistics ----------------------------------------------------------------------
 
-_WON = "CAST(l_quantity AS DECIMAL(18,2)) * (CAST(l_discount AS DECIMAL(4,2)) - 0.05)"
+_WON = ("(CAST(l_quantity AS DECIMAL(18,2)) * (CAST(l_discount AS DECIMAL(4,2)) - 0.05)"
+        " + CAST(l_orderkey % 1000 AS DECIMAL(10,0)) * 0.00000001)")
 _VALID = "CASE WHEN l_discount > 0.02 THEN l_extendedprice ELSE 0 END"
 
 
@@ -209,13 +220,13 @@ WITH bets AS (
 users AS (
   SELECT gametype, product_id, platform, o_custkey, sum(account) AS account, sum(valid) AS valid,
     sum(won) AS won, count(*) AS n,
-    {rate('-CAST(sum(won) AS DOUBLE)', 'CAST(sum(valid) AS DOUBLE)')} AS rate
+    {rate('-' + double('sum(won)'), double('sum(valid)'))} AS rate
   FROM bets GROUP BY 1, 2, 3, 4),
 rated AS (
   SELECT gametype, product_id, platform, avg(rate) AS rate_mean, median(rate) AS rate_median,
     stddev_samp(rate) AS rate_std, max(rate) AS rate_max, min(rate) AS rate_min,
-    CAST(sum(account) AS DOUBLE) / count(*) AS money_mean, stddev_samp(CAST(account AS DOUBLE)) AS money_std,
-    median(CAST(account AS DOUBLE)) AS money_median, avg(CAST(n AS DOUBLE)) AS cnt_mean,
+    {double('sum(account)')} / count(*) AS money_mean, stddev_samp({double('account')}) AS money_std,
+    median({double('account')}) AS money_median, avg(CAST(n AS DOUBLE)) AS cnt_mean,
     median(CAST(n AS DOUBLE)) AS cnt_median, stddev_samp(CAST(n AS DOUBLE)) AS cnt_std
   FROM users WHERE rate IS NOT NULL GROUP BY 1, 2, 3),
 groups AS (
@@ -229,19 +240,21 @@ games AS (
 SELECT CASE WHEN games.gametype IS NOT NULL THEN 'GP_' || games.gametype || '_' || games.platform END
     AS game_platform_sk,
   CASE WHEN product_id IN ('N', 'R') THEN product_id || '_' || groups.platform END AS product_platform_sk,
-  member_cnt, CAST(account AS DOUBLE) AS monetary, CAST(valid AS DOUBLE) AS valid_monetary,
-  round({rate('-CAST(won AS DOUBLE)', 'CAST(valid AS DOUBLE)')}, 9) AS return_rate,
+  member_cnt, {double('account')} AS monetary, {double('valid')} AS valid_monetary,
+  round({rate('-' + double('won'), double('valid'))}, 9) AS return_rate,
   round(rate_mean, 9) AS return_rate_mean, round(rate_median, 9) AS return_rate_median,
   round(rate_std, 9) AS return_rate_std, round(rate_max, 9) AS return_rate_max,
-  round(rate_min, 9) AS return_rate_min, CAST(won_max AS DOUBLE) AS return_max,
-  CAST(won_min AS DOUBLE) AS return_min, CAST(bet_max AS DOUBLE) AS bet_max,
-  round(CAST(account AS DOUBLE) / n, 4) AS bet_avg, round(money_mean, 4) AS monetary_mean,
+  round(rate_min, 9) AS return_rate_min, {double('won_max')} AS return_max,
+  {double('won_min')} AS return_min, {double('bet_max')} AS bet_max,
+  round({double('account')} / n, 4) AS bet_avg, round(money_mean, 4) AS monetary_mean,
   round(money_std, 4) AS monetary_std, round(money_median, 4) AS monetary_median,
   round(cnt_mean, 4) AS cnt_mean, round(cnt_median, 4) AS cnt_median, round(cnt_std, 4) AS cnt_std,
   {LOAD} AS load_time, '2024-01-31' AS snapshot_date
 FROM groups LEFT JOIN rated USING (gametype, product_id, platform)
 LEFT JOIN games ON groups.gametype = games.gametype AND groups.platform = games.platform"""
 
+ORACLE["game_daily_stats_large"] = ORACLE["game_daily_stats"]
+
 INTRADAY = f"""(
   SELECT *, CAST(sum(stake) OVER w AS DOUBLE) AS monetary, CAST(sum(back) OVER w AS DOUBLE) AS "return"
   FROM (
@@ -273,7 +286,7 @@ SELECT 'A01_r' || l_suppkey AS user_fk, {total('l_extendedprice')} AS dep_sum,
   round(CAST(sum({money('l_extendedprice')}) - coalesce(any_value(out), 0) AS DOUBLE)
     / nullif({total('l_extendedprice')}, 0), 9) AS net_profit_rate
 FROM lineitem LEFT JOIN (SELECT l_suppkey AS s, sum({money('l_extendedprice')}) AS out FROM lineitem
-  WHERE l_returnflag = 'R' GROUP BY 1) ON l_suppkey = s
+  WHERE l_returnflag <> 'N' GROUP BY 1) ON l_suppkey = s
 WHERE l_returnflag = 'N' GROUP BY l_suppkey"""
 
 GAMMA = """
@@ -303,7 +316,7 @@ ORACLE["mission_ladder"] = f"""
 WITH RECURSIVE {GAMMA},
 net AS (
   SELECT 'A01_r' || o_custkey AS user_fk, {total('o_totalprice')} AS dep_sum,
-    CAST(coalesce(sum({money('o_totalprice')}) FILTER (WHERE o_orderstatus = 'P'), 0) AS DOUBLE) AS withdraw_sum,
+    {double(f"coalesce(sum({money('o_totalprice')}) FILTER (WHERE o_orderstatus = 'P'), 0)")} AS withdraw_sum,
     CAST(sum({money('o_totalprice')})
       - coalesce(sum({money('o_totalprice')}) FILTER (WHERE o_orderstatus = 'P'), 0) AS DOUBLE)
       / nullif({total('o_totalprice')}, 0) AS rate

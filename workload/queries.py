@@ -115,7 +115,7 @@ def scalar_codes(spark: SparkSession, sf: str) -> DataFrame:
     channels = logs.groupBy(codes.deposit_channel("trans_code", "sub_type").cast("string").alias("label")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    hundred = codes.next_hundred(F.greatest(F.col("amount") - 100000, F.lit(0.0)))
+    hundred = codes.next_hundred(F.greatest(F.col("amount").cast("double") - 100000, F.lit(0.0)))
     hundreds = logs.groupBy(hundred.cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
     return (
         names.withColumn("kind", F.lit("province"))
@@ -216,14 +216,24 @@ def zodiac_return(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def game_daily_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return _game_stats(spark, sf, games.MEDIAN_USERS)
+
+
+def _game_stats(spark: SparkSession, sf: str, most_users: int) -> DataFrame:
     stats = games.game_daily_stats(
-        t.game_orders(spark, sf), t.game_platforms(spark, sf), t.product_platforms(spark), LOAD_TIME, "2024-01-31"
+        t.game_orders(spark, sf), t.game_platforms(spark, sf), t.product_platforms(spark), LOAD_TIME, "2024-01-31", most_users
     )
     rates = ["return_rate", "return_rate_mean", "return_rate_median", "return_rate_std", "return_rate_max", "return_rate_min"]
     wide = ["bet_avg", "monetary_mean", "monetary_std", "monetary_median", "cnt_mean", "cnt_median", "cnt_std"]
     return rounded(rounded(stats, 9, *rates), 4, *wide)
 
 
+@query
+def game_daily_stats_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a limit that most groups exceed, so that the distributed median is used."""
+    return _game_stats(spark, sf, 50)
+
+
 @query
 def intraday_return(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(returns.intraday_return(t.day_orders(spark, sf)), 9, "rate")
@@ -243,8 +253,8 @@ def active_days(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def net_profit_rate(spark: SparkSession, sf: str) -> DataFrame:
-    put = t.line_deposits(spark, sf, "N", "deposit_amount")
-    taken = t.line_deposits(spark, sf, "R", "withdraw_amount")
+    put = t.line_deposits(spark, sf, ("N",), "deposit_amount")
+    taken = t.line_deposits(spark, sf, ("R", "A"), "withdraw_amount")
     return rounded(missions.net_profit_rate(put, taken), 9, "net_profit_rate")
 
 
@@ -258,7 +268,7 @@ def gamma_segments(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def mission_ladder(spark: SparkSession, sf: str) -> DataFrame:
     facts = t.order_deposits(spark, sf)
-    taken = facts.where("o_orderstatus = 'P'").withColumnRenamed("deposit_amount", "withdraw_amount")
+    taken = facts.selectExpr("user_fk", "dt", "if(o_orderstatus = 'P', deposit_amount, 0) as withdraw_amount")
     ladder = missions.mission_ladder(
         facts, facts, taken, t.mission_users(spark, sf), "A01", t.MISSION_RUN, t.MISSION_DAYS, t.MISSION_DAYS
     )
@@ -309,7 +319,8 @@ def config_kv(spark: SparkSession, sf: str) -> DataFrame:
 def asof_config(spark: SparkSession, sf: str) -> DataFrame:
     e = t.events(spark, sf)
     day_number = F.date_format("ts", "yyyyMMdd").cast("int")
-    versions = e.where("value > 200").select("event_type", day_number.alias("version"))
+    # Days without a large value are versions of the year 9999, which no day of the table reaches.
+    versions = e.select("event_type", F.when(F.col("value") > 200, day_number).otherwise(99990101).alias("version"))
     daily = e.groupBy("event_type", "dt").agg(F.count(F.lit(1)).alias("n"))
     return lookups.as_of_version(daily, versions, ["event_type"], "dt")
 
@@ -447,7 +458,7 @@ def stream_gap(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_window(spark: SparkSession, sf: str) -> DataFrame:
-    counts = streams.window_counts(_event_stream(spark, sf), "ts", ["event_type"], delay="60 days")
+    counts = streams.window_counts(_event_stream(spark, sf), "ts", ["event_type"])
     path = scratch_folder(spark, "windows")
     streams.write_changes(counts, path, path + "-state").awaitTermination()
     latest = streams.latest_changes(spark.read.parquet(path), ["window_start", "event_type"], "n")

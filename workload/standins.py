@@ -129,16 +129,16 @@ def order_credits(spark: SparkSession, sf: str) -> DataFrame:
         "case o_orderpriority when '1-URGENT' then '111101' when '2-HIGH' then '111106'"
         " when '5-LOW' then '999999' else '111105' end as trans_code",
         f"element_at(array({subs}), cast(o_orderkey % 7 + 1 as int)) as sub_type",
-        "o_totalprice as amount",
+        "concat(cast(o_totalprice as decimal(18,2)), lpad(o_orderkey % 1000000, 6, '0')) as amount",
         "cast(cast(o_orderdate as date) as string) as snapshot_date",
     )
 
 
 def customers(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers with a positive balance only, so that some log lines stay unmatched."""
-    return table(spark, sf, "customer").where("c_acctbal > 0").selectExpr(
+    """All customers; those without a positive balance under another number, so that some log lines stay unmatched."""
+    return table(spark, sf, "customer").selectExpr(
         "concat('A0', c_custkey % 3 + 1) as product_id",
-        "cast(c_custkey as string) as customer_id",
+        "cast(if(c_acctbal > 0, c_custkey, -c_custkey) as string) as customer_id",
         "concat('c', c_custkey) as login_name",
     )
 
@@ -160,9 +160,9 @@ def line_credits(spark: SparkSession, sf: str, codes: dict[str, str]) -> DataFra
 
 
 def suppliers(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "supplier").where("s_acctbal > 0").selectExpr(
+    return table(spark, sf, "supplier").selectExpr(
         "concat('A0', s_suppkey % 3 + 1) as product_id",
-        "cast(s_suppkey as string) as customer_id",
+        "cast(if(s_acctbal > 0, s_suppkey, -s_suppkey) as string) as customer_id",
         "concat('s', s_suppkey) as login_name",
     )
 
@@ -173,7 +173,8 @@ def line_bets(spark: SparkSession, sf: str) -> DataFrame:
         "concat('A0', l_suppkey % 3 + 1, '_u', l_suppkey) as user_fk",
         "concat('A0', l_suppkey % 3 + 1, '_', l_linestatus) as product_platform_fk",
         "concat('G', l_partkey % 25) as game_platform_fk",
-        "cast(l_quantity as decimal(18,2)) * (cast(l_discount as decimal(4,2)) - 0.05) as profit",
+        "cast(l_quantity as decimal(18,2)) * (cast(l_discount as decimal(4,2)) - 0.05)"
+        " + cast(l_orderkey % 1000 as decimal(10,0)) * 0.00000001 as profit",
         "case when l_discount > 0.02 then l_extendedprice else 0 end as valid_monetary",
         "case l_returnflag when 'N' then 5 else 8 end as game_kind_fk",
         "cast(cast(l_shipdate as date) as string) as dt",
@@ -195,8 +196,8 @@ def event_bets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sign_users(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").where("c_acctbal > 0").selectExpr(
-        "concat('A0', c_custkey % 3 + 1, '_u', c_custkey) as user_id",
+    return table(spark, sf, "customer").selectExpr(
+        "concat('A0', c_custkey % 3 + 1, '_u', if(c_acctbal > 0, c_custkey, -c_custkey)) as user_id",
         "c_mktsegment as chinese_zodiac",
         "concat('N', c_nationkey) as zodiac",
     )
@@ -215,7 +216,8 @@ def game_orders(spark: SparkSession, sf: str) -> DataFrame:
         "concat('c', o_custkey) as loginname",
         "l_extendedprice as account",
         "case when l_discount > 0.02 then l_extendedprice else 0 end as valid_account",
-        "cast(l_quantity as decimal(18,2)) * (cast(l_discount as decimal(4,2)) - 0.05) as cus_account",
+        "cast(l_quantity as decimal(18,2)) * (cast(l_discount as decimal(4,2)) - 0.05)"
+        " + cast(l_orderkey % 1000 as decimal(10,0)) * 0.00000001 as cus_account",
         "5 as game_kind",
     )
 
@@ -223,8 +225,8 @@ def game_orders(spark: SparkSession, sf: str) -> DataFrame:
 def game_platforms(spark: SparkSession, sf: str) -> DataFrame:
     """Game keys for the brands of the part table (some games stay unknown)."""
     return (
-        table(spark, sf, "part").where("p_size < 40")
-        .selectExpr("concat('G', p_partkey % 25) as gametype", "explode(array('O', 'F')) as platform")
+        table(spark, sf, "part")
+        .selectExpr("concat(if(p_size < 40, 'G', 'H'), p_partkey % 25) as gametype", "explode(array('O', 'F')) as platform")
         .distinct()
         .selectExpr("concat('GP_', gametype, '_', platform) as id_sk", "gametype", "platform")
     )
@@ -343,9 +345,9 @@ def bank_cards(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bank_customers(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").where("c_acctbal > 0").selectExpr(
+    return table(spark, sf, "customer").selectExpr(
         "case when c_custkey % 5 = 0 then 'C07' else concat('A0', c_custkey % 3 + 1) end as product_id",
-        "cast(c_custkey as string) as customer_id",
+        "cast(if(c_acctbal > 0, c_custkey, -c_custkey) as string) as customer_id",
         "concat('c', c_custkey) as login_name",
     )
 
@@ -364,8 +366,8 @@ def order_deposits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mission_users(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").where("c_acctbal > 0").selectExpr(
-        "concat('A01_r', c_custkey) as user_id",
+    return table(spark, sf, "customer").selectExpr(
+        "concat('A01_r', if(c_acctbal > 0, c_custkey, -c_custkey)) as user_id",
         "concat(date_format(date_add(date'2001-06-01', cast(c_custkey % 60 as int)), 'yyyy-MM-dd'),"
         " 'T08:00:00.000+08:00') as register_time",
         "'A01' as product_id",
@@ -374,8 +376,8 @@ def mission_users(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def line_deposits(spark: SparkSession, sf: str, flag: str, amount: str) -> DataFrame:
-    """Line items of one return flag as deposits or withdrawals of the supplier."""
-    return table(spark, sf, "lineitem").where(F.col("l_returnflag") == flag).selectExpr(
+def line_deposits(spark: SparkSession, sf: str, flags: tuple[str, ...], amount: str) -> DataFrame:
+    """Line items of some return flags as deposits or withdrawals of the supplier."""
+    return table(spark, sf, "lineitem").where(F.col("l_returnflag").isin(*flags)).selectExpr(
         "concat('A01_r', l_suppkey) as user_fk", f"l_extendedprice as {amount}"
     )
