@@ -143,3 +143,14 @@ def test_first_match_wins(spark):
     assert values(spark, codes.replace_first_match("x", BANKS), *names) == [
         "农业银行", "中信银行", "农村信用社", "渤海银行", "中国银行", "工商银行", "比特币", "外资", "建设银行",
     ]
+
+
+def test_address_keys(spark):
+    import ipaddress
+
+    good = ["::", "::1", "fe80::1", "2001:db8::ff00:42:8329", "1:2:3:4:5:6:7:8", "2001:DB8::", "::ffff:1.2.3.4", "1::8", "::2:3:4:5:6:7:8"]
+    mapped = {"10.0.0.1": "::ffff:10.0.0.1", "1.2.3.4, 5.6.7.8": "::ffff:1.2.3.4"}
+    bad = ["", None, "x", ":", ":::", "1:2:3", "1::2::3", "12345::", "1:2:3:4:5:6:7:8:9", ":1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::8:9", "300.1.1.1", "g::1", "1:2:3:4:5:6:7:"]
+    want = [f"{int(ipaddress.IPv6Address(a)):032x}" for a in [*good, *mapped.values()]]
+    assert values(spark, network.address_key("x"), *good, *mapped) == want
+    assert values(spark, network.address_key("x"), *bad) == [None] * len(bad)

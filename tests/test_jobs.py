@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemart.functions.times import hour_dim
+from tidemart.functions.network import address_key
 from tidemart.plans import banks, funnel, games, logins, missions, money, returns, steps, streaks
 from tidemart.sources.text import key_values, step_config
 
@@ -261,9 +262,9 @@ def body(level="1", err="0", server=None, hierarchy="h"):
 @pytest.fixture(scope="module")
 def places(spark):
     return spark.createDataFrame(
-        [(1 << 24, (2 << 24) - 1, "中国", "粤", "深圳"), (3 << 24, (3 << 24) + 10, None, None, "北京市")],
-        "ip_from long, ip_to long, country string, province string, city string",
-    )
+        [("1.0.0.0", "1.255.255.255", "中国", "粤", "深圳"), ("3.0.0.0", "3.0.0.10", None, None, "北京市")],
+        "ip_from string, ip_to string, country string, province string, city string",
+    ).withColumns({c: address_key(c) for c in ("ip_from", "ip_to")})
 
 
 @pytest.mark.parametrize("way", [{}, NARROW])

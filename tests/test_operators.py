@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidemart.operators import lookups, matching, ordered, ranges, sizes, uniques
+from tidemart.operators import lookups, matching, ordered, ranges, uniques
 from tidemart.functions.columns import money
 from tidemart.operators.statistics import exact_medians
 
@@ -152,21 +152,22 @@ def test_as_of_version(spark, rows):
     ]
 
 
-@pytest.mark.parametrize("limit", [sizes.BROADCAST_BYTES, 0])
-def test_range_lookup_equals_a_loop(spark, rows, limit):
+def test_range_lookup_equals_a_loop(spark, rows):
     rnd = random.Random(4)
+    key = "{:08x}".format
     bounds = sorted(rnd.sample(range(1 << 20), 80))
-    table = [(bounds[i], bounds[i + 1] - 1, f"r{i}") for i in range(0, 80, 2)] + [(1 << 30, (1 << 30) + (1 << 20), "wide")]
-    points = [rnd.randrange(1 << 20) for _ in range(300)] + [bounds[0], bounds[1] - 1, bounds[1], (1 << 30) + 70_000, None] + [5] * 50
-    df = spark.createDataFrame([(i, p) for i, p in enumerate(points)], "i int, p long")
-    dim = spark.createDataFrame(table, "lo long, hi long, name string")
+    table = [(bounds[i], bounds[i + 1] - 1, f"r{i}") for i in range(0, 80, 2)] + [(1 << 30, (1 << 30) + (1 << 20), "wide"), (1 << 31, 1 << 31, "one")]
+    points = [rnd.randrange(1 << 20) for _ in range(300)] + [bounds[0], bounds[1] - 1, bounds[1], (1 << 30) + 70_000, 1 << 31, None] + [5] * 50
+    df = spark.createDataFrame([(i, None if p is None else key(p)) for i, p in enumerate(points)], "i int, p string")
+    dim = spark.createDataFrame([(key(lo), key(hi), n) for lo, hi, n in table], "lo string, hi string, name string")
     want = [(i, next((n for lo, hi, n in table if p is not None and lo <= p <= hi), None)) for i, p in enumerate(points)]
-    found = ranges.range_lookup(df, "p", dim, "lo", "hi", broadcast_bytes=limit)
+    found = ranges.range_lookup(df, "p", dim, "lo", "hi", digits=8)
     assert rows(found, "i", "name") == sorted(want, key=repr)
+    everything = spark.createDataFrame([(key(0), "f" * 8, "all")], "lo string, hi string, name string")
+    assert ranges.range_lookup(df.where("i < 5"), "p", everything, "lo", "hi", digits=8).where("name = 'all'").count() == 5
 
 
-@pytest.mark.parametrize("gram", [1, 2, 3])
-def test_contained_names_equals_a_loop(spark, rows, gram):
+def test_contained_names_equals_a_loop(spark, rows):
     rnd = random.Random(6)
     texts = ["".join(rnd.choices("abcde深圳", k=rnd.randrange(0, 12))) for _ in range(200)] + [None, "a"]
     names = list({"".join(rnd.choices("abcde深圳", k=rnd.randrange(1, 5))) for _ in range(25)})
@@ -177,7 +178,7 @@ def test_contained_names_equals_a_loop(spark, rows, gram):
         inside = sorted((n for n in names if n in t), key=lambda n: (-len(n), n))
         if inside:
             want.append((t, inside[0], inside[0].upper()))
-    found = matching.contained_names(df, "t", dim, "name", matching.longest_name_first("name"), gram)
+    found = matching.contained_names(df, "t", dim, "name", matching.longest_name_first("name"))
     assert rows(found) == sorted(want, key=repr)
 
 

@@ -6,27 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def contained_names(
-    texts: DataFrame, text: str, names: DataFrame, name: str, rank: list[Column], gram: int = 2
-) -> DataFrame:
+def contained_names(texts: DataFrame, text: str, names: DataFrame, name: str, rank: list[Column]) -> DataFrame:
     """For each distinct text, the row of ``names`` whose ``name`` it contains and that ranks first.
 
-    Result: ``text`` plus all columns of ``names``; texts without a match are left out. Candidates come
-    from an equality on the first ``gram`` characters of the name against the pieces of the text, then
-    containment is checked, so that no nested-loop join over the two tables is planned. Each distinct
-    text is matched once, however many rows carry it.
+    Result: ``text`` plus all columns of ``names``; texts without a match are left out. The pieces of a text of
+    those lengths that names have are joined to the names by equality, so a text meets the names it contains
+    and no others. Each distinct text is matched once, however many rows carry it.
     """
     t = F.col(text)
-    starts = F.sequence(F.lit(1), F.length(t))
+    known = names.where(F.length(name) > 0)
+    lengths = known.select(F.length(name).alias("_n")).agg(F.sort_array(F.collect_set("_n"))).scalar()
 
-    def pieces_of(length: int) -> Column:
-        return F.transform(starts, lambda i: t.substr(i, F.lit(length)))
+    def pieces_of(length: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(t) - length + 1)
+        return F.transform(starts, lambda i: t.substr(i, length))
 
-    pieces = F.flatten(F.array(*[pieces_of(n) for n in range(1, gram + 1)]))
-    distinct = texts.select(text).where(t.isNotNull() & (F.length(t) > 0)).distinct()
-    grams = distinct.select(text, F.explode(F.array_distinct(pieces)).alias("_gram"))
-    keyed = names.where(F.length(name) > 0).withColumn("_gram", F.substring(F.col(name), 1, gram))
-    matched = grams.join(keyed, "_gram").where(F.contains(t, F.col(name)))
+    pieces = F.flatten(F.transform(F.filter("_lengths", lambda n: n <= F.length(t)), pieces_of))
+    distinct = texts.select(text).where(t.isNotNull() & (F.length(t) > 0)).distinct().withColumn("_lengths", lengths)
+    held = distinct.select(text, F.explode(F.array_distinct(pieces)).alias("_piece"))
+    matched = held.join(known.withColumn("_piece", F.col(name)), "_piece")
     best = F.min_by(F.struct(*[F.col(c) for c in names.columns]), F.struct(*rank))
     return matched.groupBy(text).agg(best.alias("_best")).select(text, "_best.*")
 

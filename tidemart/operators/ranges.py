@@ -1,50 +1,36 @@
-"""Address → range lookup as an equality join on buckets."""
+"""Key → range lookup as an equality join on common prefixes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizes import BROADCAST_BYTES, is_small
 
-BUCKET_BITS = 12
-
-
-def bucketed_ranges(ranges: DataFrame, low: str, high: str, bits: int = BUCKET_BITS) -> DataFrame:
-    """One row per bucket a range touches."""
-    first, last = F.shiftright(F.col(low), bits), F.shiftright(F.col(high), bits)
-    return ranges.withColumn("_bucket", F.explode(F.sequence(first, last)))
+def common_prefix(a: Column, b: Column, digits: int) -> Column:
+    """Length of the common beginning of two texts of the same length."""
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(digits)), F.lit(0),
+        lambda n, i: F.when((n == i - 1) & (a.substr(i, F.lit(1)) == b.substr(i, F.lit(1))), i).otherwise(n),
+    )
 
 
-def range_lookup(
-    df: DataFrame,
-    point: str,
-    ranges: DataFrame,
-    low: str,
-    high: str,
-    bits: int = BUCKET_BITS,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def range_lookup(df: DataFrame, point: str, ranges: DataFrame, low: str, high: str, digits: int = 32) -> DataFrame:
     """Left join of ``point`` to the range that holds it; ranges must not overlap.
 
-    A range table below the size limit is broadcast, which needs no shuffle of ``df``. A larger one is
-    joined to the distinct points only (so a bucket never pairs more than its 2^bits addresses with its
-    ranges), and the answer is joined back by equality, where Spark splits a frequent address.
+    All three are texts of ``digits`` hexadecimal digits. A range has one row, under the common prefix of its
+    ends, and a point looks under its prefixes of those lengths that occur. Ranges under one prefix differ in the
+    next digit, and as they do not overlap there are at most 15 of them, so neither side grows with the width of
+    a range. Distinct points are looked up once, and the answer is joined back by equality, where Spark
+    splits a frequent one.
     """
     values = [c for c in ranges.columns if c not in (low, high)]
-    side = bucketed_ranges(ranges, low, high, bits).select(
-        "_bucket", F.col(low).alias("_low"), F.col(high).alias("_high"), *values
-    )
-    inside = F.col(point).between(F.col("_low"), F.col("_high"))
-    if is_small(ranges, broadcast_bytes):
-        keyed = df.withColumn("_b", F.shiftright(F.col(point), bits))
-        return keyed.join(
-            F.broadcast(side), (F.col("_b") == F.col("_bucket")) & inside, "left"
-        ).drop("_b", "_bucket", "_low", "_high")
+    side = ranges.where(F.col(low) <= F.col(high)).select(
+        common_prefix(F.col(low), F.col(high), digits).alias("_length"), F.col(low).alias("_low"), F.col(high).alias("_high"), *values
+    ).withColumn("_prefix", F.expr("substring(_low, 1, _length)"))
+    lengths = side.agg(F.sort_array(F.collect_set("_length"))).scalar()
     points = df.select(point).where(F.col(point).isNotNull()).distinct()
-    found = (
-        points.withColumn("_b", F.shiftright(F.col(point), bits))
-        .join(side, (F.col("_b") == F.col("_bucket")) & inside)
-        .select(point, *values)
-    )
+    asked = points.withColumn("_length", F.explode(lengths)).withColumn(
+        "_prefix", F.col(point).substr(F.lit(1), F.col("_length")))
+    inside = F.col(point).between(F.col("_low"), F.col("_high"))
+    found = asked.join(side, ["_length", "_prefix"]).where(inside).select(point, *values)
     return df.join(found, point, "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.codes import next_hundred
@@ -30,15 +31,29 @@ def users_of_product(facts: DataFrame, product_id: str, first_day: str, last_day
     )
 
 
-def deposit_moments(deposits: DataFrame) -> DataFrame:
-    """Per user: number of deposit days, mean, sample variance and median of the daily deposits."""
+def deposit_moments(deposits: DataFrame, since: str | None = None, sum_since: str | None = None) -> DataFrame:
+    """Per user: number of deposit days, mean, sample variance and median of the daily deposits, and their sum.
+
+    All but the sum take the days from ``since`` on, the sum those from ``sum_since`` on (all if not given),
+    so one scan serves two look-backs. The median is that of the ranks in the daily rows, which a user has
+    few of, and which are shuffled by user anyway.
+    """
     daily = deposits.groupBy("user_fk", "dt").agg(F.sum(money("deposit_amount")).alias("_dep"))
-    dep = F.col("_dep").cast("double")
-    return daily.groupBy("user_fk").agg(
-        F.count(F.lit(1)).alias("cnt"),
+    counts = F.col("dt") >= since if since else F.lit(True)
+    summed = F.col("dt") >= sum_since if sum_since else F.lit(True)
+    user = W.partitionBy("user_fk")
+    ranked = daily.withColumn("_counts", counts).withColumns({
+        "_days": F.count_if("_counts").over(user),
+        "_rank": F.row_number().over(user.orderBy(F.desc("_counts"), "_dep")),
+    })
+    dep, days = F.when(F.col("_counts"), F.col("_dep").cast("double")), F.col("_days")
+    middle = F.col("_rank").isin(F.floor((days + 1) / 2), F.floor(days / 2) + 1)
+    return ranked.groupBy("user_fk").agg(
+        F.count(dep).alias("cnt"),
         F.avg(dep).alias("mean"),
         F.var_samp(dep).alias("variance"),
-        F.median(dep).alias("dep_median"),
+        F.avg(F.when(middle, dep)).alias("dep_median"),
+        F.sum(F.when(summed, F.col("_dep"))).alias("_in"),
     )
 
 
@@ -60,20 +75,25 @@ def active_days(logins: DataFrame, last_day: str, days: int = LOGIN_DAYS, recent
 def net_profit_rate(deposits: DataFrame, withdrawals: DataFrame) -> DataFrame:
     """Share of the deposits that was not withdrawn again, per user with deposits."""
     put = deposits.groupBy("user_fk").agg(F.sum(money("deposit_amount")).alias("_in"))
+    return _with_net_rate(put, withdrawals)
+
+
+def _with_net_rate(put: DataFrame, withdrawals: DataFrame) -> DataFrame:
+    """Add the sums and the rate to users with their deposits ``_in``; all are null without deposits."""
     taken = withdrawals.groupBy("user_fk").agg(F.sum(money("withdraw_amount")).alias("_out"))
-    out = F.coalesce("_out", F.lit(0).cast("decimal(38,18)"))
-    return put.join(taken, "user_fk", "left").select(
-        "user_fk",
-        F.col("_in").cast("double").alias("dep_sum"),
-        out.cast("double").alias("withdraw_sum"),
-        ratio(F.col("_in") - out, F.col("_in")).alias("net_profit_rate"),
-    )
+    out = F.when(F.col("_in").isNotNull(), F.coalesce("_out", money(F.lit(0))))
+    return put.join(taken, "user_fk", "left").withColumns({
+        "dep_sum": F.col("_in").cast("double"),
+        "withdraw_sum": out.cast("double"),
+        "net_profit_rate": ratio(F.col("_in") - out, F.col("_in")),
+    }).drop("_in", "_out")
 
 
 def gamma_segments(moments: DataFrame) -> DataFrame:
     """Gamma parameters by moments and the two segment borders, rounded up to the next hundred.
 
-    Users whose daily deposits do not vary are left out, as are borders that do not rise.
+    Users whose daily deposits do not vary are left out, as are borders that do not rise. A border beyond the
+    whole numbers raises.
     """
     varying = moments.where(F.col("variance") != 0)
     alpha, beta, mode, median = (F.col(c) for c in ("alpha", "beta", "mode", "median"))
@@ -90,13 +110,20 @@ def gamma_segments(moments: DataFrame) -> DataFrame:
             .otherwise(F.try_divide(alpha, beta)),
         )
         .withColumn("_next", raw + F.try_divide(raw, beta * raw - alpha + 1))
-        .withColumn("bdry", next_hundred("_raw"))
-        .withColumn("next_bdry", next_hundred("_next"))
+        .withColumn("bdry", _whole_border("_raw"))
+        .withColumn("next_bdry", _whole_border("_next"))
         .drop("_raw", "_next", "variance", "mean")
         .where(F.col("bdry") < F.col("next_bdry"))
     )
 
 
+def _whole_border(raw: str) -> Column:
+    """The next hundred, null only where the border itself is."""
+    message = F.concat(F.lit("border beyond the whole numbers: "), F.col(raw).cast("string"))
+    undefined = F.col(raw).isNull() | F.isnan(raw)
+    return F.coalesce(next_hundred(raw), F.when(~undefined, F.raise_error(message).cast("bigint")))
+
+
 def _ladder(low: Column, high: Column, net_rate: Column) -> Column:
     """The steps of a ladder: a fold, because each rate is computed from the one before."""
     steps = F.length(high.cast("string")) - 1
@@ -186,16 +213,16 @@ def mission_ladder(
         F.col("user_id").alias("user_fk"),
         F.datediff(F.lit(run_date).cast("date"), F.substring_index("register_time", "T", 1).cast("date")).alias("age"),
     )
+    renewal, net = days_before(run_date, renewal_days), days_before(run_date, net_days)
     fit = (
-        deposit_moments(since(deposits, renewal_days))
+        deposit_moments(since(deposits, max(renewal_days, net_days)), renewal, net)
         .where(F.col("cnt") > MIN_DAYS)
         .join(ages, "user_fk", "left")
         .join(active_days(since(logins, LOGIN_DAYS), yesterday), "user_fk", "left")
         .fillna(0, ["age", "cnt_30", "cnt_7"])
         .where((F.col("cnt") > MANY_DAYS) | (F.col("age") < NEW_USER_AGE))
     )
-    net = net_profit_rate(since(deposits, net_days), since(withdrawals, net_days))
-    segments = gamma_segments(fit.join(net, "user_fk", "left"))
+    segments = gamma_segments(_with_net_rate(fit, since(withdrawals, net_days)))
     return with_ladder(segments).select(
         F.col("user_fk").alias("user_id"),
         "beta", "alpha", "mode", "median", "bdry", "next_bdry", "missions", "budget",

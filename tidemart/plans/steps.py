@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import full_province
-from ..functions.network import ipv4_number
+from ..functions.network import address_key
 from ..functions.times import iso_hour, iso_millis
 from ..operators.lookups import lookup_with_defaults
 from ..operators.ordered import next_value
@@ -36,18 +36,16 @@ FACT_KEYS = (
 )
 
 
-def enrich_ip(df: DataFrame, ip: str, ranges: DataFrame, prefix: str = "", **limits: int) -> DataFrame:
+def enrich_ip(df: DataFrame, ip: str, ranges: DataFrame, prefix: str = "") -> DataFrame:
     """Add country, province and city of the first address in ``ip``; 未知 where there is none.
 
-    ``ranges``: ip_from, ip_to, country, province, city, not overlapping.
+    ``ranges``: ip_from, ip_to (see ``address_key``), country, province, city, not overlapping.
     """
     named = ranges.select(
         "ip_from", "ip_to",
         *[F.col(c).alias(f"_{c}") for c in ("country", "province", "city")],
     )
-    found = range_lookup(
-        df.withColumn("_ip", ipv4_number(ip)), "_ip", named, "ip_from", "ip_to", **limits
-    )
+    found = range_lookup(df.withColumn("_ip", address_key(ip)), "_ip", named, "ip_from", "ip_to")
     city = F.when(F.col("_city").contains(CITY_SUFFIX), F.col("_city")).otherwise(
         F.concat("_city", F.lit(CITY_SUFFIX))
     )

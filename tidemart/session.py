@@ -14,9 +14,14 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
+# Scratch folders of sessions on this machine; they go with the process.
+LOCAL: list[tempfile.TemporaryDirectory] = []
+
+
 def local_session(name: str, cpus: int | str = 8, **extra: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(name)
@@ -31,6 +36,13 @@ def local_session(name: str, cpus: int | str = 8, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """A session that was made elsewhere, with the settings the jobs rely on."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the checkpoint folder the cluster names (shared by all executors).
 
@@ -40,6 +52,7 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidemart-")
+        LOCAL.append(tempfile.TemporaryDirectory(prefix="tidemart-", ignore_cleanup_errors=True))
+        base = LOCAL[-1].name
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -1,9 +1,8 @@
-"""Table and file writers. A rerun of a job leaves the same table behind."""
+"""Table and file writers. A rerun of a job leaves the same table behind, except for the relational append."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,16 +13,14 @@ def _balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in by]) if by else df.hint("rebalance")
 
 
-@contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
-    """Inserts into a catalog table follow the session setting, not an option of the writer."""
+def _require_dynamic(spark: SparkSession) -> None:
+    """Inserts into a catalog table follow the session's overwrite mode, not an option of the writer.
+
+    It is not switched around a write, as two jobs in one session would meet: the session has to be dynamic.
+    """
     name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name)
-    spark.conf.set(name, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    if spark.conf.get(name).lower() != "dynamic":
+        raise ValueError(f"set {name} to dynamic (see tidemart.session.prepared)")
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -55,23 +52,26 @@ def insert_overwrite(df: DataFrame, table: str) -> None:
     position.
     """
     spark = df.sparkSession
+    _require_dynamic(spark)
     target = spark.table(table)
     by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     aligned = _balanced(df.select(*target.columns), by)
-    with _overwrite_mode(spark, "dynamic"):
-        aligned.write.insertInto(table, overwrite=True)
+    aligned.write.insertInto(table, overwrite=True)
 
 
 def replace_key(df: DataFrame, table: str, key: dict[str, str | int]) -> None:
-    """Replace all rows of one key of a table partitioned by it, also when ``df`` has none."""
+    """Replace all rows of one key of a table partitioned by it, also when ``df`` has none.
+
+    ``key`` names all partition columns: a full partition is replaced alone in either mode.
+    """
     spark = df.sparkSession
+    _require_dynamic(spark)
     rest = [c for c in spark.table(table).columns if c not in key]
     spec = ", ".join(f"`{k}` = {v!r}" for k, v in key.items())
-    with _overwrite_mode(spark, "static"):
-        spark.sql(
-            f"insert overwrite table {table} partition ({spec}) select * from {{rows}}",
-            rows=_balanced(df.select(*rest), []),
-        )
+    spark.sql(
+        f"insert overwrite table {table} partition ({spec}) select * from {{rows}}",
+        rows=_balanced(df.select(*rest), []),
+    )
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -100,9 +100,9 @@ def write_text(df: DataFrame, path: str) -> None:
 
 
 def append_relational(df: DataFrame, url: str, table: str, connections: int = 8, **options: str) -> None:
-    """Append rows to a relational table over a bounded number of connections."""
+    """Append rows to a relational table over a bounded number of connections; a rerun appends them again."""
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .write.format("jdbc")
         .mode("append")
         .option("url", url)

@@ -56,7 +56,7 @@ def read_relational(
     return reader.load()
 
 
-def read_game_snapshot(spark: SparkSession, url: str, table: str, snapshot_date: str, **options: str) -> DataFrame:
-    """Daily snapshot of the game catalog."""
+def read_game_snapshot(spark: SparkSession, url: str, table: str, snapshot_date: str, **options: object) -> DataFrame:
+    """Daily snapshot of the game catalog; ``split_on``, ``bounds`` and ``partitions`` as in :func:`read_relational`."""
     source = read_relational(spark, url, table, **options)
     return snapshot_rows(source, GAME_COLUMNS, GAME_TIMES, snapshot_date)

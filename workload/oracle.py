@@ -5,6 +5,8 @@ Written independently of the Spark plans; the tables of codes (provinces, banks,
 
 from __future__ import annotations
 
+import ipaddress
+
 from tidemart.functions import codes
 from tidemart.plans import banks
 
@@ -432,9 +434,16 @@ FROM daily LEFT JOIN versions ON daily.event_type = versions.event_type
 GROUP BY 1, 2"""
 
 IP = """CASE WHEN k = 0 THEN '' WHEN k = 1 THEN '36.' || (user_id % 64) || '.' || (event_id % 256) || '.7,10.0.0.1'
-    WHEN k = 2 THEN 'fe80::1' ELSE '36.' || (user_id % 64) || '.' || (event_id % 256) || '.' || k END"""
+    WHEN k = 2 THEN 'fe80::' || printf('%x', event_id % 256) ELSE '36.' || (user_id % 64) || '.' || (event_id % 256) || '.' || k END"""
+
+
+def ip_digits(text: str) -> str:
+    """32 hexadecimal digits of an address, IPv4 as mapped into IPv6."""
+    return f"{int(ipaddress.IPv6Address(f'::ffff:{text}' if '.' in text else text)):032x}"
+
+
 RANGES = values(
-    [(t.ip_number(a), t.ip_number(b), *names) for a, b, *names in t.IP_RANGES],
+    [(ip_digits(a), ip_digits(b), *names) for a, b, *names in t.IP_RANGES],
     "r(ip_from, ip_to, country, province, city)",
 )
 
@@ -442,7 +451,9 @@ RANGES = values(
 def ip_value(text: str) -> str:
     first = f"split_part({text}, ',', 1)"
     parts = [f"TRY_CAST(split_part({first}, '.', {i}) AS BIGINT)" for i in range(1, 5)]
-    return f"(({parts[0]} * 256 + {parts[1]}) * 256 + {parts[2]}) * 256 + {parts[3]}"
+    four = f"(({parts[0]} * 256 + {parts[1]}) * 256 + {parts[2]}) * 256 + {parts[3]}"
+    return f"""CASE WHEN {first} LIKE 'fe80::%' THEN 'fe80' || repeat('0', 24) || lpad(split_part({first}, '::', 2), 4, '0')
+      ELSE repeat('0', 20) || 'ffff' || printf('%08x', {four}) END"""
 
 
 _PROVINCE = (

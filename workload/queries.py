@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemart.functions import codes, times
 from tidemart.operators import lookups, matching, ordered
 from tidemart.plans import banks, funnel, games, logins, missions, money, returns, steps, streaks
-from tidemart.session import scratch_folder
+from tidemart.session import prepared, scratch_folder
 from tidemart.sinks import tables as sinks
 from tidemart.sources import relational, tables, text
 from tidemart.streaming import events as streams
@@ -260,7 +260,7 @@ def net_profit_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def gamma_segments(spark: SparkSession, sf: str) -> DataFrame:
-    moments = missions.deposit_moments(t.order_deposits(spark, sf)).where("cnt > 1")
+    moments = missions.deposit_moments(t.order_deposits(spark, sf)).where("cnt > 1").drop("_in")
     fit = missions.gamma_segments(moments)
     return rounded(rounded(fit, 6, "alpha", "mode", "median", "dep_median"), 12, "beta")
 
@@ -392,7 +392,7 @@ def explode_const(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def sink_dynamic_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """Write all days, then twice again the last week with doubled values."""
-    path = scratch_folder(spark, "fact")
+    path = scratch_folder(prepared(spark), "fact")
     name = "fact_" + path.rsplit("-", 1)[1]
     rows = t.events(spark, sf).select("event_id", "value", "dt")
     sinks.create_partitioned_table(spark, name, rows, ["dt"], path)
@@ -400,13 +400,14 @@ def sink_dynamic_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     late = rows.where("dt >= '2024-01-24'").select("dt", (F.col("value") * 2).alias("value"), "event_id")
     for _ in range(2):
         sinks.insert_overwrite(late, name)
-    return spark.table(name).select("event_id", "value", "dt")
+    spark.sql(f"drop table {name}")  # external: the files stay until the folder goes
+    return spark.read.parquet(path).select("event_id", "value", F.col("dt").cast("string").alias("dt"))
 
 
 @query
 def sink_replace_key(spark: SparkSession, sf: str) -> DataFrame:
     """Daily order totals per status, with the totals of one status replaced twice."""
-    path = scratch_folder(spark, "replace")
+    path = scratch_folder(prepared(spark), "replace")
     name = "replace_" + path.rsplit("-", 1)[1]
     rows = table(spark, sf, "orders").groupBy(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
@@ -420,7 +421,9 @@ def sink_replace_key(spark: SparkSession, sf: str) -> DataFrame:
     again = rows.where("product_id = 'F'").withColumn("n", F.col("n") * 10)
     for _ in range(2):
         sinks.replace_key(again, name, {"product_id": "F", "dt": "2001-08-02", "renewal_period": 7})
-    return spark.table(name).select("day", "n", *key)
+    spark.sql(f"drop table {name}")
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    return spark.read.parquet(path).select("day", "n", *[F.col(c).cast(kinds[c]).alias(c) for c in key])
 
 
 @query

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.functions.network import address_key
 from tidemart.sources.tables import inline_table, read_table
 
 LOAD_TIME = "2024-02-01T00:00:00.000+08:00"
@@ -46,6 +47,8 @@ IP_RANGES = [
     ("36.40.0.0", "36.55.255.255", "美国", "California", "San Jose"),
     ("36.56.0.0", "36.56.3.255", "中国", "浙江", "杭州市"),
     ("36.56.4.0", "36.56.4.127", None, "沪", "上海"),
+    ("fe80::", "fe80::7f", "越南", "Hanoi", None),
+    ("fe80::80", "fe80::ffff", "中国", "广东", "广州"),
 ]
 
 KEYWORDS = [("ring", "Ring"), ("red", "Red things"), ("bolt", "Bolt"), ("old", "Old things"), ("widget", "Widget")]
@@ -68,13 +71,6 @@ MISSION_RUN = "2001-08-02"
 MISSION_DAYS = 2500
 
 
-def ip_number(text: str) -> int:
-    n = 0
-    for part in text.split("."):
-        n = n * 256 + int(part)
-    return n
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, name, sf)
 
@@ -284,15 +280,13 @@ def step_lines(spark: SparkSession) -> DataFrame:
 
 
 def ip_ranges(spark: SparkSession) -> DataFrame:
-    rows = [(ip_number(a), ip_number(b), *names) for a, b, *names in IP_RANGES]
-    return inline_table(spark, ["ip_from", "ip_to", "country", "province", "city"], rows).selectExpr(
-        "cast(ip_from as bigint) as ip_from", "cast(ip_to as bigint) as ip_to", "country", "province", "city"
-    )
+    rows = inline_table(spark, ["ip_from", "ip_to", "country", "province", "city"], IP_RANGES)
+    return rows.withColumns({c: address_key(c) for c in ("ip_from", "ip_to")})
 
 
 IP_EXPR = (
     "case when k = 0 then '' when k = 1 then concat('36.', user_id % 64, '.', event_id % 256, '.7,10.0.0.1')"
-    " when k = 2 then 'fe80::1' else concat('36.', user_id % 64, '.', event_id % 256, '.', k) end"
+    " when k = 2 then concat('fe80::', lower(hex(event_id % 256))) else concat('36.', user_id % 64, '.', event_id % 256, '.', k) end"
 )
 
 
