@@ -604,3 +604,26 @@ FROM orders GROUP BY 1, o_orderstatus"""
 ORACLE["sink_roundtrip"] = f"""
 SELECT product_id, platform, gametype, exec_date, plot_time_label, monetary, "return", CAST(2 AS BIGINT) AS copies
 FROM {INTRADAY}"""
+
+# --- variants that reach more of the library ---------------------------------------------------
+
+ORACLE["deposit_hourly_days"] = f"SELECT * FROM ({ORACLE['deposit_hourly']}) WHERE dt BETWEEN '1997-01-01' AND '1998-06-30'"
+
+ORACLE["streak_report"] = f"""
+WITH bets AS (
+  SELECT dt, user_id, ts, event_id, event_type, k, value, strftime(ts, '%Y%m%d%H') AS hour FROM {EVENTS}
+  WHERE event_type IN ('click', 'purchase')),
+hedged AS (SELECT user_id, hour FROM bets GROUP BY 1, 2 HAVING count(DISTINCT event_type) = 2),
+rows AS (
+  SELECT dt, bets.user_id, ts, event_id, h.user_id IS NOT NULL AS reset, k >= 5 AND value <> 0 AS hit
+  FROM bets LEFT JOIN hedged h ON bets.user_id = h.user_id AND bets.hour = h.hour),
+runs AS (
+  SELECT *, sum(CAST(reset AS INTEGER)) OVER (PARTITION BY dt, user_id ORDER BY ts, event_id) AS run FROM rows),
+best AS (
+  SELECT dt, user_id, max(hits) AS streak FROM (
+    SELECT dt, user_id, run, count(*) FILTER (WHERE hit AND NOT reset) AS hits FROM runs GROUP BY 1, 2, 3) GROUP BY 1, 2)
+SELECT dt, CAST(unnest(range(1, least(streak, 18) + 1)) AS INTEGER) AS streak, user_id FROM best WHERE streak >= 1"""
+
+ORACLE["stream_lines"] = """
+SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type AS value, count(*) AS n
+FROM events GROUP BY 1, 2"""

@@ -171,6 +171,15 @@ def deposit_hourly(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def deposit_hourly_days(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily runs of a range of days in one call."""
+    return money.deposit_hourly(
+        t.order_credits(spark, sf), t.customers(spark, sf), _order_hours(spark), t.currencies(spark), LOAD_TIME,
+        days=("1997-01-01", "1998-06-30"),
+    )
+
+
 @query
 def withdraw_hourly(spark: SparkSession, sf: str) -> DataFrame:
     logs = t.line_credits(spark, sf, {"N": "111200", "R": "111202", "A": "111205"})
@@ -285,6 +294,23 @@ def win_streak(spark: SparkSession, sf: str) -> DataFrame:
     return streaks.streak_levels(found)
 
 
+@query
+def streak_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Streaks per day and user of one game's bets on a side, as the report read back from its files."""
+    logs = t.streak_bets(spark, sf).withColumns({
+        "dt": F.date_format("ts", "yyyy-MM-dd"), "product_id": F.lit("A01"), "platform": F.lit("AGQJ"),
+        "gametype": F.lit("BAC"), "game_kind": F.lit(5),
+    })
+    bets = streaks.round_bets(logs, "A01", "AGQJ", "BAC", 5, *t.EVENT_DAYS)
+    found = streaks.win_streak(bets, ["dt", "user_id"], ["ts", "event_id"], shortest=1)
+    path = scratch_folder(spark, "report")
+    streaks.write_streak_report(streaks.streak_levels(found, 1), path)
+    day, length, user = streaks.REPORT_COLUMNS
+    return spark.read.option("header", True).csv(path).select(
+        F.col(day).alias("dt"), F.col(length).cast("int").alias("streak"), F.col(user).cast("bigint").alias("user_id")
+    )
+
+
 @query
 def hedged_rounds(spark: SparkSession, sf: str) -> DataFrame:
     return streaks.hedged_rounds(t.streak_bets(spark, sf), ["user_id"])
@@ -468,3 +494,18 @@ def stream_window(spark: SparkSession, sf: str) -> DataFrame:
     return latest.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n"
     )
+
+
+@query
+def stream_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of time and value as a text stream of several micro-batches, counted per minute."""
+    source, path = scratch_folder(spark, "lines"), scratch_folder(spark, "line-windows")
+    lines = table(spark, sf, "events").select(
+        F.concat_ws(" ", F.unix_seconds(F.col("ts").cast("timestamp")), "event_type").alias("value"), "event_type")
+    lines.repartition(4, "event_type").select("value").write.text(source)
+    schema = spark.createDataFrame([], "value string").schema
+    timed = streams.timed_lines(streams.read_event_files(spark, source, schema, "text", max_bytes=1))
+    counts = streams.window_counts(timed.withColumn("ts", F.timestamp_seconds("time")), "ts", ["value"], width="1 minute")
+    streams.write_changes(counts, path, path + "-state").awaitTermination()
+    latest = streams.latest_changes(spark.read.parquet(path), ["window_start", "value"], "n")
+    return latest.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "value", "n")
