@@ -1,16 +1,10 @@
-"""Size checks: when a side may be broadcast and which groups are too big for one task."""
+"""Size checks: when a side may be broadcast."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from ..functions.columns import left_join_null_safe
+from pyspark.sql import DataFrame
 
 BROADCAST_BYTES = 32 << 20
-LITTLE_BYTES = 64 << 20
-HOT_SHARE = 1 / 20_000
-HOT_ROWS = 1_000_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -20,39 +14,3 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return estimated_bytes(df) <= limit
-
-
-def reads_little(df: DataFrame, limit: int = LITTLE_BYTES) -> bool:
-    """Whether all scans below a plan read so little that any group of it fits into one task.
-
-    The sizes of the scans are used, because Catalyst's estimates for joins multiply their inputs.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())) <= limit
-
-
-def hot_groups(
-    df: DataFrame,
-    keys: list[str],
-    measures: dict[str, Column] | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Groups holding more than ``share`` of all rows (and more than ``min_rows``), with their size.
-
-    At most ``1 / share`` groups can qualify however large the data is, so the result is safe to
-    broadcast. The counting is a map-side combined aggregate over the key columns only. The total is
-    taken from the same counts; it asks for all their columns so that Spark runs the scan only once.
-    """
-    measures = measures or {}
-    sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), *[c.alias(name) for name, c in measures.items()]
-    )
-    total = sizes.agg(F.struct(F.sum("_rows").alias("n"), *[F.max(name) for name in measures])).scalar()["n"]
-    limit = F.greatest(total * F.lit(share), F.lit(float(min_rows)))
-    return sizes.where(F.col("_rows") > limit).withColumn("_limit", limit)
-
-
-def mark_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach the columns of :func:`hot_groups`; they are null in ordinary groups."""
-    return left_join_null_safe(df, F.broadcast(hot), keys)
