@@ -151,17 +151,20 @@ def _close(a: str, b: str) -> F.Column:
 
 
 def _nodes(classes: DataFrame) -> DataFrame:
-    """`rep` and `node` of every node with at least two documents, at the depth where it stops branching."""
+    """`rep` and `node` of every node with at least two documents, at the depth where it stops branching.
+
+    Each level is written, as several reads of it follow: its counts, what is settled, and what branches on.
+    """
     settled, rows = None, classes.select("rep", F.posexplode(f"path{FIRST_DEPTH}").alias("tree", "node"))
     for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
         held = rows.groupBy("node").agg(F.count("*").alias("held")).where("held > 1")
-        rows = rows.join(held, "node")
+        level = _stored(rows.join(held, "node"), f"level-{depth}")
+        done = level
         if depth < LAST_DEPTH:
-            done, crowded = rows.where(F.col("held") <= CROWDED), rows.where(F.col("held") > CROWDED)
+            done, crowded = level.where(F.col("held") <= CROWDED), level.where(F.col("held") > CROWDED)
             deeper = classes.select("rep", F.col(f"path{depth + 1}").alias("path"))
             rows = crowded.drop("held", "node").join(deeper, "rep").select("rep", "tree", F.expr("path[tree]").alias("node"))
-        else:
-            done = rows
+            rows = _stored(rows, f"branches-{depth}")
         done = done.select("rep", "node")
         settled = done if settled is None else settled.unionAll(done)
     return settled
