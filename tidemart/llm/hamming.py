@@ -44,9 +44,10 @@ def _coded(vectors: DataFrame, id_column: str, vector_column: str, dims: int) ->
     return known.select("id", segments("v", dims).alias("code"))
 
 
-def _masks(bits: int, radius: int) -> list[int]:
-    """All segment differences of so many bits, ascending."""
-    return sorted(sum(1 << b for b in chosen) for chosen in combinations(range(bits), radius))
+def _masks(bits: int, radius: int) -> F.Column:
+    """All segment differences of so many bits, as one constant array."""
+    found = sorted(sum(1 << b for b in chosen) for chosen in combinations(range(bits), radius))
+    return F.from_json(F.lit(str(found)), "array<int>")
 
 
 def _distance(a: str, b: str) -> str:
@@ -84,8 +85,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, dims: int = 64, i
         if open_queries.isEmpty():
             break
         probes = open_queries.select("query", "bound", F.posexplode("query").alias("segment", "own"))
-        options = [F.lit(_masks(width, radius)).cast("array<int>") for width in widths]
-        mask = F.explode(F.element_at(F.array(*options), F.col("segment") + 1))
+        # Only the last segment can be narrower than the others.
+        masks = _masks(widths[0], radius)
+        if widths[-1] != widths[0]:
+            masks = F.when(F.col("segment") == m - 1, _masks(widths[-1], radius)).otherwise(masks)
+        mask = F.explode(masks)
         probes = probes.select("query", "bound", "segment", "own", mask.alias("mask")).select(
             "query", "bound", "segment", F.expr("own ^ mask").alias("value"))
         found = (
