@@ -274,9 +274,9 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     pivots = nodes.groupBy("node").agg(F.min(F.struct("rep", "n", "s1", "s2")).alias("p"))
     seen = nodes.alias("m").join(pivots, "node").withColumn("near", _close("m", "p") & F.expr("m.rep <> p.rep"))
     edges = seen.where("near").groupBy("rep").agg(F.min("p.rep").alias("pivot"))
-    far = seen.where("not near and m.rep <> p.rep").select("node", "rep", "n", "s1", "s2")
+    flagged = seen.withColumn("stray", F.expr("not near and m.rep <> p.rep")).select("node", "rep", "n", "s1", "s2", "stray")
     edges = _stored(edges, "edges")
-    strays = _stored(_pairs(far, nodes, F.lit(True)), "strays")
+    strays = _stored(_pairs(flagged, F.lit(True)), "strays")
     ends = [edges.select("rep"), edges.select("pivot"), strays.select("u"), strays.select("v")]
     # The ends of all later candidates are among these: such a pair is near a pivot or one of them is far from it.
     wanted = reduce(DataFrame.unionAll, [*ends, seen.where("near").select("p.rep")]).toDF("doc_id").distinct()
@@ -289,7 +289,7 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     mixed_nodes = marked.groupBy("node").agg(F.min("part").alias("main"), F.max("part").alias("last")).where("main <> last")
     open_rows = marked.join(mixed_nodes.select("node", "main"), "node").join(stars.select("rep", "pivot"), "rep", "left")
     apart = F.expr("a.part <> b.part and not coalesce(a.pivot = b.pivot or a.pivot = b.rep or b.pivot = a.rep, false)")
-    across = _pairs(open_rows.where("part <> main"), open_rows, apart).join(strays, ["u", "v"], "left_anti")
+    across = _pairs(open_rows.withColumn("stray", F.expr("part <> main")), apart).join(strays, ["u", "v"], "left_anti")
     more = _confirmed(across, sets).unionAll(_links_of_pivots(stars, placed))
     joined = connected_components(placed.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more))
 
@@ -302,8 +302,9 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     )
 
 
-def _pairs(some: DataFrame, every: DataFrame, rule: F.Column) -> DataFrame:
-    """Distinct pairs (u < v) of rows in one node that a rule and their sketches allow."""
-    both = some.alias("a").join(every.alias("b"), F.expr("a.node = b.node and a.rep <> b.rep") & rule & _close("a", "b"))
+def _pairs(rows: DataFrame, rule: F.Column) -> DataFrame:
+    """Distinct pairs (u < v) of a stray row and any other of its node that a rule and their sketches allow."""
+    once = F.expr("a.node = b.node and a.rep <> b.rep and not (b.stray and b.rep < a.rep)")
+    both = rows.where("stray").alias("a").join(rows.alias("b"), once & rule & _close("a", "b"))
     return both.select(F.expr("least(a.rep, b.rep)").alias("u"), F.expr("greatest(a.rep, b.rep)").alias("v")).distinct()
 
