@@ -42,6 +42,16 @@ def test_edited_copies_are_found_and_others_are_not(spark):
     assert (found[1].score, found[1].first_word, found[1].last_word, found[1].item_id) == (1.0, 50, 90, 7)
 
 
+@pytest.mark.parametrize("length", [16, 24, 32, 48, 64])
+def test_a_single_edited_copy_is_found(spark, length):
+    """Nothing else in the corpus holds n-grams of the item; every fourth word of the copy is another one."""
+    item = [f"w{i}" for i in range(length)]
+    copy = [f"x{i}" if i % 4 == 2 else w for i, w in enumerate(item)]
+    docs = [(1, " ".join(["before"] * 9 + copy + ["after"] * 9)), (2, " ".join(item[::3]))]
+    found = dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string"))
+    assert [(r.doc_id, r.item_id, r.score) for r in found.collect()] == [(1, 7, pytest.approx(plain_score(item, copy) / (2 * length)))]
+
+
 def test_blocks_and_long_items(spark, monkeypatch):
     monkeypatch.setattr(dc, "BLOCK_ITEMS", 2)
     monkeypatch.setattr(dc, "ITEM_WORDS", 30)

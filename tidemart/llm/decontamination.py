@@ -1,15 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, a bound by common words, then Smith-Waterman alignment.
 
-1. The n-grams of the test items (`GRAM` words) are counted in the whole corpus: in how many documents each one occurs.
-2. Every stretch of `STRETCH` words of an item keeps its `SEEDS` rarest n-grams as seeds. Rarity is relative to the
-   stretch, so a passage that leaked into a third of all documents has seeds as well.
-3. Documents that hold seeds of an item are aligned with it: Smith-Waterman over words (match 2, mismatch -1, gap -1) in
-   the regions around the seeds, regions of one item that touch being one. The score is the share of the best
-   possible one, 2 for each word of the item. Edited and paraphrased copies lose points, but align on.
+1. All n-grams of the test items (`GRAM` words) are seeds, so an edited copy needs only one of them intact to be looked at.
+2. Around the seeds of an item that a document holds lie the regions where the item may be; those that touch are one.
+   A region whose words, each giving its full points, cannot reach the threshold is left out. That bound is exact, and
+   it is what n-grams that occur in many documents cost.
+3. The other regions are aligned with the item: Smith-Waterman over words (match 2, mismatch -1, gap -1). The score is
+   the share of the best possible one, 2 for each word of the item. Edited and paraphrased copies lose points, but align on.
 
 Items are taken in blocks of at most `BLOCK_ITEMS` with at most `ITEM_WORDS` words each in the tables sent to the tasks
 (longer items are cut into parts that are matched one by one), so what is broadcast has a fixed bound; the documents
-are read once for each block and step, without a shuffle of texts.
+are read once for each block, without a shuffle.
 
 Words are runs of letters and digits in lower case. Items with fewer words than an n-gram match nothing. Edge cases: null or empty texts match nothing, on either side; null ids are kept in matches; repeated rows of
 documents give a match each, repeated items (equal id and text) one; an empty table gives no matches; other columns
@@ -19,8 +19,8 @@ are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
-from dataclasses import dataclass, field
+from collections import defaultdict
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +30,6 @@ from pyspark.sql import functions as F
 from .common import id_and_text, keep_rows, map_batches
 
 GRAM = 3
-STRETCH = 8
-SEEDS = 4
 THRESHOLD = 0.5
 BLOCK_ITEMS = 2_000
 ITEM_WORDS = 400
@@ -49,25 +47,18 @@ def grams_of(words: list[str]) -> list[tuple[str, ...]]:
 
 @dataclass
 class Items:
-    """A block of test items and, once chosen, their seeds."""
+    """A block of test items."""
 
     ids: list[int | None]
     words: list[list[str]]
-    seeds: dict[tuple[str, ...], list[tuple[int, int]]] = field(default_factory=dict)  # seed -> (item, place)
 
-    def grams(self) -> set[tuple[str, ...]]:
-        return {g for words in self.words for g in grams_of(words)}
-
-    def choose_seeds(self, held_by: dict[tuple[str, ...], int]) -> None:
-        """The rarest n-grams of every stretch; the earlier one of equals."""
+    def seeds(self) -> dict[tuple[str, ...], list[tuple[int, int]]]:
+        """The items and places of every n-gram."""
         seeds: dict[tuple[str, ...], list[tuple[int, int]]] = defaultdict(list)
         for item, words in enumerate(self.words):
-            grams = grams_of(words)
-            for begin in range(0, len(grams), STRETCH):
-                places = range(begin, min(begin + STRETCH, len(grams)))
-                for place in sorted(places, key=lambda p: (held_by.get(grams[p], 0), p))[:SEEDS]:
-                    seeds[grams[place]].append((item, place))
-        self.seeds = dict(seeds)
+            for place, gram in enumerate(grams_of(words)):
+                seeds[gram].append((item, place))
+        return dict(seeds)
 
 
 def align(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
@@ -105,12 +96,13 @@ class Matcher:
         self.items = items
         self.number: dict[str, int] = {}
         self.coded = [np.array([self.number.setdefault(w, len(self.number)) for w in words]) for words in items.words]
-        self.first = {g[0] for g in items.seeds}
+        self.seeds = items.seeds()
+        self.first = {g[0] for g in self.seeds}
 
     def matches(self, text: str, threshold: float) -> list[dict]:
         words = words_of(text)
         hits: dict[int, list[int]] = defaultdict(list)
-        first, seeds = self.first, self.items.seeds
+        first, seeds = self.first, self.seeds
         for at in [i for i, w in enumerate(words) if w in first]:
             for item, place in seeds.get(tuple(words[at : at + GRAM]), ()):
                 hits[item].append(at - place)
@@ -121,6 +113,9 @@ class Matcher:
             best = (0, 0, 0)
             for low, high in _regions(sorted(begins), len(sequence), margin):
                 low, high = max(0, low), min(len(words), high)
+                common = sum(map(set(words[low:high]).__contains__, self.items.words[item]))
+                if common / len(sequence) < threshold or MATCH * common <= best[0]:
+                    continue
                 region = np.array([self.number.get(w, -1) for w in words[low:high]])
                 score, start, end = align(sequence, region)
                 if score > best[0]:
@@ -143,24 +138,6 @@ def _regions(begins: list[int], length: int, margin: int) -> list[tuple[int, int
     return [(low, high) for low, high in out]
 
 
-def _counts(docs: DataFrame, items: Items) -> dict[tuple[str, ...], int]:
-    """Number of documents that hold each n-gram of the items (a bounded list, counted over all documents)."""
-    grams = sorted(items.grams())
-    place = {g: i for i, g in enumerate(grams)}
-    first = {g[0] for g in grams}
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        held: Counter[int] = Counter()
-        for text in batch.column("text").to_pylist():
-            words = words_of(text)
-            at = [i for i, w in enumerate(words) if w in first]
-            held.update({place[g] for i in at if (g := tuple(words[i : i + GRAM])) in place})
-        return pa.RecordBatch.from_pydict({"gram": pa.array(held.keys(), pa.int32()), "held": pa.array(held.values(), pa.int64())})
-
-    counted = map_batches(docs, work, "gram int, held long").groupBy("gram").agg(F.sum("held").alias("held"))
-    return {grams[r["gram"]]: r["held"] for r in counted.collect()}
-
-
 def _blocks(benchmark: DataFrame) -> list[Items]:
     """The items in blocks of bounded size. Test sets are lists written by people; they pass through the driver."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -182,7 +159,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     fields = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int32()), ("last_word", pa.int32())])
     found = docs.sparkSession.createDataFrame([], schema)
     for items in _blocks(benchmark):
-        items.choose_seeds(_counts(texts, items))
 
         def work(batch: pa.RecordBatch, matcher: Matcher = Matcher(items)) -> pa.RecordBatch:
             rows = [
@@ -198,9 +174,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, with all their columns, that match no item."""
-    texts, rest = id_and_text(docs), docs
+    rest = docs
     for items in _blocks(benchmark):
-        items.choose_seeds(_counts(texts, items))
         matcher = Matcher(items)
         rest = keep_rows(rest, lambda found, matcher=matcher: [not matcher.matches(t, threshold) for t in found])
     return rest
