@@ -40,6 +40,16 @@ def test_line_features_equal_plain_counting():
     assert raw[3, 6:9].tolist() == [3 / 5, 2 / 5, 2 / 5] and raw[3, 9] == 1
 
 
+def test_a_text_scores_the_same_alone_and_between_its_copies():
+    texts = [b"One line of words.", b"Same line.\nAnother one.\nSame line.", b"Same line.\nSame line.\nOther", b""]
+    field = quality.LineField(np.random.default_rng(3).normal(0, 1, (quality.N_FEATURES, 2)), np.zeros((2, 2)), 1.0, 0.0)
+    for text in texts:
+        alone, together = quality.field_input([text])[0], quality.field_input([text] * 3)[0]
+        assert (together == np.concatenate([alone] * 3)).all()
+        assert np.allclose(field.score([text] * 3), field.score([text]))
+    assert np.allclose(field.score(texts), [field.score([t])[0] for t in texts])
+
+
 def test_machine_equals_the_sum_over_pairs():
     draw = np.random.default_rng(2)
     terms = np.sort(draw.integers(1, 1 << 60, 9).astype(np.uint64))

@@ -81,6 +81,7 @@ def raw_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if len(flat) > 1:
         hashes = np.array([hash(line) for line in flat])
         equal = (hashes[1:] == hashes[:-1]) & (size[1:] > 0)
+        equal[np.cumsum(counts)[:-1] - 1] = False  # lines of two texts are no neighbours
         same[1:] += equal
         same[:-1] += equal
     out = [size, *[s / some for s in shares], (size - shares[3]) / many, distinct / many, signs / many, again / many, ends, same]
