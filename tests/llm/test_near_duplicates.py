@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tidemart.llm import near_duplicates as nd
@@ -61,6 +62,23 @@ def test_components_equal_all_pairs(spark, monkeypatch, seed, size, crowded):
     assert found == plain(rows, size)
 
 
+def test_documents_of_a_pivot_meet_in_bounded_groups(spark, monkeypatch):
+    """A pivot with many documents outside its component: no group is large, and all links among them are found."""
+    monkeypatch.setattr(nd, "CHUNK", 20)
+    draw = random.Random(3)
+    base = set(range(40))
+    off = {i: set(draw.sample(range(40), 6)) | set(draw.sample(range(100, 112), 6)) for i in range(1, 241)}
+    sets = {i: base ^ d for i, d in off.items()}
+    packed = {i: bytearray(np.array(sorted(d), np.uint64).tobytes()) for i, d in off.items()}
+    stars = spark.createDataFrame([(i, 0, len(sets[i]), False, packed[i]) for i in off], "rep long, pivot long, n long, linked boolean, differing binary")
+    placed = spark.createDataFrame([], "node long, root long")
+    found = {(min(r.u, r.v), max(r.u, r.v)) for r in nd._links_of_pivots(stars, placed).collect()}
+    near = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert found == near and near
+    groups = nd._dealt(stars, placed).groupBy("pivot", "ask_chunk", "chunk").count().collect()
+    assert max(r["count"] for r in groups) <= 4 * 20  # two chunks, dealt by hash
+
+
 def test_awkward_rows(awkward, no_documents, spark):
     found = sorted(map(tuple, nd.near_duplicates(awkward, 2).collect()), key=str)
     rows = {(r.doc_id, len(shingles(r.text, 2))) for r in awkward.collect()}

@@ -14,7 +14,8 @@ sets are one beforehand, and pairs that are connected already are not compared.
    links give a first partition into components.
 3. Documents of one pivot but in different components are compared with each other as they differ from the pivot: the
    shingles in which a set and its pivot's differ are few, and they tell the similarity of two sets exactly. The
-   documents of a pivot are dealt into chunks; those outside the pivot's component go to each chunk.
+   documents of a pivot are dealt into chunks, and those outside the pivot's component into chunks of their own; each
+   pair of chunks is a group, so a group has a bounded number of rows however many documents a pivot has.
 4. All other candidates whose ends are in different components, in any node, are confirmed on the full sets.
 
 All steps are aggregates and joins keyed by node or document, so a node with a third of all documents is spread over
@@ -224,17 +225,25 @@ def similar(a: int, b: int, differing: int) -> bool:
     return both > 0 and 100 * both >= SIMILARITY_PERCENT * (both + differing)
 
 
-def _links_of_pivots(stars: DataFrame, placed: DataFrame) -> DataFrame:
-    """Links (u, v) between documents of one pivot that are in different components."""
+def _dealt(stars: DataFrame, placed: DataFrame) -> DataFrame:
+    """The documents of open pivots in groups of about two `CHUNK` rows at most: (pivot, chunk of askers, chunk of members)."""
     roots = placed.select(F.col("node").alias("rep"), "root")
     marked = stars.join(roots, "rep", "left").withColumn("part", F.coalesce("root", "rep")).drop("root")
     main = placed.select(F.col("node").alias("pivot"), F.col("root").alias("main"))
     marked = marked.join(main, "pivot", "left").withColumn("outside", F.col("part") != F.coalesce("main", "pivot"))
-    open_pivots = marked.groupBy("pivot").agg(F.count("*").alias("held"), F.max("outside").alias("open")).where("open and held > 1")
-    rows = marked.select("pivot", "rep", "part", "n", "differing", "outside").join(
-        open_pivots.select("pivot", F.expr(f"cast(ceil(held / {CHUNK}) as int)").alias("chunks")), "pivot")
-    once = rows.withColumn("chunk", F.expr("cast(pmod(xxhash64(rep), chunks) as int)")).withColumn("asks", F.lit(False))
-    asking = rows.where("outside").withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)"))).withColumn("asks", F.lit(True))
+    held = marked.groupBy("pivot").agg(F.count("*").alias("held"), F.count_if("outside").alias("asking")).where("asking > 0 and held > 1")
+    chunks = [F.expr(f"cast(ceil({n} / {CHUNK}) as int)").alias(c) for n, c in (("held", "chunks"), ("asking", "ask_chunks"))]
+    rows = marked.select("pivot", "rep", "part", "n", "differing", "outside").join(held.select("pivot", *chunks), "pivot")
+    own = lambda n: F.expr(f"cast(pmod(xxhash64(rep), {n}) as int)")
+    every = lambda n: F.explode(F.expr(f"sequence(0, {n} - 1)"))
+    members = rows.withColumn("chunk", own("chunks")).withColumn("ask_chunk", every("ask_chunks")).withColumn("asks", F.lit(False))
+    asking = rows.where("outside").withColumn("ask_chunk", own("ask_chunks")).withColumn("chunk", every("chunks")).withColumn("asks", F.lit(True))
+    columns = ["pivot", "ask_chunk", "chunk", "rep", "part", "n", "differing", "asks"]
+    return members.select(columns).unionAll(asking.select(columns))
+
+
+def _links_of_pivots(stars: DataFrame, placed: DataFrame) -> DataFrame:
+    """Links (u, v) between documents of one pivot that are in different components."""
 
     def compare(rows: pa.Table) -> pa.Table:
         asks = np.array(rows.column("asks").to_pylist(), bool)
@@ -256,8 +265,7 @@ def _links_of_pivots(stars: DataFrame, placed: DataFrame) -> DataFrame:
             v += ids[members[linked]].tolist()
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    columns = ["pivot", "chunk", "rep", "part", "n", "differing", "asks"]
-    return once.select(columns).unionAll(asking.select(columns)).groupBy("pivot", "chunk").applyInArrow(compare, "u long, v long")
+    return _dealt(stars, placed).groupBy("pivot", "ask_chunk", "chunk").applyInArrow(compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
