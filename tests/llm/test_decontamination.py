@@ -62,6 +62,17 @@ def test_blocks_and_long_items(spark, monkeypatch):
     assert sorted((r.doc_id, r.item_id, r.score) for r in found.collect()) == [(1, 1, 1.0)] * 3 + [(2, 2, 1.0), (3, 3, 1.0)]
 
 
+def test_long_items_are_scored_whole(spark):
+    item = [f"w{i}" for i in range(405)]
+    docs = [(1, " ".join(item[401:404]) + " and other words"), (2, " ".join(item[:200])), (3, "x " + " ".join(item[100:343])), (4, " ".join(item))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = dc.contaminated(frame, items).collect()
+    assert {(r.doc_id, r.item_id, r.score) for r in found} == {(3, 1, 243 / 405), (4, 1, 1.0)}
+    assert sorted((r.first_word, r.last_word) for r in found if r.doc_id == 4) == [(0, 203), (203, 405)]
+    assert sorted(r.doc_id for r in dc.uncontaminated(frame, items).collect()) == [1, 2]
+
+
 def test_query_against_alignment_of_all_pairs(spark):
     """Every pair that shares half of the words of an item in any order is aligned in full."""
     sf = "/root/testdata/sf0.001"

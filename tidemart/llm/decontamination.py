@@ -7,9 +7,10 @@
 3. The other regions are aligned with the item: Smith-Waterman over words (match 2, mismatch -1, gap -1). The score is
    the share of the best possible one, 2 for each word of the item. Edited and paraphrased copies lose points, but align on.
 
-Items are taken in blocks of at most `BLOCK_ITEMS` with at most `ITEM_WORDS` words each in the tables sent to the tasks
-(longer items are cut into parts that are matched one by one), so what is broadcast has a fixed bound; the documents
-are read once for each block, without a shuffle.
+Items are taken in blocks of at most `BLOCK_ITEMS` items and `BLOCK_ITEMS` times `ITEM_WORDS` words (a longer item is a
+block of its own) in the tables sent to the tasks; the documents are read once for each block, without a shuffle. Items
+are aligned whole. A match of an item over `ITEM_WORDS` words has a row for each of its parts of even length that occurs
+in the aligned passage, with the place of the part and the score of the whole item.
 
 Words are runs of letters and digits in lower case. Items with fewer words than an n-gram match nothing. Edge cases: null or empty texts match nothing, on either side; null ids are kept in matches; repeated rows of
 documents give a match each, repeated items (equal id and text) one; an empty table gives no matches; other columns
@@ -94,6 +95,7 @@ class Matcher:
 
     def __init__(self, items: Items):
         self.items = items
+        self.part_words = ITEM_WORDS
         self.number: dict[str, int] = {}
         self.coded = [np.array([self.number.setdefault(w, len(self.number)) for w in words]) for words in items.words]
         self.seeds = items.seeds()
@@ -122,9 +124,19 @@ class Matcher:
                     best = (score, low + start, low + end)
             share = best[0] / (MATCH * len(sequence))
             if share >= threshold:
-                found.append({"item_id": self.items.ids[item], "score": share, "first_word": best[1], "last_word": best[2]})
+                places = self._places(sequence, words, *best[1:])
+                found += [{"item_id": self.items.ids[item], "score": share, "first_word": low, "last_word": high} for low, high in places]
         return found
 
+    def _places(self, sequence: np.ndarray, words: list[str], low: int, high: int) -> list[tuple[int, int]]:
+        """Where the parts of an item lie in the passage aligned with it."""
+        parts = -(-len(sequence) // self.part_words)
+        if parts == 1:
+            return [(low, high)]
+        region = np.array([self.number.get(w, -1) for w in words[low:high]])
+        aligned = [align(part, region) for part in np.array_split(sequence, parts)]
+        return [(low + start, low + end) for score, start, end in aligned if score]
+
 
 def _regions(begins: list[int], length: int, margin: int) -> list[tuple[int, int]]:
     """Where an item that begins about there would lie, with a margin for edits; touching regions are one."""
@@ -142,18 +154,25 @@ def _blocks(benchmark: DataFrame) -> list[Items]:
     """The items in blocks of bounded size. Test sets are lists written by people; they pass through the driver."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     blocks: list[Items] = []
+    room = 0
     for row in rows.where("text is not null").distinct().orderBy("item_id", "text").toLocalIterator():
         words = words_of(row["text"])
-        for begin in range(0, len(words), ITEM_WORDS):
-            if not blocks or len(blocks[-1].ids) == BLOCK_ITEMS:
-                blocks.append(Items([], []))
-            blocks[-1].ids.append(row["item_id"])
-            blocks[-1].words.append(words[begin : begin + ITEM_WORDS])
+        if not words:
+            continue
+        if not blocks or len(blocks[-1].ids) == BLOCK_ITEMS or len(words) > room:
+            blocks.append(Items([], []))
+            room = BLOCK_ITEMS * ITEM_WORDS
+        blocks[-1].ids.append(row["item_id"])
+        blocks[-1].words.append(words)
+        room -= len(words)
     return blocks
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`doc_id`, `item_id`, `score`, `first_word` and `last_word` (end exclusive) of every match, the best of each pair."""
+    """`doc_id`, `item_id`, `score`, `first_word` and `last_word` (end exclusive) of every match, the best of each pair.
+
+    Items over `ITEM_WORDS` words have a row for each part, with the score of the whole item.
+    """
     texts = id_and_text(docs)
     schema = "doc_id long, item_id long, score double, first_word int, last_word int"
     fields = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int32()), ("last_word", pa.int32())])
