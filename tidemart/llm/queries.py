@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_folder
-from . import chat, decontamination, hamming, near_duplicates, personal_data, pieces, quality, repeats, token_files, toxicity
+from . import chat, decontamination, exact_duplicates, hamming, near_duplicates, personal_data, pieces, quality, repeats, token_files, toxicity
 from .common import read_table
 
 
@@ -65,6 +65,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"), size=2)
 
 
+def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates.exact_duplicates(read_table(spark, sf_dir, "documents"), text_digest=True)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_repeats": op2_repeats,
@@ -76,6 +80,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_exact_duplicates": op11_exact_duplicates,
 }
 
 ORACLE = {
@@ -153,4 +158,13 @@ ORACLE = {
                 as loss_sha256,
             cast(sum(length('<|role|>') + 1 + body + length('<|end|>') + 1) as bigint) as formatted_chars
         from escaped group by conv_id""",
+    "op11_exact_duplicates": r"""
+        with normalised as (
+            select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents
+        ), digested as (
+            select doc_id, sha256(t) as text_sha256 from normalised
+        )
+        select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = max(doc_id) over same as kept,
+            text_sha256
+        from digested window same as (partition by text_sha256)""",
 }
