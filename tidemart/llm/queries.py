@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_folder
-from . import chat, decontamination, exact_duplicates, hamming, near_duplicates, personal_data, pieces, quality, repeats, token_files, toxicity
+from . import chat, decontamination, exact_duplicates, hamming, near_duplicates, periodic_runs, personal_data, pieces, quality, repeats, token_files, toxicity
 from .common import read_table
 
 
@@ -69,6 +70,21 @@ def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates.exact_duplicates(read_table(spark, sf_dir, "documents"), text_digest=True)
 
 
+def with_planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents repeat a stretch of their words to the end; which one depends on the id."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(read_table(spark, sf_dir, "documents"), rewrite=with_planted_period, digest=True)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_repeats": op2_repeats,
@@ -81,6 +97,7 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_exact_duplicates": op11_exact_duplicates,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE = {
