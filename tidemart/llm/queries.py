@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_folder
-from . import chat, decontamination, exact_duplicates, hamming, near_duplicates, periodic_runs, personal_data, pieces, quality, repeats, token_files, toxicity
+from . import chat, decontamination, exact_duplicates, hamming, lexical_search, near_duplicates, periodic_runs, personal_data, pieces, quality, repeats, token_files, toxicity
 from .common import read_table
 
 
@@ -70,6 +70,10 @@ def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates.exact_duplicates(read_table(spark, sf_dir, "documents"), text_digest=True)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=50)
+
+
 def with_planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """A tenth of the documents repeat a stretch of their words to the end; which one depends on the id."""
     h = zlib.crc32(str(doc_id).encode())
@@ -97,6 +101,7 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_exact_duplicates": op11_exact_duplicates,
+    "op12_lexical_search": op12_lexical_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -184,4 +189,29 @@ ORACLE = {
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = max(doc_id) over same as kept,
             text_sha256
         from digested window same as (partition by text_sha256)""",
+    "op12_lexical_search": r"""
+        with words as (
+            select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from documents
+        ), asked as (
+            select distinct item_id, term
+            from (select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+        ), held as (
+            select doc_id, term, count(*) as tf from words group by doc_id, term
+        ), lengths as (
+            select doc_id, cast(sum(tf) as bigint) as n from held group by doc_id
+        ), totals as (
+            select count(*) as docs, cast(sum(n) as bigint) as l from lengths
+        ), weights as (
+            select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) as bigint) as w
+            from (select term, count(*) as df from held group by term) cross join totals
+        ), scores as (
+            select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // l)))) as bigint) as score
+            from asked join weights using (term) join held using (term) join lengths using (doc_id) cross join totals
+            group by item_id, doc_id
+        )
+        select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+        from scores where score > 0 qualify rank <= 50""",
 }
