@@ -39,3 +39,26 @@ def test_few_rows_and_none(spark):
     assert sorted((r.query_id, r.rank, r.neighbor_id, r.distance) for r in found) == [(1, 1, 1, 0), (1, 2, 2, 1), (2, 1, 2, 0), (2, 2, 1, 1)]
     assert hamming.top_k(frame, frame.limit(0), k=5, dims=2).count() == 0
     assert hamming.top_k(frame.limit(0), frame, k=5, dims=2).count() == 0
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3])
+def test_both_ways_to_find_values(spark, radius):
+    draw = random.Random(radius)
+    widths = [16, 16, 3]
+    part = lambda w: [draw.randrange(1 << w) for _ in range(60)]
+    values = {(s, v) for s, w in enumerate(widths) for v in part(w)}
+    asked = {(s, v) for s, w in enumerate(widths) for v in part(w)[:9]} | {(s, v) for s, v in values if v % 5 == 0}
+    frame = spark.createDataFrame(sorted(values), "segment int, value int")
+    wanted = spark.createDataFrame(sorted(asked), "segment int, own int")
+    expected = sorted((s, a, v) for s, a in asked for t, v in values if s == t and (a ^ v).bit_count() == radius)
+    for most in (0, 1 << 16):
+        found = hamming._value_pairs(wanted, frame, widths, radius, most)
+        assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_no_exploded_side_is_broadcast(spark):
+    values = spark.range(1 << 17).selectExpr("cast(id % 2 as int) as segment", "cast(id div 2 as int) as value")
+    asked = spark.range(64).selectExpr("0 as segment", "cast(id as int) as own")
+    plan = hamming._value_pairs(asked, values, [16, 16], 4, 1 << 16)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("BroadcastExchange"):]
+    assert "Generate" in plan and "Generate" not in below

@@ -8,7 +8,8 @@ leaves. The search radii of all open queries grow together, one Spark job each;
 shared scratch folder between them.
 
 Equal codes are one entry of the index with its k smallest ids, and equal queries are asked once, so a vector that a
-third of the rows hold costs no more than another. A candidate counts only in the segment (the first of equals) and at
+third of the rows hold costs no more than another. Probing goes by distinct segment values, of which a segment has
+65,536 at most, and only values that the index holds meet the queries. A candidate counts only in the segment (the first of equals) and at
 the radius where it is nearest, so none is verified twice, and only if it beats the query's k-th distance so far.
 
 Ties in distance go to the smaller id. Edge cases: a null vector, a null or NaN among its values, another number of
@@ -18,12 +19,13 @@ rows all are returned; other columns are ignored; an empty table gives an empty
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_folder
+from .common import stored
 
 SEGMENT = 16
 
@@ -50,6 +52,25 @@ def _masks(bits: int, radius: int) -> F.Column:
     return F.from_json(F.lit(str(found)), "array<int>")
 
 
+def _value_pairs(asked: DataFrame, values: DataFrame, widths: list[int], radius: int, most: int) -> DataFrame:
+    """`segment`, `own`, `value`: each asked segment value with the index's values of that segment that differ in `radius` bits.
+
+    A segment has at most 2^`SEGMENT` values, so whatever of `values` is sent to all tasks is bounded by the number of
+    segments. Where all differences of so many bits are fewer than the values of a segment (`most`), they are tried one
+    by one against the values, else the values themselves are looked through. Either way rows are made and dropped
+    inside a task; no exchange follows before the values that the index does not have are gone.
+    """
+    if math.comb(max(widths), radius) < most:
+        masks = _masks(widths[0], radius)
+        if widths[-1] != widths[0]:  # only the last segment can be narrower than the others
+            masks = F.when(F.col("segment") == len(widths) - 1, _masks(widths[-1], radius)).otherwise(masks)
+        tried = asked.select("segment", "own", F.explode(masks).alias("mask")).select("segment", "own", F.expr("own ^ mask").alias("value"))
+        return tried.join(F.broadcast(values), ["segment", "value"]).select("segment", "own", "value")
+    all_values = values.groupBy("segment").agg(F.collect_list("value").alias("values"))
+    near = F.explode(F.expr(f"filter(values, v -> bit_count(v ^ own) = {radius})"))
+    return asked.join(F.broadcast(all_values), "segment").select("segment", "own", near.alias("value"))
+
+
 def _distance(a: str, b: str) -> str:
     return f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (s, d) -> s + d)"
 
@@ -63,48 +84,39 @@ def _best(rows: DataFrame, k: int) -> DataFrame:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, dims: int = 64, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """`query_id`, `rank`, `neighbor_id`, `distance`: the k nearest rows of `vectors` for each row of `queries`."""
     spark = vectors.sparkSession
-    folder = scratch_folder(spark, "hamming")
-    m, widths = -(-dims // SEGMENT), [min(SEGMENT, dims - low) for low in range(0, dims, SEGMENT)]
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+    widths = [min(SEGMENT, dims - low) for low in range(0, dims, SEGMENT)]
 
     rows = _coded(vectors, id_column, vector_column, dims).distinct()
     by_code = Window.partitionBy("code").orderBy("id")
     few = rows.withColumn("place", F.row_number().over(by_code)).where(F.col("place") <= k)
-    index = stored(few.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "index")
-    lists = stored(index.select(F.posexplode("code").alias("segment", "value"), "code", "ids"), "lists")
-    asked = stored(_coded(queries, id_column, vector_column, dims).distinct(), "asked")
+    index = stored(few.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "hamming-index")
+    lists = stored(index.select(F.posexplode("code").alias("segment", "value"), "code", "ids"), "hamming-lists")
+    values = stored(lists.select("segment", "value").distinct(), "hamming-values")
+    most = values.groupBy("segment").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    asked = stored(_coded(queries, id_column, vector_column, dims).distinct(), "hamming-asked")
 
     answers = spark.createDataFrame([], "query array<int>, id long, distance int, rank int")
     open_queries = asked.select(F.col("code").alias("query")).distinct().withColumn("bound", F.lit(dims))
-    nearest = F.expr("array_min(zip_with(query, code, (x, y) -> bit_count(x ^ y)))")
-    first = F.expr("array_position(transform(zip_with(query, code, (x, y) -> bit_count(x ^ y)), d -> d), near) - 1")
+    apart = F.expr("zip_with(query, code, (x, y) -> bit_count(x ^ y))")
     for radius in range(max(widths) + 1):
+        # Every table that a join reads is written, so what Spark may broadcast is known by its size and not by a guess.
+        open_queries = stored(open_queries, "hamming-open")
         if open_queries.isEmpty():
             break
-        probes = open_queries.select("query", "bound", F.posexplode("query").alias("segment", "own"))
-        # Only the last segment can be narrower than the others.
-        masks = _masks(widths[0], radius)
-        if widths[-1] != widths[0]:
-            masks = F.when(F.col("segment") == m - 1, _masks(widths[-1], radius)).otherwise(masks)
-        mask = F.explode(masks)
-        probes = probes.select("query", "bound", "segment", "own", mask.alias("mask")).select(
-            "query", "bound", "segment", F.expr("own ^ mask").alias("value"))
+        probes = stored(open_queries.select("query", "bound", F.posexplode("query").alias("segment", "own")), "hamming-probes")
+        pairs = stored(_value_pairs(probes.select("segment", "own").distinct(), values, widths, radius, most), "hamming-pairs")
         found = (
-            probes.join(lists, ["segment", "value"])
+            probes.join(pairs, ["segment", "own"]).join(lists, ["segment", "value"])
             .withColumn("distance", F.expr(_distance("query", "code")))
             .where("distance <= bound")
-            .withColumn("near", nearest)
-            .where(F.col("near") == radius)
-            .where(first == F.col("segment"))
+            .withColumn("apart", apart)
+            .where((F.array_min("apart") == radius) & (F.array_position("apart", radius) - 1 == F.col("segment")))
             .select("query", F.explode("ids").alias("id"), "distance")
         )
-        answers = stored(_best(found.unionByName(answers.drop("rank")), k), f"radius-{radius}")
+        answers = stored(_best(found.unionByName(answers.drop("rank")), k), "hamming-answers")
         state = answers.groupBy("query").agg(F.max("distance").alias("last"), F.count("*").alias("held"))
         bound = F.when(F.col("held") == k, F.col("last")).otherwise(dims)
         state = open_queries.select("query").join(state, "query", "left").select("query", bound.alias("bound"))
-        open_queries = state.where((F.col("bound") >= m * (radius + 1)))
+        open_queries = state.where(F.col("bound") >= len(widths) * (radius + 1))
     return asked.join(answers, asked.code == answers.query).select(
         asked.id.alias("query_id"), "rank", answers.id.alias("neighbor_id"), "distance")
