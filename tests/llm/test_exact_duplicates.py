@@ -49,7 +49,7 @@ def test_only_survivors_are_hashed_whole(spark):
     texts = ["same length a", "same length b", "same beginning" + "." * 300 + "a", "same beginning" + "." * 300 + "b", "copy", "copy", "one of a length!!"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     keyed = docs.selectExpr("cast(octet_length(text) as long) as n_bytes", f"xxhash64(substring(text, 1, {ed.PREFIX})) as beginning")
-    bits = sum(int.from_bytes(r.bits).bit_count() for r in ed.survivors(keyed).collect())
+    bits = sum(int.from_bytes(r.bits).bit_count() for r in ed.survivors(keyed, "n_bytes", "beginning").collect())
     assert bits == 2  # the shared beginning and the copies
 
 

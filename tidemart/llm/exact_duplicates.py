@@ -4,11 +4,11 @@ Texts are equal when they are identical after lower-casing A-Z only. Each round
 by a dearer key, and a document that is alone in its group leaves:
 
 1. The first scan takes the length in bytes and a hash of the first `PREFIX` characters of each text. Lengths that one
-   document has leave, then pairs of length and beginning that one document has.
+   document has leave, then pairs of length and beginning that one document has; each is a count added up in the tasks.
 2. The second scan hashes the whole text of the documents whose length and beginning survived, and of no others. Groups
    are counted by length and whole hash (SHA-256).
 
-What survived round 1 goes to the tasks of round 2 as a bitmap of at most `BITS` bits (16 MB, however many documents
+What survives goes to the tasks of the next step as a bitmap of at most `BITS` bits (16 MB, however many documents
 there are), the place of a key being a hash of it. A key that survived always has its bit, so no duplicate is lost; a
 document whose bit another key has set is hashed for nothing and found alone afterwards. Texts are never shuffled:
 what moves are lengths, hashes and ids, added up before they move. A text that a third of the documents share is one
@@ -44,16 +44,22 @@ def _shared(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("held")).where("held > 1").select(*keys)
 
 
-def _marked(df: DataFrame) -> DataFrame:
-    """Add the place of the pair of length and beginning in the bitmap: its part, and the bit in the part."""
-    place = F.pmod(F.xxhash64("n_bytes", "beginning"), F.lit(BITS))
+def _marked(df: DataFrame, *keys: str) -> DataFrame:
+    """Add the place of a key in the bitmap: its part, and the bit in the part."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(BITS))
     return df.withColumn("part", F.bitmap_bucket_number(place)).withColumn("bit", F.bitmap_bit_position(place))
 
 
-def survivors(rows: DataFrame) -> DataFrame:
-    """Bitmap of the pairs of length and beginning that more than one of `rows` has, a row for each 32,768 bits of it."""
-    crowded = rows.join(_shared(rows, "n_bytes"), "n_bytes", "left_semi")
-    return _marked(_shared(crowded, "n_bytes", "beginning")).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+def survivors(rows: DataFrame, *keys: str) -> DataFrame:
+    """Bitmap of the keys that more than one of `rows` has, a row for each 32,768 bits of it."""
+    return _marked(_shared(rows, *keys), *keys).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def _with_survival(df: DataFrame, bitmap: DataFrame, *keys: str) -> DataFrame:
+    """Add `open`: whether the key may be one of the bitmap. It has at most `BITS` bits, so its size does not depend on the documents."""
+    byte = "cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    open_ = F.expr(f"coalesce(getbit({byte}, cast(bit % 8 as int)) = 1, false)")
+    return _marked(df, *keys).join(F.broadcast(bitmap), "part", "left").withColumn("open", open_).drop("part", "bit", "bits")
 
 
 def exact_duplicates(docs: DataFrame, text_digest: bool = False) -> DataFrame:
@@ -65,12 +71,11 @@ def exact_duplicates(docs: DataFrame, text_digest: bool = False) -> DataFrame:
     keyed = texts.withColumn("n_bytes", F.octet_length("text").cast("long")).withColumn(
         "beginning", F.xxhash64(normalised(F.substring("text", 1, PREFIX))))
     first = stored(keyed.select("n_bytes", "beginning"), "beginnings")
+    crowded = _with_survival(first, survivors(first, "n_bytes"), "n_bytes").where("open")
+    asked = _with_survival(keyed, survivors(crowded, "n_bytes", "beginning"), "n_bytes", "beginning")
     whole = F.sha2(normalised(F.col("text")), 256)
-    byte = "cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)"
-    open_ = F.expr(f"coalesce(getbit({byte}, cast(bit % 8 as int)) = 1, false)")
-    # At most BITS bits, so its size does not depend on the documents.
-    hashed = _marked(keyed).join(F.broadcast(survivors(first)), "part", "left").select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "n_bytes", F.when(open_, whole).alias("hash"),
+    hashed = asked.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "n_bytes", F.when(F.col("open"), whole).alias("hash"),
         *([whole.alias("text_sha256")] if text_digest else []),
     )
     hashed = stored(hashed, "hashed")
@@ -80,7 +85,8 @@ def exact_duplicates(docs: DataFrame, text_digest: bool = False) -> DataFrame:
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), *extra)
     asked = hashed.where("hash is not null")
     last = F.max(F.struct("doc_id", "row")).alias("last")
-    groups = asked.groupBy("n_bytes", "hash").agg(F.count("*").alias("group_size"), last)
+    # Written, so that the join has exchanges of its own, whose large partitions Spark can split.
+    groups = stored(asked.groupBy("n_bytes", "hash").agg(F.count("*").alias("group_size"), last), "groups")
     placed = asked.join(groups, ["n_bytes", "hash"]).select(
         "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("last.row")).alias("kept"), *extra)
     return alone.unionAll(placed)
