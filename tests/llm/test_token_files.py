@@ -17,7 +17,7 @@ def tokenizer():
 
 def test_words_equal_whole_texts(tokenizer):
     texts = ["Hello  world's\tfine day\x1cx", "", " ", "É́ é ́a ÅΣ ς12.5%%% a<|endoftext|>b", "中文 été x\n\n''s 're"]
-    encoder = token_files.WordEncoder(PATH, kept=5)
+    encoder = token_files.WordEncoder(PATH, limit=500)
     for _ in range(2):
         assert [np.frombuffer(p, "<u2").tolist() for p in encoder.encode(texts)] == [
             tokenizer.encode(t, add_special_tokens=False).ids for t in texts]

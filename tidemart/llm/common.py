@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import gc
+import sys
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +15,44 @@ from pyspark.sql.types import StructType
 from ..session import scratch_folder
 
 
+# What an operator keeps in a Python worker from task to task, by operator and key.
+_KEPT: dict[str, dict[Hashable, Any]] = {}
+# About what an entry of a dictionary costs besides its key and value.
+ENTRY_BYTES = 36
+
+
+def begin(operator: str) -> None:
+    """Called where a task of an operator begins: what other operators keep in this Python worker goes."""
+    others = [name for name in _KEPT if name != operator]
+    for name in others:
+        del _KEPT[name]
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
+def kept(operator: str, key: Hashable, make: Callable[[], Any]) -> Any:
+    """What `make` returned when a task of the operator asked for this key first; one key at a time is kept."""
+    begin(operator)
+    mine = _KEPT.setdefault(operator, {})
+    if key not in mine:
+        mine.clear()
+        mine[key] = make()
+    return mine[key]
+
+
+class Bounded(dict):
+    """A dictionary that takes no more entries once they hold so many bytes."""
+
+    def __init__(self, limit: int):
+        self.room = limit
+
+    def keep(self, key: Any, value: Any) -> None:
+        if self.room > 0:
+            self.room -= sys.getsizeof(key) + sys.getsizeof(value) + ENTRY_BYTES
+            self[key] = value
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -35,10 +76,14 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
+def map_batches(
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, operator: str | None = None
+) -> DataFrame:
     """`work` on each Arrow batch; one batch in, one batch out, so memory is bounded by the batch."""
+    operator = operator or work.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(operator)
         for batch in batches:
             if batch.num_rows:
                 yield from in_pieces(batch, work)
@@ -58,7 +103,7 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
 
 def keep_rows(docs: DataFrame, decide: Callable[[list[str]], list[bool]]) -> DataFrame:
     """Rows whose text `decide` keeps (a null one counts as empty), with all their columns and without a shuffle."""
-    return map_batches(docs, lambda batch: batch.filter(pa.array(decide(_texts(batch)), pa.bool_())), docs.schema)
+    return map_batches(docs, lambda batch: batch.filter(pa.array(decide(_texts(batch)), pa.bool_())), docs.schema, decide.__module__)
 
 
 def change_texts(docs: DataFrame, change: Callable[[list[str]], list[str]]) -> DataFrame:
@@ -69,7 +114,7 @@ def change_texts(docs: DataFrame, change: Callable[[list[str]], list[str]]) -> D
         new = [None if null else t for null, t in zip(known, change(_texts(batch)))]
         return batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(new, pa.string()))
 
-    return map_batches(docs, work, docs.schema)
+    return map_batches(docs, work, docs.schema, change.__module__)
 
 
 def input_bytes(df: DataFrame) -> int:

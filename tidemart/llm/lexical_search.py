@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from .common import id_and_text, map_batches, stored
+from .common import begin, id_and_text, map_batches, stored
 
 BITS_PER_TERM = 10
 PROBES = 5
@@ -106,6 +106,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     """A row for each block of documents (see `INDEX`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         piles: dict[int, Pile] = {}
         for batch in batches:
             for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):

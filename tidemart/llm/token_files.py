@@ -18,12 +18,12 @@ ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
-from itertools import pairwise
+from itertools import accumulate, chain, pairwise
 from operator import itemgetter
 
 import numpy as np
@@ -33,12 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, input_bytes
+from .common import Bounded, begin, id_and_text, input_bytes, kept
 
 MASK_DELTA = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
 _TAIL = struct.Struct("<I")
 FILE_BYTES = 64 << 20
+KEPT_BYTES = 80 << 20
+_LETTERS_AND_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)[.,;:!?%*)]*")
 
 
 def masked_checksum(data: bytes) -> int:
@@ -67,29 +69,56 @@ def unframed(stream, offset: int) -> bytes:
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and never looks across it.
 
-    Each word (between blanks and line feeds) is encoded by the tokenizer once and kept, up to `kept` words;
+    Each word (between blanks and line feeds) is encoded by the tokenizer once and kept, up to `limit` bytes;
     later ones are encoded each time. Other tokenizers encode whole texts: `words=False`.
     """
 
-    def __init__(self, path: str, words: bool = True, kept: int = 600_000):
+    def __init__(self, path: str, words: bool = True, limit: int = KEPT_BYTES):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core already
         self.tokenizer = Tokenizer.from_file(path)
-        self.words, self.kept = words, kept
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-
-    def _packed_words(self, words: list[str]) -> list[bytes]:
-        """Many words in one call of the tokenizer; the place of a token says whose it is."""
+        self.words, vocabulary = words, self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
+        self.known = Bounded(limit)
+        # Ids that close a run of letters or of signs, where the vocabulary marks them and the tokenizer splits words so.
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closing = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.closing[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.closes = [int(self.closing[self._ids(word)].sum()) for word in ("a", "é.", "Ab,;", "b!%)")] == [1, 2, 2, 2]
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _packed_words(self, words: list[str]) -> dict[str, bytes]:
+        found = self._packed_by_closing(words) if self.closes else {}
+        return {**found, **self._packed_by_place([w for w in words if w not in found])}
+
+    def _packed_by_closing(self, words: list[str]) -> dict[str, bytes]:
+        """The words of letters with or without signs behind them, cut behind the ids that close a run; none if that does not fit."""
+        shapes = list(map(_LETTERS_AND_SIGNS.fullmatch, words))
+        words = [w for w, shape in zip(words, shapes) if shape]
+        runs = np.array([2 if shape.end(1) < shape.end() else 1 for shape in shapes if shape], np.int64)
+        ids = self._ids(" ".join(words))
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        if not words or len(ends) != runs.sum() or ends[-1] != len(ids):
+            return {}
+        return self._cut(words, ids, [0, *ends[np.cumsum(runs) - 1].tolist()])
+
+    def _packed_by_place(self, words: list[str]) -> dict[str, bytes]:
+        """Any words in one call of the tokenizer; the place of a token says whose it is."""
         if not words:
-            return []
+            return {}
         found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         ids = np.array(found.ids, self.dtype)
         begins = np.cumsum([0] + [len(w) + 1 for w in words])
         places = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(ids))
-        cuts = np.searchsorted(places, begins)
-        return [ids[a:b].tobytes() for a, b in pairwise(cuts.tolist())]
+        return self._cut(words, ids, np.searchsorted(places, begins).tolist())
+
+    def _cut(self, words: list[str], ids: np.ndarray, cuts: list[int]) -> dict[str, bytes]:
+        raw, width = ids.tobytes(), self.dtype.itemsize
+        return {w: raw[a * width : b * width] for w, (a, b) in zip(words, pairwise(cuts))}
 
     def _packed(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -99,20 +128,20 @@ class WordEncoder:
         if not self.words:
             return self._packed(texts)
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        missing = list({w for words in split for w in words if w not in self.known})
-        fresh = dict(zip(missing, self._packed_words(missing)))
-        self.known.update(fresh)
-        packed = [b"".join(map(self.known.__getitem__, words)) for words in split]
-        if len(self.known) > self.kept:
-            for word in fresh:
-                del self.known[word]
-        return packed
+        words = list(chain.from_iterable(split))
+        found = list(map(self.known.get, words))
+        if None in found:
+            fresh = self._packed_words(list({w for w, ids in zip(words, found) if ids is None}))
+            for word, ids in fresh.items():
+                self.known.keep(word, ids)
+            found = [fresh[w] if ids is None else ids for w, ids in zip(words, found)]
+        ends = accumulate(map(len, split))
+        return [b"".join(found[end - len(part) : end]) for part, end in zip(split, ends)]
 
 
-@lru_cache(maxsize=1)
 def word_encoder(path: str, words: bool) -> WordEncoder:
     """Kept by the Python worker from task to task, with the words it knows."""
-    return WordEncoder(path, words)
+    return kept(__name__, (path, words), lambda: WordEncoder(path, words))
 
 
 def write_token_files(
@@ -136,8 +165,8 @@ def write_token_files(
         number, name = TaskContext.get().partitionId(), f"{uuid.uuid4().hex}.rec"
         stream, offset, start = None, 0, 0
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
                 if stream is None:
                     system, root = shared_folder(data)
                     system.create_dir(root, recursive=True)
@@ -191,11 +220,12 @@ def read_records(
     wanted = index.select("doc_id", "start", "file", "offset", "width")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         system, root = shared_folder(data)
         name, stream = None, None
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
                 rows = []
                 for r in part.select(["file", "offset", "width"]).to_pylist():
                     if r["file"] != name:
