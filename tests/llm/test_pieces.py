@@ -14,7 +14,7 @@ MODEL = vocabulary("piece_bpe_32k.model")
 
 @pytest.fixture(scope="module")
 def machine():
-    return pieces.Transducer(MODEL, kept=50)
+    return pieces.Transducer(MODEL, limit=5000)
 
 
 @pytest.fixture(scope="module")

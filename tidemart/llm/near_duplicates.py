@@ -31,7 +31,7 @@ row for each, linked by its own text; other columns are ignored; an empty table
 
 from __future__ import annotations
 
-from functools import lru_cache, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from .common import id_and_text, map_batches
+from .common import Bounded, id_and_text, kept, map_batches
 from .components import connected_components
 
 TREES = 20
@@ -52,23 +52,21 @@ SKETCH_LIMIT = 20
 CHUNK = 2_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(31)
-KEPT_WORDS = 400_000
+KEPT_BYTES = 48 << 20
 
 
-class Words(dict):
-    """Hashes of words; keeps the first `KEPT_WORDS` it meets."""
+class Words(Bounded):
+    """Hashes of words."""
 
     def __missing__(self, word: bytes) -> int:
         found = xxhash.xxh64_intdigest(word)
-        if len(self) < KEPT_WORDS:
-            self[word] = found
+        self.keep(word, found)
         return found
 
 
-@lru_cache(maxsize=1)
 def words() -> Words:
     """Kept by the Python worker from task to task."""
-    return Words()
+    return kept(__name__, "words", lambda: Words(KEPT_BYTES))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

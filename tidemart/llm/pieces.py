@@ -13,7 +13,7 @@ merging gives the one segmentation whose neighbours are all of that sort, so one
 Only models without a character map (identity normalisation) are compiled; others raise.
 
 The input is cut where no path can cross: before a run of marks, and between two characters that no piece holds
-side by side. The paths of such chunks are kept in a dictionary of bounded size, so frequent words are composed once
+side by side. The paths of such chunks are kept in dictionaries of at most `KEPT_BYTES` (and a fifth of that), so frequent words are composed once
 for each Python worker.
 
 Edge cases: null or empty text has no ids and decodes to the empty text; repeated rows give a row each; other columns
@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from functools import lru_cache
+from array import array
 from hashlib import sha256
 from itertools import pairwise
 
@@ -32,27 +32,29 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_and_text, map_batches
+from .common import Bounded, id_and_text, kept, map_batches
 
 MARK = "▁"
+KEPT_BYTES = 80 << 20
+KEPT_PAIRS = 100_000
 _RUNS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
-class Chunks(dict):
-    """Packed ids by chunk (the mark left out of the key); keeps the first `kept` it meets."""
+class Chunks(Bounded):
+    """Packed ids by chunk (the mark left out of the key)."""
 
-    def __init__(self, mark: str, machine: Transducer, kept: int):
-        self.mark, self.machine, self.kept = mark, machine, kept
+    def __init__(self, mark: str, machine: Transducer, limit: int):
+        super().__init__(limit)
+        self.mark, self.machine = mark, machine
 
     def __missing__(self, chunk: str) -> bytes:
         found = self.machine.packed(self.mark + chunk)
-        if len(self) < self.kept:
-            self[chunk] = found
+        self.keep(chunk, found)
         return found
 
 
 class Transducer:
-    def __init__(self, path: str, kept: int = 600_000):
+    def __init__(self, path: str, limit: int = KEPT_BYTES):
         from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece_model_pb2.ModelProto()
@@ -79,9 +81,10 @@ class Transducer:
         self.beside = {pair for piece in self.pieces for pair in pairwise(piece)}
         self.steps = {piece: self._steps(piece) for piece in self.pieces} if self.merging else {}
         self.trie = self._trie()
-        self.apart: dict[str, dict[str, bool]] = {}
-        self.inner = Chunks("", self, kept // 4)  # chunks that begin a text or follow a cut
-        self.spaced = Chunks(MARK, self, kept)  # words with the mark before them
+        self.longest = max(map(len, self.pieces), default=0)
+        self.apart: dict[tuple[str, str], bool] = {}
+        self.inner = Chunks("", self, limit // 5)  # chunks that begin a text or follow a cut
+        self.spaced = Chunks(MARK, self, limit)  # words with the mark before them
 
     def _trie(self) -> dict:
         """Pieces by their characters; those that merging itself never makes have no arc."""
@@ -91,7 +94,7 @@ class Transducer:
                 node = root
                 for c in piece:
                     node = node.setdefault(c, {})
-                node[""] = (piece, i, 1.0 if self.merging else -self.scores[piece], (i,))
+                node[""] = (piece, 1.0 if self.merging else -self.scores[piece], (i,))
         return root
 
     def _steps(self, piece: str) -> list[tuple[float, str, str]] | None:
@@ -108,11 +111,22 @@ class Transducer:
         return steps
 
     def _follows(self, left: str, right: str) -> bool:
-        """Whether the machine of pieces has an arc from the state `left` for `right`.
+        """Whether the machine of pieces has an arc from the state `left` for `right`."""
+        if not left:
+            return True
+        known = self.apart.get((left, right))
+        if known is None:
+            if len(self.apart) >= KEPT_PAIRS:
+                self.apart.clear()
+            known = self.apart[left, right] = self._stay_apart(left, right)
+        return known
+
+    def _stay_apart(self, left: str, right: str) -> bool:
+        """Whether merging the two texts side by side leaves them apart.
 
         Both sides merge as if alone while their own best pair goes before the pair across the border.
         """
-        if not self.merging or (left[-1], right[0]) not in self.beside or left not in self.steps or right not in self.steps:
+        if (left[-1], right[0]) not in self.beside or left not in self.steps or right not in self.steps:
             return True
         a, b, i, j, scores = self.steps[left], self.steps[right], 0, 0, self.scores
         while True:
@@ -128,49 +142,77 @@ class Transducer:
             else:
                 return True
 
+    def _arcs(self, chunk: str, i: int) -> list[tuple[int, tuple[str, float, tuple[int, ...]]]]:
+        """Arcs of the lattice that leave a position, shortest first: position behind, then piece, weight and ids."""
+        arcs, node, j = [], self.trie, i
+        for c in chunk[i : i + self.longest]:
+            node = node.get(c)
+            if node is None:
+                break
+            j += 1
+            closing = node.get("")
+            if closing is not None:
+                arcs.append((j, closing))
+        if chunk[i] not in self.pieces:
+            found = tuple([self.bytes[b] for b in chunk[i].encode()]) if self.bytes else (self.unknown,)
+            arcs.append((i + 1, (chunk[i], self.fallback_weight, found)))
+        return arcs
+
     def shortest_path(self, chunk: str) -> list[int]:
         """Ids on the cheapest path of the lattice of one chunk (already normalised)."""
-        # states[i]: last piece -> (weight, position and piece before, ids of the arc)
-        length, apart = len(chunk), self.apart
-        states: list[dict[str, tuple]] = [{} for _ in range(length + 1)]
-        states[0][""] = (0.0, 0, "", ())
-        for i, here in enumerate(states[:-1]):
-            if not here:
+        return self._only_path(chunk) if self.merging else self._cheapest_path(chunk)
+
+    def _only_path(self, chunk: str) -> list[int]:
+        """The path through the states (position, last piece) of a model of byte-pair kind.
+
+        One path reaches the end, so the first that does is the shortest: states are tried depth first, long pieces
+        before short ones, and a state that led nowhere is not tried again.
+        """
+        length, follows, arcs_of = len(chunk), self._follows, self._arcs
+        arcs: list = [None] * length
+        path, i, last, dead = [], 0, "", set()
+        open_ = arcs[0] = arcs_of(chunk, 0)
+        at = len(open_)
+        while True:
+            while at:
+                at -= 1
+                j, (piece, _, ids) = open_[at]
+                if follows(last, piece) and (j, piece) not in dead:
+                    break
+            else:
+                dead.add((i, last))
+                ids, i, last, at = path.pop()
+                open_ = arcs[i]
                 continue
-            arcs = []
-            node, j = self.trie, i
-            while j < length and (node := node.get(chunk[j])) is not None:
-                j += 1
-                if "" in node:
-                    arcs.append((j, node[""]))
-            if chunk[i] not in self.pieces:
-                found = tuple([self.bytes[b] for b in chunk[i].encode()]) if self.bytes else (self.unknown,)
-                arcs.append((i + 1, (chunk[i], None, self.fallback_weight, found)))
-            for last, (cost, *_) in here.items():
-                rule = apart.setdefault(last, {}) if last else None
-                for j, (piece, _, weight, ids) in arcs:
-                    if rule is not None:
-                        follows = rule.get(piece)
-                        if follows is None:
-                            follows = rule[piece] = self._follows(last, piece)
-                        if not follows:
-                            continue
-                    known = states[j].get(piece)
-                    if known is None or cost + weight < known[0]:
-                        states[j][piece] = (cost + weight, i, last, ids)
-        i, last = length, min(states[-1], key=lambda piece: states[-1][piece][0])
-        arcs = []
+            path.append((ids, i, last, at))
+            if j == length:
+                return [number for step in path for number in step[0]]
+            i, last = j, piece
+            open_ = arcs[i]
+            if open_ is None:
+                open_ = arcs[i] = arcs_of(chunk, i)
+            at = len(open_)
+
+    def _cheapest_path(self, chunk: str) -> list[int]:
+        """The path of least weight in a model of unigram kind, position by position."""
+        best: list[tuple | None] = [(0.0, 0, ())] + [None] * len(chunk)
+        for i in range(len(chunk)):
+            if best[i] is not None:
+                for j, (_, weight, ids) in self._arcs(chunk, i):
+                    cost = best[i][0] + weight
+                    if best[j] is None or cost < best[j][0]:
+                        best[j] = (cost, i, ids)
+        i, arcs = len(chunk), []
         while i:
-            _, before, previous, ids = states[i][last]
+            _, i, ids = best[i]
             arcs.append(ids)
-            i, last = before, previous
         return [number for ids in reversed(arcs) for number in ids]
 
     def packed(self, chunk: str) -> bytes:
         """Ids of one chunk, cut further where no piece can cross."""
         cuts = [i for i, pair in enumerate(pairwise(chunk), 1) if pair not in self.beside]
         if not cuts:
-            return np.array(self.shortest_path(chunk), self.width).tobytes()
+            return array(self.width.char, self.shortest_path(chunk)).tobytes()
         known = self.inner
         return b"".join([known[chunk[a:b]] for a, b in pairwise([0, *cuts, len(chunk)])])
 
@@ -190,10 +232,9 @@ class Transducer:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-@lru_cache(maxsize=1)
 def compiled(model: str) -> Transducer:
     """The transducer of a model, kept by the Python worker from task to task."""
-    return Transducer(model)
+    return kept(__name__, model, lambda: Transducer(model))
 
 
 def encode_texts(docs: DataFrame, model: str, digest: bool = False) -> DataFrame:
