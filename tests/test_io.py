@@ -31,7 +31,7 @@ def test_versioned_config(spark, rows, tmp_path):
 
 def test_step_config_file(spark, rows, tmp_path):
     (tmp_path / "steps.conf").write_text("t,h,r=name,3,detail\n")
-    assert rows(text.read_step_config(spark, str(tmp_path / "steps.conf"))) == [("t", "h", "r", "name", 3, "detail")]
+    assert rows(text.read_step_config(spark, str(tmp_path / "steps.conf"))) == [("t,h,r", "name", 3, "detail")]
 
 
 def test_delimited(spark, rows, tmp_path):

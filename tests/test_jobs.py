@@ -304,6 +304,18 @@ def test_process_steps(spark, rows, places, hours, way):
     assert {r[0] for r in fact.select("date_hour_sk").collect()} == {2018041501}
 
 
+def test_a_step_key_is_a_whole_text(spark, rows, places):
+    lines = spark.createDataFrame([("t5,h,http://x/a,b=comma,5,whole",), ("t5,h,http://x/a,c=other,6,whole",)], "value string")
+    entries = [
+        (body(), at("01:00:12"), "", "http://x/a,b", "s1", "t5", "u1"),
+        (body(), at("01:00:13"), "", "http://x/a", "s1", "t5", "u1"),
+        (body(), at("01:00:14"), "", None, "s1", "t5", "u1"),
+    ]
+    found = steps.process_steps(staged(spark, entries), step_config(key_values(lines)), places, LOAD)
+    assert rows(found, "click_time", "tag_name", "tag_step") == [
+        (at("01:00:12"), "comma", 5), (at("01:00:13"), "未知", -1), (at("01:00:14"), "未知", -1)]
+
+
 def test_process_hourly_counts_people_once(spark, rows, hours):
     base = {c: "x" for c in steps.STEP_COLUMNS} | {"star_level": 1, "tag_step": 1, "snapshot_date": DAY}
 

@@ -152,6 +152,12 @@ def test_as_of_version(spark, rows):
     ]
 
 
+def test_strict_lookup_of_a_repeated_key_keeps_the_rows(spark, rows):
+    dim = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "code string, sk int")
+    facts = spark.createDataFrame([("a",), ("b",), ("a",)], "c string")
+    assert rows(lookups.strict_lookup(facts, dim, F.col("c"), "code", "sk", "fk")) == [("a", 2), ("a", 2), ("b", 3)]
+
+
 def test_range_lookup_equals_a_loop(spark, rows):
     rnd = random.Random(4)
     key = "{:08x}".format

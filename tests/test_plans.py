@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from tidemart.functions import times
 from tidemart.operators import ordered, ranges
-from tidemart.plans import money
+from tidemart.plans import money, steps
+from tidemart.sources.text import step_config
 from workload import standins
 
 SF = "/root/testdata/sf0.001"
@@ -69,3 +70,11 @@ def test_a_range_over_all_addresses_is_one_row(spark):
     found = ranges.range_lookup(points, "p", dim, "lo", "hi")
     assert "strategy=broadcast" not in found._jdf.queryExecution().analyzed().toString()
     assert found.where("v = 1").count() == 100
+
+
+def test_addresses_are_looked_up_once_for_both_columns(spark):
+    config = step_config(standins.step_lines(spark))
+    found = steps.process_steps(standins.staging(spark, SF), config, standins.ip_ranges(spark), "now")
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    # The facts are planned once: the window inside slices is there for the rows and for the borders, that over borders once.
+    assert text.count("Window [") == 3

@@ -13,17 +13,18 @@ def one_row_per_key(dim: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def strict_lookup(
-    df: DataFrame, dim: DataFrame, key: Column, dim_key: str, value: str, out: str, unique: bool = False
+    df: DataFrame, dim: DataFrame, key: Column, dim_key: str, value: str, out: str
 ) -> DataFrame:
     """Add ``out`` = the dimension's ``value`` for ``key``; a key the dimension lacks raises.
 
+    A key that the dimension repeats counts once, with its greatest value, so facts are never multiplied.
+
     The check is a condition on the joined row, so it holds whether or not ``out`` is used later.
     No broadcast hint: Spark broadcasts the dimension when its size allows, and otherwise joins by
     sorting, with skewed keys split at run time.
     """
     side = dim.select(F.col(dim_key).alias("_dim_key"), F.col(value).alias("_dim_value"))
-    if not unique:
-        side = one_row_per_key(side, ["_dim_key"], "_dim_value")
+    side = one_row_per_key(side, ["_dim_key"], "_dim_value")
     keyed = df.withColumn("_key", key)
     message = F.concat(
         F.lit(f"no {value} for {dim_key} = "), F.coalesce(F.col("_key").cast("string"), F.lit("null"))

@@ -34,7 +34,7 @@ def _counts(
         *[c.alias(name) for name, c in extra.items()],
     ).agg(F.count(F.lit(1)).alias("login_count"))
     keyed = strict_lookup(
-        counted, hours, F.col("full_date_hour"), "full_date_hour", "date_hour_sk", "date_hour_fk", True
+        counted, hours, F.col("full_date_hour"), "full_date_hour", "date_hour_sk", "date_hour_fk"
     )
     return keyed.select(
         F.col("date_hour_fk").cast("bigint").alias("date_hour_fk"),

@@ -63,7 +63,7 @@ def _per_user_hour(
     named = with_login_name(dated, customers).withColumn("user_fk", user_key("product_id", "login_name"))
     facts = strict_lookup(
         _combine(named, [*group, "user_fk"]),
-        hours, F.col("full_date_hour"), "full_date_hour", "date_hour_sk", "date_hour_fk", True,
+        hours, F.col("full_date_hour"), "full_date_hour", "date_hour_sk", "date_hour_fk",
     )
     return facts.select(
         F.col("date_hour_fk").cast("bigint").alias("date_hour_fk"), "user_fk", *extra, "currency",

@@ -10,13 +10,14 @@ from ..functions.network import address_key
 from ..functions.times import iso_hour, iso_millis
 from ..operators.lookups import lookup_with_defaults
 from ..operators.ordered import next_value
-from ..operators.ranges import range_lookup
+from ..operators.ranges import range_matches
 from ..operators.uniques import ones, totals_and_uniques
 
 # Text for anything unknown, the guest marker and the city suffix.
 UNKNOWN = "未知"
 GUEST = "null"
 CITY_SUFFIX = "市"
+PLACE = ("country", "province", "city")
 
 DATA_SCHEMA = (
     "platform string, procedure_id string, customer_level string, hierarchy string, "
@@ -36,23 +37,38 @@ FACT_KEYS = (
 )
 
 
-def enrich_ip(df: DataFrame, ip: str, ranges: DataFrame, prefix: str = "") -> DataFrame:
-    """Add country, province and city of the first address in ``ip``; 未知 where there is none.
+def places_of(texts: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Country, province and city of the first address in each ``text``; texts without a place have no row.
 
-    ``ranges``: ip_from, ip_to (see ``address_key``), country, province, city, not overlapping.
+    ``ranges``: ip_from, ip_to (see ``address_key``), country, province, city, not overlapping. Each distinct text is
+    made a key and looked up once, however many rows and columns hold it.
     """
-    named = ranges.select(
-        "ip_from", "ip_to",
-        *[F.col(c).alias(f"_{c}") for c in ("country", "province", "city")],
-    )
-    found = range_lookup(df.withColumn("_ip", address_key(ip)), "_ip", named, "ip_from", "ip_to")
-    city = F.when(F.col("_city").contains(CITY_SUFFIX), F.col("_city")).otherwise(
-        F.concat("_city", F.lit(CITY_SUFFIX))
-    )
-    values = {"country": F.col("_country"), "province": full_province("_province"), "city": city}
-    return found.withColumns(
-        {prefix + name: F.coalesce(value, F.lit(UNKNOWN)) for name, value in values.items()}
-    ).drop("_ip", "_country", "_province", "_city")
+    keyed = texts.select("text").where("text is not null").distinct().withColumn("_key", address_key("text"))
+    found = range_matches(keyed, "_key", ranges.select("ip_from", "ip_to", "country", "province", "city"), "ip_from", "ip_to")
+    city = F.when(F.col("city").contains(CITY_SUFFIX), F.col("city")).otherwise(F.concat("city", F.lit(CITY_SUFFIX)))
+    return found.select("text", "country", full_province("province").alias("province"), city.alias("city"))
+
+
+def enrich_ips(df: DataFrame, addresses: dict[str, str], ranges: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """Add country, province and city of the first address in each column; 未知 where there is none.
+
+    ``addresses`` gives the column for each prefix of the new names. One table of places serves all of them; the facts
+    meet it by equality of the raw text, where Spark splits a frequent one. ``texts`` may name the addresses from
+    something cheaper to read than ``df``.
+    """
+    if texts is None:
+        texts = df.select(F.explode(F.array(*addresses.values())).alias("text"))
+    places = places_of(texts, ranges)
+    for prefix, column in addresses.items():
+        side = places.select(F.col("text").alias("_text"), *[F.col(c).alias(f"_{c}") for c in PLACE])
+        named = {prefix + c: F.coalesce(f"_{c}", F.lit(UNKNOWN)) for c in PLACE}
+        df = df.join(side, F.col(column) == F.col("_text"), "left").withColumns(named).drop("_text", *[f"_{c}" for c in PLACE])
+    return df
+
+
+def enrich_ip(df: DataFrame, ip: str, ranges: DataFrame, prefix: str = "") -> DataFrame:
+    """The same for one column."""
+    return enrich_ips(df, {prefix: ip}, ranges)
 
 
 def action_seconds(df: DataFrame, **widths: int) -> DataFrame:
@@ -77,7 +93,8 @@ def process_steps(
 ) -> DataFrame:
     """Monitoring events with their JSON fields, configured step, step time and places.
 
-    ``steps``: tag_id, hierarchy, referer, tag_name, tag_step, tag_detail (see ``step_config``).
+    ``steps``: step_key, tag_name, tag_step, tag_detail (see ``step_config``). The key is the whole text
+    ``tag_id,hierarchy,referer``, so a referer may hold commas; an event that lacks one of the three has no step.
     """
     data = F.from_json("data", DATA_SCHEMA)
     parsed = staging.withColumn("_d", data).select(
@@ -90,11 +107,14 @@ def process_steps(
         F.lit(load_time).alias("load_time"),
     )
     named = lookup_with_defaults(
-        parsed, steps, ["tag_id", "hierarchy", "referer"],
+        parsed.withColumn("step_key", F.concat_ws(",", "tag_id", "hierarchy", "referer")).withColumn(
+            "step_key", F.when(F.concat("tag_id", "hierarchy", "referer").isNotNull(), F.col("step_key"))),
+        steps, ["step_key"],
         {"tag_name": UNKNOWN, "tag_step": -1, "tag_detail": UNKNOWN},
     )
     timed = action_seconds(named, **widths)
-    placed = enrich_ip(enrich_ip(timed, "ip", ranges), "server_ip", ranges, "server_")
+    texts = parsed.select(F.explode(F.array("ip", "server_ip")).alias("text"))
+    placed = enrich_ips(timed, {"": "ip", "server_": "server_ip"}, ranges, texts)
     return placed.select(*STEP_COLUMNS)
 
 

@@ -52,19 +52,17 @@ def read_step_config(spark: SparkSession, path: str) -> DataFrame:
 
 
 def step_config(pairs: DataFrame) -> DataFrame:
-    """Key and value parts of a step config, one row per key.
+    """``step_key`` (the whole text before the first ``=``) and the parts of the value, one row per key.
 
     The name counts even when the step is missing or no number; the detail only after a good step.
     """
-    key, value = F.split("key", ","), F.split("value", ",")
+    value = F.split("value", ",")
     step = F.get(value, F.lit(1)).try_cast("int")
     return (
-        pairs.groupBy("key")
+        pairs.groupBy(F.col("key").alias("step_key"))
         .agg(F.max("value").alias("value"))
         .select(
-            F.get(key, F.lit(0)).alias("tag_id"),
-            F.get(key, F.lit(1)).alias("hierarchy"),
-            F.get(key, F.lit(2)).alias("referer"),
+            "step_key",
             F.get(value, F.lit(0)).alias("tag_name"),
             step.alias("tag_step"),
             F.when(step.isNotNull(), F.get(value, F.lit(2))).alias("tag_detail"),

@@ -203,7 +203,7 @@ def dim_lookup_strict(spark: SparkSession, sf: str) -> DataFrame:
     owners = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     known = per_customer.join(owners, "o_custkey")
     misses = lookups.lookup_misses(owners, nations, "c_nationkey", "n_nationkey").agg(F.count(F.lit(1)))
-    named = lookups.strict_lookup(known, nations, F.col("c_nationkey"), "n_nationkey", "n_name", "nation", True)
+    named = lookups.strict_lookup(known, nations, F.col("c_nationkey"), "n_nationkey", "n_name", "nation")
     return named.groupBy("nation").agg(F.sum("n").alias("orders")).withColumn("misses", misses.scalar())
 
 
