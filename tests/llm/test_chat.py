@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -64,3 +65,11 @@ def test_awkward_rows(spark):
     assert found[2].loss_sha256 == hashlib.sha256(b"").hexdigest() and found[None].n_turns == 1
     empty = spark.createDataFrame([], schema)
     assert chat.read_back(chat.format_conversations(empty)).count() == 0
+
+
+def test_null_and_unknown_parts():
+    flat = chat.Flattener()
+    assert [flat.visit(p) for p in (None, {}, {"type": None, "text": None}, {"type": "text", "text": "a|b"})] == ["", "", "", "a\\|b"]
+    assert not flat.attachments
+    with pytest.raises(ValueError, match="unknown content part"):
+        flat.visit({"type": "video"})

@@ -52,11 +52,15 @@ def unescape_role(role: str) -> str:
 
 @dataclass
 class Flattener:
-    """Visitor over content parts; keeps what it met in the order it met it."""
+    """Visitor over content parts; keeps what it met in the order it met it.
+
+    A null part, and a text part without text, is an empty text; a type that is not known raises, as no placeholder could stand for it.
+    """
 
     attachments: list[dict] = field(default_factory=list)
 
-    def visit(self, part: dict) -> str:
+    def visit(self, part: dict | None) -> str:
+        part = part or {}
         kind = part.get("type") or "text"
         if kind == "text":
             return self.visit_text(part)
