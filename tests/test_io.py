@@ -29,6 +29,54 @@ def test_versioned_config(spark, rows, tmp_path):
     ]
 
 
+VERSIONS = [
+    ("A01", "20180401", "n=t1,t2"), ("A01", "20180501", "m=t1"), ("A02", "20180401", "k=t9"), ("A02", "readme", "x=y"),
+    ("20180402", "20180403", "z=t5"), ("A02", "20180601", "no pair"),
+]
+
+
+def write_versions(folder):
+    for product, version, line in VERSIONS:
+        (folder / product).mkdir(exist_ok=True)
+        (folder / product / version).write_text(line + "\n")
+    part = folder / "product_id=A03" / "version=20180401"
+    part.mkdir(parents=True)
+    (part / "part-00000.txt").write_text("p=t7\n")
+
+
+def test_config_as_of_days(spark, rows, tmp_path):
+    write_versions(tmp_path)
+    asked = [
+        ("A01", "2018-03-31"), ("A01", "2018-04-01"), ("A01", "2018-04-30"), ("A01", "2018-05-01"), ("A01", "2018-05-01"),
+        ("A02", "2018-05-31"), ("A02", "2018-06-01"), ("A03", "2019-01-01"), ("A09", "2019-01-01"), ("20180402", "2019-01-01"),
+        (None, "2019-01-01"), ("A01", None),
+    ]
+    found = text.read_tag_config_as_of(spark, str(tmp_path), spark.createDataFrame(asked, "product_id string, day string"))
+    assert rows(found, "product_id", "day", "version", "tag_name", "tag") == [
+        ("20180402", "2019-01-01", 20180403, "z", "t5"),
+        ("A01", "2018-04-01", 20180401, "n", "t1"), ("A01", "2018-04-01", 20180401, "n", "t2"),
+        ("A01", "2018-04-30", 20180401, "n", "t1"), ("A01", "2018-04-30", 20180401, "n", "t2"),
+        ("A01", "2018-05-01", 20180501, "m", "t1"), ("A02", "2018-05-31", 20180401, "k", "t9"),
+        ("A03", "2019-01-01", 20180401, "p", "t7"),
+    ]
+    none = text.read_tag_config_as_of(spark, str(tmp_path), spark.createDataFrame([("A09", "2019-01-01")], "product_id string, day string"))
+    assert none.columns == found.columns and none.count() == 0
+
+
+def test_only_the_chosen_versions_are_read(spark, tmp_path):
+    write_versions(tmp_path)
+    assert text.config_versions(spark, str(tmp_path)).count() == 6
+    asked = spark.createDataFrame([("A01", "2018-05-02")], "product_id string, day string")
+    found = text.read_tag_config_as_of(spark, str(tmp_path), asked)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    scans = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    read = [line for line in scans if "FileScan text" in line]
+    assert len(read) == 1 and "InMemoryFileIndex(1 paths)" in read[0] and "A01/20180501]" in read[0]
+    assert all("ReadSchema: struct<path:string>" in line for line in scans if line not in read)
+    assert found.count() == 1
+
+
 def test_step_config_file(spark, rows, tmp_path):
     (tmp_path / "steps.conf").write_text("t,h,r=name,3,detail\n")
     assert rows(text.read_step_config(spark, str(tmp_path / "steps.conf"))) == [("t,h,r", "name", 3, "detail")]
@@ -111,6 +159,26 @@ def test_stream_gaps_over_batches_and_a_restart(spark, rows, tmp_path):
     assert rows(spark.read.parquet(out), "id", "gap") == loop_gaps(batches)
 
 
+def test_stream_gaps_forget_idle_keys(spark, rows, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema, hour = "user_id long, t long, id long", 3_600_000
+    kept = []
+    # Keys 1 and 2 come once; key 3 comes again within the idle time, at its very end, one after it, and long after its state has ended.
+    batches = [
+        [(1, hour, 0), (2, hour, 1), (3, hour, 2), (3, 2 * hour, 3)], [(3, 4 * hour, 4), (3, 6 * hour + 1, 5)],
+        [(4, 20 * hour, 6)], [(4, 20 * hour + 5, 7), (3, 20 * hour + 7, 8)], [(5, 60 * hour, 9)],
+    ]
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = streams.read_event_files(spark, source, spark.createDataFrame([], schema).schema)
+        query = streams.write_appended(streams.gaps(stream, "user_id", "t", "id", idle=2 * hour), out, state)
+        query.awaitTermination()
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert rows(spark.read.parquet(out), "id", "gap") == [
+        (0, None), (1, None), (2, None), (3, hour), (4, 2 * hour), (5, None), (6, None), (7, 5), (8, None), (9, None)]
+    assert max(kept) <= 3 and kept[-1] == 1
+
+
 def test_stream_windows_over_batches(spark, rows, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     schema = "ts timestamp, kind string"

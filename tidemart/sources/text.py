@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.columns import col
+from ..operators.lookups import as_of_version
+
+# Product and version in a path: folder and file ``A01/20240105``, or folders with part files below them, as Spark writes
+# them; the names of partition columns (``version=20240105``) are passed over.
+VERSION_PATH = r"/(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?(\d{8})(?:/(?!\d{8}$)[^/]+)?$"
 
 
 def key_values(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -46,6 +51,42 @@ def read_versioned_tag_config(spark: SparkSession, path: str) -> DataFrame:
     return exploded_values(key_values(lines.where(F.col("version").isNotNull())), "tag_name", "tag")
 
 
+def config_versions(spark: SparkSession, path: str) -> DataFrame:
+    """``product_id``, ``version`` and ``path`` of the version files below ``path``, from their listing alone.
+
+    Only the paths are selected, so no file is opened. Files whose path tells no version are left out.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    found = files.select(
+        F.regexp_extract("path", VERSION_PATH, 1).alias("product_id"),
+        F.regexp_extract("path", VERSION_PATH, 2).try_cast("int").alias("version"),
+        "path",
+    )
+    return found.where(F.col("version").isNotNull())
+
+
+def read_tag_config_as_of(spark: SparkSession, path: str, asked: DataFrame) -> DataFrame:
+    """The tag config in force for each (``product_id``, ``day``) of ``asked``: its version, names and tags.
+
+    The version is the greatest one that is not after the day; a day before the first version, a day or product that
+    is null and an unknown product have no rows. Versions come from the listing, and only the chosen files are read: their
+    paths pass through the driver, which holds the listing anyway.
+    """
+    versions = config_versions(spark, path)
+    days = asked.select("product_id", "day").where("product_id is not null and day is not null").distinct()
+    chosen = as_of_version(days, versions, ["product_id"], "day").where("version > 0")
+    used = versions.join(chosen.select("product_id", "version").distinct(), ["product_id", "version"])
+    paths = [row["path"] for row in used.select("path").collect()]
+    lines = spark.read.text(paths) if paths else spark.createDataFrame([], "value string")
+    source = F.col("_metadata.file_path") if paths else F.lit("")
+    tagged = lines.select(
+        F.regexp_extract(source, VERSION_PATH, 1).alias("product_id"),
+        F.regexp_extract(source, VERSION_PATH, 2).try_cast("int").alias("version"),
+        "value",
+    )
+    return chosen.join(exploded_values(key_values(tagged), "tag_name", "tag"), ["product_id", "version"])
+
+
 def read_step_config(spark: SparkSession, path: str) -> DataFrame:
     """Lines ``tag_id,hierarchy,referer=name,step,detail``."""
     return step_config(key_values(spark.read.text(path)))

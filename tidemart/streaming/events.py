@@ -43,23 +43,35 @@ def timed_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def gaps(events: DataFrame, key: str, time: str, tie: str) -> DataFrame:
+def gaps(
+    events: DataFrame, key: str, time: str, tie: str, idle: int | None = None, delay: str = "1 hour"
+) -> DataFrame:
     """Time since the previous event of the same key, across micro-batches; null on the first one.
 
     ``time`` and ``tie`` are whole numbers, ``key`` is a whole number or text. The state of a key is its
     greatest time so far. Within a micro-batch the events of a key are put in order; an event that arrives
     in a later batch than its successor gets a negative gap, as nothing waits for it, and leaves the state
     as it is.
+
+    Without ``idle`` the state of a key is kept for ever. With it (``time`` in milliseconds then) an event more than
+    ``idle`` after all earlier ones of its key counts as a first one, so the state of a key ends as soon as the watermark is
+    that far past it, and the state holds the keys of that time only. The watermark is the greatest time less
+    ``delay``; events at or before it when their batch begins are dropped.
     """
     columns = [key, time, tie]
     rows = events.select(*columns)
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", gap bigint"
+    if idle is not None:
+        rows = rows.withColumn("_at", F.timestamp_millis(time)).withWatermark("_at", delay)
 
     def step(group: tuple, chunks: Iterator[Any], state: GroupState) -> Iterator[Any]:
         import numpy as np
         import pandas as pd
 
+        if state.hasTimedOut:
+            state.remove()
+            return
         parts = list(chunks)
         batch = parts[0] if len(parts) == 1 else pd.concat(parts)
         times, ties = batch[time].to_numpy(), batch[tie].to_numpy()
@@ -69,7 +81,11 @@ def gaps(events: DataFrame, key: str, time: str, tie: str) -> DataFrame:
         gap = np.diff(times, prepend=first)
         missing = np.zeros(len(times), dtype=bool)
         missing[0] = not state.exists
-        state.update((int(max(first, times[-1])),))
+        last = int(max(first, times[-1]))
+        state.update((last,))
+        if idle is not None:
+            missing |= gap > idle
+            state.setTimeoutTimestamp(max(last + idle, state.getCurrentWatermarkMs()) + 1)
         yield pd.DataFrame({
             key: batch[key].to_numpy()[order],
             time: times,
@@ -78,7 +94,8 @@ def gaps(events: DataFrame, key: str, time: str, tie: str) -> DataFrame:
         })
 
     return rows.groupBy(key).applyInPandasWithState(
-        step, schema, "last bigint", "append", GroupStateTimeout.NoTimeout
+        step, schema, "last bigint", "append",
+        GroupStateTimeout.NoTimeout if idle is None else GroupStateTimeout.EventTimeTimeout,
     )
 
 

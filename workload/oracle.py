@@ -387,6 +387,8 @@ FROM (SELECT *, epoch_us(ts) // 1000 AS ms FROM events)"""
 ORACLE["event_gap"] = GAP
 ORACLE["stream_gap"] = GAP
 
+ORACLE["stream_gap_restart"] = f"SELECT * REPLACE (CASE WHEN gap <= {t.STREAM_IDLE} THEN gap END AS gap) FROM ({GAP})"
+
 ORACLE["stream_window"] = """
 SELECT strftime(time_bucket(INTERVAL 20 SECONDS, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n
 FROM events GROUP BY 1, 2"""
@@ -433,6 +435,17 @@ FROM daily LEFT JOIN versions ON daily.event_type = versions.event_type
   AND version <= CAST(replace(dt, '-', '') AS INTEGER)
 GROUP BY 1, 2"""
 
+ORACLE["asof_files"] = f"""
+WITH weeks AS (
+  SELECT event_type, CAST(strftime(date_trunc('week', ts), '%Y%m%d') AS INTEGER) AS version,
+    'n' || (user_id % 7) AS tag_name, CAST(event_id % 11 AS VARCHAR) AS tag
+  FROM events WHERE weekofyear(date_trunc('week', ts)) % 2 = 0 GROUP BY ALL),
+days AS (SELECT DISTINCT event_type, dt FROM {EVENTS}),
+chosen AS (
+  SELECT days.event_type, dt, max(version) AS version FROM days JOIN weeks
+  ON days.event_type = weeks.event_type AND version <= CAST(replace(dt, '-', '') AS INTEGER) GROUP BY 1, 2)
+SELECT event_type AS product_id, version, dt AS day, tag_name, tag FROM chosen JOIN weeks USING (event_type, version)"""
+
 IP = """CASE WHEN k = 0 THEN '' WHEN k = 1 THEN '36.' || (user_id % 64) || '.' || (event_id % 256) || '.7,10.0.0.1'
     WHEN k = 2 THEN 'fe80::' || printf('%x', event_id % 256) ELSE '36.' || (user_id % 64) || '.' || (event_id % 256) || '.' || k END"""
 

@@ -351,6 +351,29 @@ def asof_config(spark: SparkSession, sf: str) -> DataFrame:
     return lookups.as_of_version(daily, versions, ["event_type"], "dt")
 
 
+@query
+def asof_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Configs written as one folder per event type and version, read back as of every day of the events.
+
+    A version is the Monday of every second week; it lists the numbers seen per remainder of the users.
+    """
+    path = scratch_folder(spark, "versions")
+    e = t.events(spark, sf)
+    monday = F.trunc("dt", "week")
+    lines = (
+        e.where(F.weekofyear(monday) % 2 == 0)
+        .groupBy(
+            F.col("event_type").alias("product_id"), F.date_format(monday, "yyyyMMdd").alias("version"),
+            F.concat(F.lit("n"), F.col("user_id") % 7).alias("name"),
+        )
+        .agg(F.concat_ws(",", F.collect_set((F.col("event_id") % 11).cast("string"))).alias("tags"))
+        .select("product_id", "version", F.concat("name", F.lit("="), "tags").alias("value"))
+    )
+    lines.write.partitionBy("product_id", "version").text(path)
+    asked = e.select(F.col("event_type").alias("product_id"), F.col("dt").alias("day"))
+    return text.read_tag_config_as_of(spark, path, asked)
+
+
 @query
 def process_steps(spark: SparkSession, sf: str) -> DataFrame:
     config = text.step_config(t.step_lines(spark))
@@ -485,6 +508,23 @@ def stream_gap(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).select("event_id", "user_id", "ms", "gap")
 
 
+@query
+def stream_gap_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """Gaps of at most two hours; the events arrive in three parts, and the stream is started again for each."""
+    source, path = scratch_folder(spark, "gap-files"), scratch_folder(spark, "gap-batches")
+    timed = table(spark, sf, "events").select(
+        "user_id", "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), F.to_date("ts").alias("day")
+    )
+    borders = (None, *t.STREAM_BORDERS, None)
+    for first, end in zip(borders, borders[1:], strict=False):
+        part = timed.where(F.coalesce(F.col("day") >= F.lit(first), F.lit(True)) & F.coalesce(F.col("day") < F.lit(end), F.lit(True)))
+        part.drop("day").write.mode("append").parquet(source)
+        stream = streams.read_event_files(spark, source, timed.drop("day").schema)
+        found = streams.gaps(stream, "user_id", "ms", "event_id", idle=t.STREAM_IDLE)
+        streams.write_appended(found, path, path + "-state").awaitTermination()
+    return spark.read.parquet(path).select("event_id", "user_id", "ms", "gap")
+
+
 @query
 def stream_window(spark: SparkSession, sf: str) -> DataFrame:
     counts = streams.window_counts(_event_stream(spark, sf), "ts", ["event_type"])

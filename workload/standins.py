@@ -10,6 +10,9 @@ from tidemart.sources.tables import inline_table, read_table
 
 LOAD_TIME = "2024-02-01T00:00:00.000+08:00"
 EVENT_DAYS = ("2023-12-01", "2024-12-31")
+# Days at which the streamed events are cut into parts, and the longest gap in milliseconds.
+STREAM_BORDERS = ("2024-01-11", "2024-01-21")
+STREAM_IDLE = 2 * 60 * 60 * 1000
 ORDER_DAYS = ("1994-01-01", "2004-12-31")
 
 CURRENCIES = [(1, "CNY"), (2, "USD"), (3, "VND")]
