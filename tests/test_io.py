@@ -194,6 +194,27 @@ def test_stream_windows_over_batches(spark, rows, tmp_path):
     assert found.agg(F.sum("n")).first()[0] == 20
 
 
+def test_window_parts_lose_nothing_and_stay_few(spark, rows, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = spark.createDataFrame([], "ts timestamp, kind string").schema
+    days = ["2024-01-05", "2024-01-05", "2024-01-01", "2023-06-01", "2024-01-09", "2024-01-05", "2024-01-02"]
+    for i, day in enumerate(days):
+        batch = spark.createDataFrame([(f"{day} 00:00:{s:02d}", k) for s in (0, 19, 20) for k in ("a", None)] + [(None, "a")], "s string, kind string")
+        batch.select(F.to_timestamp("s").alias("ts"), "kind").coalesce(1).write.mode("append").parquet(source)
+        stream = streams.read_event_files(spark, source, schema)
+        query = streams.write_window_parts(stream, "ts", ["kind"], out, state, batches_per_merge=2)
+        query.awaitTermination()
+        assert not query.lastProgress["stateOperators"]
+        want = spark.read.parquet(source).where("ts is not null").groupBy(F.window("ts", "20 seconds")["start"].alias("window_start"), "kind")
+        found = streams.read_window_parts(spark, out, ["kind"])
+        assert rows(found, "window_start", "kind", "n") == rows(want.agg(F.count("*").alias("n")), "window_start", "kind", "n")
+        assert len([f for f in (tmp_path / "out").iterdir() if f.is_dir()]) <= 5
+    # A merge that broke off before it was finished is not read.
+    before = rows(found)
+    (tmp_path / "out" / "merged=99").mkdir()
+    assert rows(streams.read_window_parts(spark, out, ["kind"])) == before
+
+
 def test_timed_lines(spark, rows):
     lines = spark.createDataFrame([("12 a",), ("x b",), ("13",)], "value string")
     assert rows(streams.timed_lines(lines)) == [(12, "a"), (13, None), (None, "b")]

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 MAX_BYTES_PER_TRIGGER = 1 << 30
 INTERVAL = "20 seconds"
+BATCHES_PER_MERGE = 50
 
 
 def read_event_files(
@@ -149,3 +150,80 @@ def write_changes(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
 def latest_changes(changes: DataFrame, keys: list[str], value: str) -> DataFrame:
     """The last written value per key of a folder of :func:`write_changes`."""
     return changes.groupBy(*keys).agg(F.max_by(value, "batch").alias(value))
+
+
+def _counts(events: DataFrame, time: str, keys: list[str], width: str) -> DataFrame:
+    window = F.window(F.col(time).cast("timestamp"), width)
+    return events.groupBy(window["start"].alias("window_start"), *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _merged(parts: DataFrame, keys: list[str]) -> DataFrame:
+    return parts.groupBy("window_start", *keys).agg(F.sum("n").alias("n"))
+
+
+class _Parts:
+    """The finished folders below a path: ``batch=N`` has the counts of a micro-batch, ``merged=N`` those of all up to N."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def _at(self, name: str) -> Any:
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+
+    def numbers(self, kind: str) -> list[int]:
+        found = self.files.globStatus(self._at(f"{kind}=*/_SUCCESS")) or []
+        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+    def current(self) -> list[str]:
+        """The last merged folder and the batches after it."""
+        last = max(self.numbers("merged"), default=-1)
+        merged = [f"{self.path}/merged={last}"] if last >= 0 else []
+        return merged + [f"{self.path}/batch={n}" for n in self.numbers("batch") if n > last]
+
+    def drop_before(self, merged: int) -> None:
+        """Remove what an earlier merged folder replaces, but not that folder, which a reader may have chosen."""
+        kept = max((n for n in self.numbers("merged") if n < merged), default=-1)
+        for kind, numbers in (
+            ("batch", [n for n in self.numbers("batch") if n <= kept]),
+            ("merged", [n for n in self.numbers("merged") if n < kept]),
+        ):
+            for n in numbers:
+                self.files.delete(self._at(f"{kind}={n}"), True)
+
+
+def write_window_parts(
+    events: DataFrame, time: str, keys: list[str], path: str, checkpoint: str, width: str = INTERVAL,
+    batches_per_merge: int = BATCHES_PER_MERGE,
+) -> StreamingQuery:
+    """Count the events of every micro-batch per window and keys, and keep the counts; see :func:`read_window_parts`.
+
+    Counts add up, so the stream has no state: an event counts however late it is, and memory does not grow with
+    the windows. Every ``batches_per_merge`` batches the folders are merged into one, and those that the merge before made
+    needless go, so their number stays below twice that. A batch that is run again replaces its folder, and a merge that
+    was finished is not made again. Finished folders are told by the marker that Spark's writer leaves.
+    Events without a time are not counted.
+    """
+
+    def save(batch: DataFrame, number: int) -> None:
+        parts = _Parts(batch.sparkSession, path)
+        _counts(batch, time, keys, width).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if (number + 1) % batches_per_merge:
+            return
+        if number not in parts.numbers("merged"):
+            found = batch.sparkSession.read.parquet(*parts.current())
+            _merged(found, keys).write.mode("overwrite").parquet(f"{path}/merged={number}")
+        parts.drop_before(number)
+
+    return (
+        events.writeStream.foreachBatch(save)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_window_parts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """``window_start``, the keys and ``n`` of all batches that :func:`write_window_parts` has finished."""
+    return _merged(spark.read.parquet(*_Parts(spark, path).current()), keys)

@@ -1,19 +1,80 @@
 """The registered queries as SQL over the same tables.
 
-Written independently of the Spark plans; the tables of codes (provinces, banks, aliases) are the library's own.
+Written independently of the Spark plans; the tables of names below are its own, so that a wrong entry of the library shows.
 """
 
 from __future__ import annotations
 
 import ipaddress
 
-from tidemart.functions import codes
-from tidemart.plans import banks
-
 from . import standins as t
 
 ORACLE: dict[str, str] = {}
 
+# What the results have to hold, as text. Provinces and banks are in the order of their rules.
+PROVINCES = """河北 山西 辽宁 吉林 黑龙江 江苏 浙江 安徽 福建 江西 山东 河南 湖北 湖南 广东 海南
+四川 贵州 云南 陕西 甘肃 青海 台湾 内蒙古 广西 西藏 宁夏 新疆 北京 天津 上海 重庆 香港 澳门""".split()
+BANKS = [line.split() for line in """招 招商银行
+工 工商银行
+农 农业银行
+建 建设银行
+交 交通银行
+民 民生银行
+光 光大银行
+兴 兴业银行
+浦 上海浦东发展银行
+广 广东发展银行
+圳 深圳发展银行
+平 平安银行
+邮 中国邮政储蓄银行
+夏 华夏银行
+中信 中信银行
+信 农村信用社
+中国 中国银行
+比 比特币
+BTC 比特币
+btc 比特币
+CMB 招商银行
+ABC 农业银行
+CCB 建设银行
+BOCOM 交通银行
+渤海银行 渤海银行
+ICBC 工商银行""".splitlines()]
+PROVINCE_NAMES = [line.split() for line in """北京市 北京 京
+天津市 天津 津
+上海市 上海 沪
+重庆市 重庆 渝
+河北省 河北 冀
+河南省 河南 豫
+湖北省 湖北 鄂
+湖南省 湖南 湘
+江苏省 江苏 苏
+江西省 江西 赣
+辽宁省 辽宁 辽
+吉林省 吉林 吉
+黑龙江省 黑龙江 黑
+陕西省 陕西 陕 秦
+山西省 山西 晋
+山东省 山东 鲁
+四川省 四川 川 蜀
+青海省 青海 青
+安徽省 安徽 皖
+海南省 海南 琼
+广东省 广东 粤
+贵州省 贵州 贵 黔
+浙江省 浙江 浙
+福建省 福建 闽
+台湾省 台湾 台
+甘肃省 甘肃 甘 陇
+云南省 云南 云 滇
+西藏自治区 西藏 藏
+宁夏回族自治区 宁夏 宁
+广西壮族自治区 广西 桂
+新疆维吾尔自治区 新疆 新
+内蒙古自治区 内蒙古 蒙
+香港特别行政区 香港 港
+澳门特别行政区 澳门 澳""".splitlines()]
+
 
 def lit(value: object) -> str:
     if value is None:
@@ -95,8 +156,8 @@ FROM events"""
 ORACLE["scalar_json"] = f"""
 SELECT event_id, k, '{{"k":' || k || ',"event_type":"' || event_type || '"}}' AS props_out FROM {EVENTS}"""
 
-_SHORT = [s for names in codes.PROVINCE_ALIASES.values() for s in names] + ["abroad"]
-_FULL = [full for full, names in codes.PROVINCE_ALIASES.items() for _ in names] + ["abroad"]
+_SHORT = [short for _, *names in PROVINCE_NAMES for short in names] + ["abroad"]
+_FULL = [full for full, *names in PROVINCE_NAMES for _ in names] + ["abroad"]
 ORDER_LOG = f"""(SELECT 'A0' || (o_custkey % 3 + 1) AS product_id, o_custkey AS customer_id,
     strftime(o_orderdate, '%Y-%m-%d') AS dt,
     CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) * 100 + o_orderkey % 24 AS hour_fk,
@@ -393,6 +454,8 @@ ORACLE["stream_window"] = """
 SELECT strftime(time_bucket(INTERVAL 20 SECONDS, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n
 FROM events GROUP BY 1, 2"""
 
+ORACLE["stream_window_late"] = ORACLE["stream_window"]
+
 # --- funnel, process monitoring, cleansing -----------------------------------------------------
 
 ORACLE["funnel_tags"] = f"""
@@ -547,9 +610,9 @@ ORACLE["keyword_canon"] = f"""
 SELECT p_partkey, CASE {_CANON} ELSE name END AS by_list, CASE {_CANON} ELSE name END AS by_table
 FROM (SELECT p_partkey, p_name || ' ' || p_type AS name FROM part)"""
 
-_FIRST_PROVINCE = " ".join(f"WHEN contains(p1, {lit(p)}) THEN {lit(p)}" for p in banks.PROVINCES)
-_BANK = " ".join(f"WHEN contains(bank, {lit(k)}) THEN {lit(v)}" for k, v in banks.BANKS)
-_ANY_PROVINCE = " OR ".join(f"contains(country, {lit(p)})" for p in banks.PROVINCES)
+_FIRST_PROVINCE = " ".join(f"WHEN contains(p1, {lit(p)}) THEN {lit(p)}" for p in PROVINCES)
+_BANK = " ".join(f"WHEN contains(bank, {lit(k)}) THEN {lit(v)}" for k, v in BANKS)
+_ANY_PROVINCE = " OR ".join(f"contains(country, {lit(p)})" for p in PROVINCES)
 _CITY_ROWS = values(t.CITIES, "c(city, city_province)")
 
 

@@ -536,6 +536,22 @@ def stream_window(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def stream_window_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts per 20 seconds of events that arrive in three parts, the latest days first; every two batches are merged."""
+    source, path = scratch_folder(spark, "late-files"), scratch_folder(spark, "late-windows")
+    events = table(spark, sf, "events").select("ts", "event_type", F.to_date("ts").alias("day"))
+    borders = (None, *t.STREAM_BORDERS, None)
+    for first, end in reversed(list(zip(borders, borders[1:], strict=False))):
+        part = events.where(F.coalesce(F.col("day") >= F.lit(first), F.lit(True)) & F.coalesce(F.col("day") < F.lit(end), F.lit(True)))
+        part.drop("day").write.mode("append").parquet(source)
+        stream = streams.read_event_files(spark, source, events.drop("day").schema)
+        streams.write_window_parts(stream, "ts", ["event_type"], path, path + "-state", batches_per_merge=2).awaitTermination()
+    return streams.read_window_parts(spark, path, ["event_type"]).select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n"
+    )
+
+
 @query
 def stream_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Lines of time and value as a text stream of several micro-batches, counted per minute."""
