@@ -173,7 +173,8 @@ def test_range_lookup_equals_a_loop(spark, rows):
     assert ranges.range_lookup(df.where("i < 5"), "p", everything, "lo", "hi", digits=8).where("name = 'all'").count() == 5
 
 
-def test_contained_names_equals_a_loop(spark, rows):
+@pytest.mark.parametrize("stretch", [1, 3, matching.STRETCH])
+def test_contained_names_equals_a_loop(spark, rows, stretch):
     rnd = random.Random(6)
     texts = ["".join(rnd.choices("abcde深圳", k=rnd.randrange(0, 12))) for _ in range(200)] + [None, "a"]
     names = list({"".join(rnd.choices("abcde深圳", k=rnd.randrange(1, 5))) for _ in range(25)})
@@ -184,8 +185,21 @@ def test_contained_names_equals_a_loop(spark, rows):
         inside = sorted((n for n in names if n in t), key=lambda n: (-len(n), n))
         if inside:
             want.append((t, inside[0], inside[0].upper()))
-    found = matching.contained_names(df, "t", dim, "name", matching.longest_name_first("name"))
+    found = matching.contained_names(df, "t", dim, "name", matching.longest_name_first("name"), stretch)
     assert rows(found) == sorted(want, key=repr)
+    assert matching.contained_names(df, "t", dim.limit(0), "name", matching.longest_name_first("name"), stretch).count() == 0
+
+
+def test_contained_names_in_a_text_of_a_megabyte(spark):
+    rnd = random.Random(8)
+    plain = "".join(rnd.choices("abcdef深", k=1_000_000))
+    cut = 512 * 1500
+    texts = [plain[: cut - 3] + "needle" + plain[cut:] + "NEEDLE", "needle", "none"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    dim = spark.createDataFrame([("needle",), ("NEEDLES",), ("a needle",), ("x",)], "name string")
+    found = matching.contained_names(df, "t", dim, "name", matching.longest_name_first("name"))
+    hits = found.join(df, "t").select("i", "name").collect()
+    assert sorted(tuple(r) for r in hits) == [(0, "needle"), (1, "needle")]
 
 
 def test_totals_and_uniques(spark, rows):

@@ -683,6 +683,8 @@ FROM {INTRADAY}"""
 
 # --- variants that reach more of the library ---------------------------------------------------
 
+ORACLE["deposit_hourly_large"] = ORACLE["deposit_hourly"]
+
 ORACLE["deposit_hourly_days"] = f"SELECT * FROM ({ORACLE['deposit_hourly']}) WHERE dt BETWEEN '1997-01-01' AND '1998-06-30'"
 
 ORACLE["streak_report"] = f"""

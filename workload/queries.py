@@ -171,6 +171,15 @@ def deposit_hourly(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def deposit_hourly_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a limit that the customers exceed, so that sums are joined instead of lines."""
+    return money.deposit_hourly(
+        t.order_credits(spark, sf), t.customers(spark, sf), _order_hours(spark), t.currencies(spark), LOAD_TIME,
+        broadcast_bytes=0,
+    )
+
+
 @query
 def deposit_hourly_days(spark: SparkSession, sf: str) -> DataFrame:
     """The daily runs of a range of days in one call."""
