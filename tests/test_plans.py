@@ -82,3 +82,12 @@ def test_addresses_are_looked_up_once_for_both_columns(spark):
     text = found._jdf.queryExecution().optimizedPlan().toString()
     # The facts are planned once: the window inside slices is there for the rows and for the borders, that over borders once.
     assert text.count("Window [") == 3
+
+
+def test_a_caller_that_needs_few_columns_reads_the_facts_once_too(spark):
+    found = contract.queries()["process_hourly"](spark, SF)
+    found.collect()
+    text = plan(found)
+    final = text[text.index("== Final Plan =="):text.index("== Initial Plan ==")]
+    # One scan names the addresses, one reads the steps.
+    assert len(re.findall(r"FileScan parquet .*events", final)) == 2

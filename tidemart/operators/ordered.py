@@ -45,11 +45,11 @@ def _neighbour(
     inside = sliced(df, keys, order, **widths).withColumn("_value", F.struct(value.alias("v"))).withColumns(
         {"_near": shift("_value").over(rows), "_after": F.lead(F.lit(True)).over(rows), "_before": F.lag(F.lit(True)).over(rows)}
     )
-    # What the neighbouring slice has to know is the value of the row at the border. The second condition always holds;
-    # it names every column, so that this reader needs the columns of the other one and both read one shuffle.
+    # What the neighbouring slice has to know is the value of the row at the border. The condition on all columns always
+    # holds; with it both readers need the same columns, whichever the caller uses later, so both read one shuffle.
     read = F.xxhash64(*[c for c in inside.columns if c not in ("_near", "_after", "_before")])
-    every = F.coalesce(F.nullif(read, F.lit(0)), F.lit(1)) != 0
-    border = F.col("_before" if forward else "_after").isNull() & every
+    inside = inside.where(F.coalesce(F.nullif(read, F.lit(0)), F.lit(1)) != 0)
+    border = F.col("_before" if forward else "_after").isNull()
     edges = inside.where(border).select(KEY, SLICE, "_value").select(
         KEY, SLICE, shift("_value").over(W.partitionBy(KEY).orderBy(SLICE)).alias("_edge")
     )
