@@ -89,5 +89,5 @@ def test_a_caller_that_needs_few_columns_reads_the_facts_once_too(spark):
     found.collect()
     text = plan(found)
     final = text[text.index("== Final Plan =="):text.index("== Initial Plan ==")]
-    # One scan names the addresses, one reads the steps.
-    assert len(re.findall(r"FileScan parquet .*events", final)) == 2
+    # The rows and the borders read one shuffle; beside the steps, a scan of two columns may name the addresses.
+    assert final.count("FileScan parquet") <= 2 and "ReusedExchange" in final
