@@ -22,8 +22,9 @@ Documents equal to an earlier one are found by hash beforehand; they go as a who
 Matches never cross documents, as texts are never joined. Documents are dealt into cells by hash of the id once, and
 Spark reuses that exchange for each of the passes over the texts.
 
-Edge cases: a null text is empty; texts below `LENGTH` bytes stay; a null id counts as the smallest; rows that repeat
-an id give one row, the smallest of their texts by bytes; other columns are ignored; an empty table gives an empty result.
+Edge cases: a null text is empty; texts below `LENGTH` bytes stay; a null id counts as the smallest; rows that share an
+id are documents of their own, in the order of their bytes, and go to one task; other columns are ignored; an empty table
+gives an empty result. Inside, such rows lie one after the other, a byte apart, in the positions of their id.
 """
 
 from __future__ import annotations
@@ -188,13 +189,21 @@ def _slices(groups: dict[int, dict[bytes, list[int]]]) -> Iterator[range]:
         yield range(begin, end)
 
 
-def _by_document(texts: pa.Table) -> dict[int, bytes]:
-    found: dict[int, bytes] = {}
+Row = tuple[int, int, bytes]  # id, where the text begins in the positions of its id, text
+
+
+def _rows(texts: pa.Table) -> list[Row]:
+    """The texts of a cell; those of one id in the order of their bytes, so that they never touch."""
+    of: dict[int, list[bytes]] = {}
     for i, text in zip(texts.column("doc_id").to_pylist(), texts.column("text").to_pylist()):
-        i = _NULL_ID if i is None else i
-        if i not in found or text < found[i]:
-            found[i] = text
-    return found
+        of.setdefault(_NULL_ID if i is None else i, []).append(text)
+    rows = []
+    for i, held in of.items():
+        begin = 0
+        for text in sorted(held):
+            rows.append((i, begin, text))
+            begin += len(text) + 1
+    return rows
 
 
 def _noted(notes: pa.Table, kind: str) -> np.ndarray:
@@ -202,14 +211,18 @@ def _noted(notes: pa.Table, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(packed), np.int64)
 
 
+def _copies_among(notes: pa.Table) -> set[tuple[int, int]]:
+    return set(map(tuple, _noted(notes, "copy").reshape(-1, 2).tolist()))
+
+
 _NOTE = "cell int, kind string, data binary"
 
 
-def _note_of_group(kind: str):
-    """One note for each (cell) group of rows with a `value` column."""
+def _note_of_group(kind: str, *columns: str):
+    """One note for each (cell) group of rows, with whole numbers from some columns."""
 
     def pack(key: tuple, rows: pa.Table) -> pa.Table:
-        data = rows.column("value").to_numpy().astype(np.int64).tobytes()
+        data = np.stack([rows.column(c).to_numpy() for c in columns], 1).astype(np.int64).tobytes()
         return pa.table({"cell": pa.array([key[0].as_py()], pa.int32()), "kind": [kind], "data": pa.array([data], pa.binary())})
 
     return pack
@@ -232,23 +245,28 @@ class Corpus:
         return F.pmod(F.xxhash64(plain), F.lit(self.cells)).cast("int")
 
     def _copies(self) -> DataFrame:
-        """Ids of the documents whose text an earlier one has, as notes to their cells."""
+        """The documents whose text an earlier one has, as notes to their cells."""
 
         def digest(rows: pa.Table) -> pa.Table:
-            found = _by_document(rows)
-            digests = [xxhash.xxh128_digest(t) for t in found.values()]
-            return pa.table({"doc_id": pa.array(found, pa.int64()), "digest": pa.array(digests, pa.binary())})
+            found = _rows(rows)
+            return pa.table(
+                {
+                    "doc_id": pa.array([i for i, _, _ in found], pa.int64()), "begin": pa.array([b for _, b, _ in found], pa.int64()),
+                    "digest": pa.array([xxhash.xxh128_digest(t) for _, _, t in found], pa.binary()),
+                }
+            )
 
-        known = self.texts.groupBy("cell").applyInArrow(digest, "doc_id long, digest binary")
-        first = known.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("held")).where("held > 1")
-        later = known.join(first, "digest").where("doc_id > first").select(F.col("doc_id").alias("value"))
-        return later.withColumn("cell", self._cell_of("value")).groupBy("cell").applyInArrow(_note_of_group("copy"), _NOTE)
+        place = F.struct("doc_id", "begin")
+        known = self.texts.groupBy("cell").applyInArrow(digest, "doc_id long, begin long, digest binary")
+        first = known.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("held")).where("held > 1")
+        later = known.join(first, "digest").where(place > F.col("first")).withColumn("cell", self._cell_of("doc_id"))
+        return later.groupBy("cell").applyInArrow(_note_of_group("copy", "doc_id", "begin"), _NOTE)
 
     def _pass(self, notes: DataFrame, work, schema: str) -> DataFrame:
-        """`work(cell, texts by id, notes)` on every cell; it returns an Arrow table."""
+        """`work(cell, rows of texts, notes)` on every cell; it returns an Arrow table."""
 
         def run(key: tuple, texts: pa.Table, noted: pa.Table) -> pa.Table:
-            return work(key[0].as_py(), _by_document(texts), noted)
+            return work(key[0].as_py(), _rows(texts), noted)
 
         return self.texts.groupBy("cell").cogroup(notes.groupBy("cell")).applyInArrow(run, schema)
 
@@ -256,9 +274,9 @@ class Corpus:
         """Hashes of anchors met twice, as notes (`twice`, or `often` above the limit) to the cells that have them."""
         buckets, frequent = self.buckets, self.frequent
 
-        def send(cell: int, texts: dict[int, bytes], notes: pa.Table) -> pa.Table:
-            copies = set(_noted(notes, "copy").tolist())
-            found = [anchors_of(np.frombuffer(t, np.uint8))[0] for i, t in texts.items() if i not in copies]
+        def send(cell: int, texts: list[Row], notes: pa.Table) -> pa.Table:
+            copies = _copies_among(notes)
+            found = [anchors_of(np.frombuffer(t, np.uint8))[0] for i, b, t in texts if (i, b) not in copies]
             hashes, counts = np.unique(np.concatenate([*found, np.empty(0, np.uint64)]), return_counts=True)
             bucket = (hashes % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
@@ -298,19 +316,19 @@ class Corpus:
         """The text around every anchor met `twice` (or `often`): `bucket`, `anchor`, `doc_id`, `start`, `off`, `piece`."""
         buckets = self.buckets
 
-        def cut(cell: int, texts: dict[int, bytes], notes: pa.Table) -> pa.Table:
-            copies = set(_noted(notes, "copy").tolist())
+        def cut(cell: int, texts: list[Row], notes: pa.Table) -> pa.Table:
+            copies = _copies_among(notes)
             wanted = np.unique(_noted(notes, kind).view(np.uint64))
             out: list[list] = [[], [], [], [], []]
-            for i, text in texts.items() if len(wanted) else ():
-                if i in copies:
+            for i, begin, text in texts if len(wanted) else ():
+                if (i, begin) in copies:
                     continue
                 found, at, first, last = anchors_of(np.frombuffer(text, np.uint8))
                 hit = wanted[np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)] == found
                 at, first, last = at[hit].tolist(), first[hit].tolist(), last[hit].tolist()
                 out[0].append(found[hit])
                 out[1] += [i] * len(at)
-                out[2] += first
+                out[2] += [begin + f for f in first]
                 out[3] += [a - f for a, f in zip(at, first)]
                 out[4] += [text[f : e + LENGTH] for f, e in zip(first, last)]
             hashes = np.concatenate([*out[0], np.empty(0, np.uint64)])
@@ -388,20 +406,18 @@ class Corpus:
         With `digest`: `n_bytes`, `n_removed`, `n_spans`, `kept_sha256` instead of the last two.
         """
 
-        def pack(key: tuple, rows: pa.Table) -> pa.Table:
-            data = np.stack([rows.column(c).to_numpy() for c in ("doc_id", "start", "end")], 1).astype(np.int64).tobytes()
-            return pa.table({"cell": pa.array([key[0].as_py()], pa.int32()), "kind": ["span"], "data": pa.array([data], pa.binary())})
-
-        def cut(cell: int, texts: dict[int, bytes], notes: pa.Table) -> pa.Table:
-            copies = set(_noted(notes, "copy").tolist())
+        def cut(cell: int, texts: list[Row], notes: pa.Table) -> pa.Table:
+            copies = _copies_among(notes)
             packed = _noted(notes, "span").reshape(-1, 3)
             spans = joined_spans(pa.table({"doc_id": packed[:, 0], "start": packed[:, 1], "end": packed[:, 2]}))
-            of: dict[int, list[tuple[int, int]]] = {i: [(0, len(texts[i]))] for i in copies if len(texts[i]) >= LENGTH}
+            of: dict[int, list[tuple[int, int]]] = {}
             for i, start, end in zip(*[spans.column(c).to_pylist() for c in ("doc_id", "start", "end")]):
                 of.setdefault(i, []).append((start, end))
             ids, rows = [], []
-            for i, text in texts.items():
-                gone = of.get(i, [])
+            for i, begin, text in texts:
+                gone = [(a - begin, e - begin) for a, e in of.get(i, ()) if begin <= a <= begin + len(text)]
+                if (i, begin) in copies and len(text) >= LENGTH:
+                    gone = [(0, len(text))]
                 edges = [0, *[e for span in gone for e in span], len(text)]
                 kept = b"".join([text[a:b] for a, b in zip(edges[::2], edges[1::2])])
                 ids.append(None if i == _NULL_ID else i)
@@ -417,7 +433,7 @@ class Corpus:
             made = pa.Table.from_pylist(rows, schema)
             return made.add_column(0, "doc_id", pa.array(ids, pa.int64()))
 
-        spans = self.spans().withColumn("cell", self._cell_of("doc_id")).groupBy("cell").applyInArrow(pack, _NOTE)
+        spans = self.spans().withColumn("cell", self._cell_of("doc_id")).groupBy("cell").applyInArrow(_note_of_group("span", "doc_id", "start", "end"), _NOTE)
         fields = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" if digest else "kept binary, spans array<struct<start:long,end:long>>"
         return self._pass(self.copies.unionByName(spans), cut, f"doc_id long, {fields}")
 
