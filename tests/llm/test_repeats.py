@@ -69,6 +69,61 @@ def test_groups_hold_all_occurrences_of_maximal_strings(spark):
     assert covered == set(range(1, len(f" begin {passage} end ") + 1))
 
 
+@pytest.mark.parametrize("frequent", [repeats.FREQUENT, 3])
+def test_occurrences_hold_every_equal_window(spark, frequent):
+    """Equal strings only, none twice in a group, and all places of each repeated window in one group."""
+    draw = random.Random(11)
+    new = lambda n: "".join(draw.choice("abc ") for _ in range(n))
+    shared = [new(n) for n in (100, 101, 180, 400)]
+    rows = [(i, "".join(draw.choice([new(30), draw.choice(shared), shared[3][draw.randint(1, 200) :]]) for _ in range(3))) for i in range(40)]
+    rows += [(100, rows[4][1]), (101, rows[4][1]), (102, "ab" * 120), (103, new(300)), (104, "x"), (105, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    groups = {}
+    for r in repeats.Corpus(docs, frequent=frequent).occurrences().collect():
+        groups.setdefault((r.group_id, r.length), []).append((r.doc_id, r.start))
+    texts, first, copies = dict(rows), {}, {}
+    for i, text in sorted(rows):
+        copies.setdefault(text, []).append(i)
+        first.setdefault(text, i)
+    around = {}
+    for (name, length), at in groups.items():
+        assert len({texts[i][s : s + length] for i, s in at}) == 1 and len(set(at)) == len(at) > 1
+        if ":" not in name:
+            assert [i for i, _ in sorted(at)] == copies[texts[at[0][0]]] and length == len(texts[at[0][0]])
+            continue
+        for shift in range(length - repeats.LENGTH + 1):
+            i, s = at[0]
+            around.setdefault(texts[i][s + shift : s + shift + repeats.LENGTH], []).append({(j, t + shift) for j, t in at})
+    windows = {}
+    for text, i in first.items():
+        for s in range(len(text) - repeats.LENGTH + 1):
+            windows.setdefault(text[s : s + repeats.LENGTH], set()).add((i, s))
+    repeated = {w: at for w, at in windows.items() if len(at) > 1}
+    assert repeated and set(around) == set(repeated)
+    assert all(at in around[w] for w, at in repeated.items())
+    assert any(len(at) >= 3 and ":" not in name for (name, _), at in groups.items())
+
+
+def test_distinct_pieces_apart_by_distance_give_the_same_groups(monkeypatch):
+    held = {}
+    for _, text in corpus(6):
+        text = (text or "").encode()
+        for a, p, f, e in zip(*[x.tolist() for x in repeats.anchors_of(np.frombuffer(text, np.uint8))]):
+            key = (int(np.uint64(a).view(np.int64)), p - f, text[f : e + repeats.LENGTH])
+            held[key] = held.get(key, 0) + 1
+    anchors, offs, pieces = map(list, zip(*held))
+
+    def places():
+        found = repeats._groups_of_distinct(anchors, np.array(offs), pieces, list(held.values()))
+        return {frozenset((int(i), int(s) + k) for i, s in zip(of, at)) for n, of, at in found for k in range(n - repeats.LENGTH + 1)}
+
+    together = places()
+    monkeypatch.setattr(repeats, "TOGETHER", 1)
+    apart = places()
+    largest = lambda sets: {max((s for s in sets if w in s), key=len) for w in set().union(*sets)}
+    assert together and largest(apart) == largest(together)
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_maximal_repeats_equal_all_pairs(seed):
     draw = random.Random(seed)

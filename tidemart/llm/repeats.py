@@ -189,6 +189,35 @@ def _slices(groups: dict[int, dict[bytes, list[int]]]) -> Iterator[range]:
         yield range(begin, end)
 
 
+def _groups_of_distinct(
+    anchors: list[int], offs: np.ndarray, pieces: list[bytes], held: list[int]
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, pieces and starts in them of the repeats among the distinct pieces of a bucket.
+
+    A piece that is `held` more than once is a group by itself, unless a group of several pieces holds it whole.
+    """
+    groups: dict[int, dict[bytes, list[int]]] = {}
+    for i in sorted(range(len(pieces)), key=lambda i: (anchors[i], pieces[i])):
+        groups.setdefault(anchors[i], {}).setdefault(pieces[i], []).append(i)
+    among = np.array([at[0] for same in groups.values() if len(same) > 1 for at in same.values()], np.int64)
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    whole: set[int] = set()
+    for some in _slices(groups):
+        first = among[some.start : some.stop]
+        chosen = [pieces[i] for i in first]
+        if len(chosen) <= TOGETHER:
+            arrays = [maximal_repeats(chosen)]
+        else:
+            arrays = (maximal_repeats(chosen, starts=offs[first] - far) for far in range(int(offs[first].max()) + 1))
+        for length, owner, start in chain.from_iterable(arrays):
+            owner = first[owner]
+            whole.update(owner[(start == 0) & (sizes[owner] == length)].tolist())
+            yield length, owner, start
+    for i, count in enumerate(held):
+        if count > 1 and i not in whole:
+            yield len(pieces[i]), np.array([i]), np.array([0])
+
+
 Row = tuple[int, int, bytes]  # id, where the text begins in the positions of its id, text
 
 
@@ -358,6 +387,52 @@ class Corpus:
 
         return self._pieces("twice").groupBy("bucket").applyInArrow(scan, "length int, doc_ids array<long>, starts array<long>")
 
+    def occurrences(self) -> DataFrame:
+        """`group_id`, `length`, `doc_id`, `start`: every maximal repeat of the pieces, a row for each of its occurrences.
+
+        Anchors of any frequency take part. Suffix arrays hold distinct pieces only, with their numbers, and the places of
+        the pieces are joined to the groups afterwards, so a passage that a third of all documents share is one row in a
+        task. A task grows with the distinct pieces of an anchor. Documents with the text of an earlier one (of at least
+        `LENGTH` bytes) are in a group of whole texts and not again in the groups of the strings in them.
+        """
+
+        def scan(rows: pa.Table) -> pa.Table:
+            anchors, pieces, held = [rows.column(c).to_pylist() for c in ("anchor", "piece", "held")]
+            found = list(_groups_of_distinct(anchors, rows.column("off").to_numpy(), pieces, held))
+            sizes = [len(g[1]) for g in found]
+            owner = np.concatenate([*[g[1] for g in found], np.empty(0, np.int64)]).astype(np.int64)
+            bucket = rows.column("bucket")[0].as_py()
+            group_ids = np.repeat(np.array([f"{bucket}:{n}" for n in range(len(found))], object), sizes)
+            return pa.table(
+                {
+                    **{c: rows.column(c).take(pa.array(owner)) for c in ("anchor", "off", "piece_id")},
+                    "group_id": pa.array(group_ids, pa.string()),
+                    "length": pa.array(np.repeat(np.array([g[0] for g in found], np.int64), sizes), pa.int64()),
+                    "at": pa.array(np.concatenate([*[g[2] for g in found], np.empty(0, np.int64)]).astype(np.int64), pa.int64()),
+                }
+            )
+
+        def whole(rows: pa.Table) -> pa.Table:
+            found = [(i, b, t) for i, b, t in _rows(rows) if len(t) >= LENGTH]
+            return pa.table(
+                {
+                    "group_id": pa.array([xxhash.xxh128_hexdigest(t) for _, _, t in found], pa.string()),
+                    "length": pa.array([len(t) for _, _, t in found], pa.int64()),
+                    "doc_id": pa.array([i for i, _, _ in found], pa.int64()), "start": pa.array([b for _, b, _ in found], pa.int64()),
+                }
+            )
+
+        pieces = self._pieces("twice").unionAll(self._pieces("often")).withColumn("piece_id", F.md5("piece"))
+        key = ["anchor", "off", "piece_id"]
+        distinct = pieces.groupBy("bucket", *key, "piece").agg(F.count("*").alias("held"))
+        groups = distinct.groupBy("bucket").applyInArrow(scan, "anchor long, off int, piece_id string, group_id string, length long, at long")
+        placed = groups.join(pieces.select(*key, "doc_id", "start"), key)
+        inside = placed.select("group_id", "length", "doc_id", (F.col("start") + F.col("at")).alias("start"))
+        texts = self.texts.groupBy("cell").applyInArrow(whole, "group_id string, length long, doc_id long, start long")
+        copied = texts.groupBy("group_id").agg(F.count("*").alias("held")).where("held > 1").select("group_id")
+        same = texts.join(copied, "group_id").select("group_id", "length", "doc_id", "start")
+        return inside.unionAll(same).withColumn("doc_id", F.expr(f"nullif(doc_id, {_NULL_ID})"))
+
     def _spans_of_ordinary(self) -> DataFrame:
         def scan(rows: pa.Table) -> pa.Table:
             ids, starts, ends = [], [], []
