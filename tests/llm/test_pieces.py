@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -67,3 +68,19 @@ def test_awkward_rows(awkward, no_documents):
     assert found[2].ids == [] and found[3].text == "" and found[None].text == "no id here" and found[5].text == "\n\n \t\n"
     assert pieces.encode_texts(awkward, MODEL).count() == 7
     assert pieces.encode_texts(no_documents, MODEL, digest=True).count() == 0
+
+
+def test_python_workers_keep_no_words_between_tasks(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(4)
+    first = {r.doc_id: r.ids for r in pieces.encode_texts(docs, MODEL).collect()}
+    assert {r.doc_id: r.ids for r in pieces.encode_texts(docs, MODEL).collect()} == first
+
+    def look(batches):
+        from tidemart.llm import common
+
+        for batch in batches:
+            for machine in common._KEPT.get("tidemart.llm.pieces", {}).values():
+                yield pa.RecordBatch.from_pydict({"kept": [len(machine.spaced) + len(machine.inner) + len(machine.apart)]})
+
+    found = [r.kept for r in spark.range(0, 16, 1, 16).mapInArrow(look, "kept long").collect()]
+    assert found and not any(found)  # the machines stay, what they learned from texts does not

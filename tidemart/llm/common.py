@@ -41,11 +41,26 @@ def kept(operator: str, key: Hashable, make: Callable[[], Any]) -> Any:
     return mine[key]
 
 
+def end(operator: str) -> None:
+    """Called where a task of an operator ends: what it keeps for one task only goes.
+
+    An idle Python worker's memory counts as the executor's, next to that of the JVM and of other workers.
+    """
+    for thing in _KEPT.get(operator, {}).values():
+        if hasattr(thing, "forget"):
+            thing.forget()
+    pa.default_memory_pool().release_unused()
+
+
 class Bounded(dict):
     """A dictionary that takes no more entries once they hold so many bytes."""
 
     def __init__(self, limit: int):
-        self.room = limit
+        self.limit = self.room = limit
+
+    def forget(self) -> None:
+        self.clear()
+        self.room = self.limit
 
     def keep(self, key: Any, value: Any) -> None:
         if self.room > 0:
@@ -84,9 +99,12 @@ def map_batches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin(operator)
-        for batch in batches:
-            if batch.num_rows:
-                yield from in_pieces(batch, work)
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    yield from in_pieces(batch, work)
+        finally:
+            end(operator)
 
     return df.mapInArrow(run, schema)
 

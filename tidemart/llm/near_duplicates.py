@@ -65,7 +65,7 @@ class Words(Bounded):
 
 
 def words() -> Words:
-    """Kept by the Python worker from task to task."""
+    """Kept by the Python worker until its task ends."""
     return kept(__name__, "words", lambda: Words(KEPT_BYTES))
 
 

@@ -14,7 +14,7 @@ Only models without a character map (identity normalisation) are compiled; other
 
 The input is cut where no path can cross: before a run of marks, and between two characters that no piece holds
 side by side. The paths of such chunks are kept in dictionaries of at most `KEPT_BYTES` (and a fifth of that), so frequent words are composed once
-for each Python worker.
+for each task; between tasks a Python worker keeps only the machines.
 
 Edge cases: null or empty text has no ids and decodes to the empty text; repeated rows give a row each; other columns
 are ignored; an empty table gives an empty result. Work is linear in the text's length.
@@ -23,6 +23,7 @@ are ignored; an empty table gives an empty result. Work is linear in the text's
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from array import array
 from hashlib import sha256
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from .common import Bounded, id_and_text, kept, map_batches
 
 MARK = "▁"
-KEPT_BYTES = 80 << 20
+KEPT_BYTES = 40 << 20
 KEPT_PAIRS = 100_000
 _RUNS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -107,7 +108,7 @@ class Transducer:
                 return None
             at = found.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            steps.append((best, parts[0], parts[-1]))
+            steps.append((best, sys.intern(parts[0]), sys.intern(parts[-1])))
         return steps
 
     def _follows(self, left: str, right: str) -> bool:
@@ -227,6 +228,12 @@ class Transducer:
             return b"".join(map(self.spaced.__getitem__, words))
         return self.inner[words[0]] + b"".join(map(self.spaced.__getitem__, words[1:]))
 
+    def forget(self) -> None:
+        """Drop all that was learned from texts; the machines stay."""
+        self.inner.forget()
+        self.spaced.forget()
+        self.apart.clear()
+
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.emitted.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
