@@ -84,3 +84,47 @@ def test_python_workers_keep_no_words_between_tasks(spark):
 
     found = [r.kept for r in spark.range(0, 16, 1, 16).mapInArrow(look, "kept long").collect()]
     assert found and not any(found)  # the machines stay, what they learned from texts does not
+
+
+def test_words_are_composed_once_whatever_stands_behind_them(library):
+    machine = pieces.Transducer(MODEL)
+    words, behind = ["heart", "nation", "Über", "élan", "речка"], [".", ",", "!!", ".\nIs", ";", "123", "?)", "中", "$$$"]
+    text = " ".join(w + b for w in words for b in behind)
+    assert np.frombuffer(machine.encode(text), machine.width).tolist() == library.encode(text)
+    # ".\nIs" is three chunks, of which one is met by itself
+    assert len(machine.spaced) + len(machine.inner) == len(words) + len(behind) + 1
+
+
+def test_runs_without_a_blank_equal_the_library(machine, library):
+    draw = random.Random(11)
+    for _ in range(500):
+        n = draw.choice([3, 31, 32, 33, 200])
+        text = "".join(draw.choice(["the", "ção", "речка", "ёж", "获取", "据", "ال", "══", "...", "}$.", "_", "9", "\r\n", "²", "Ж1", "🙂", " ▁"]) for _ in range(n))
+        ids = np.frombuffer(machine.encode(text), machine.width).tolist()
+        assert ids == library.encode(text), text
+        assert machine.decode(np.array(ids, int)) == library.decode(ids), text
+
+
+@pytest.mark.parametrize("prefix", [True, False])
+def test_unigram_model_equals_the_library(tmp_path, prefix):
+    from sentencepiece import sentencepiece_model_pb2
+
+    draw = random.Random(5)
+    model = sentencepiece_model_pb2.ModelProto()
+    model.trainer_spec.model_type, model.trainer_spec.byte_fallback = model.trainer_spec.UNIGRAM, True
+    model.normalizer_spec.name, model.normalizer_spec.add_dummy_prefix = "identity", prefix
+    model.normalizer_spec.remove_extra_whitespaces = False
+    kinds = model.SentencePiece
+    for name, kind in [("<unk>", kinds.UNKNOWN), ("<s>", kinds.CONTROL), ("</s>", kinds.CONTROL)]:
+        model.pieces.add(piece=name, score=0, type=kind)
+    for value in range(256):
+        model.pieces.add(piece=f"<0x{value:02X}>", score=0, type=kinds.BYTE)
+    names = {draw.choice(["", "▁"]) + "".join(draw.choice("abcd") for _ in range(draw.randint(1, 4))) for _ in range(120)}
+    for name in sorted(names | set("abc.▁") | {"..", "▁▁", ".,"}):
+        model.pieces.add(piece=name, score=-draw.randint(8, 96) / 8, type=kinds.NORMAL)
+    file = tmp_path / "unigram.model"
+    file.write_bytes(model.SerializeToString())
+    machine, library = pieces.Transducer(str(file)), sentencepiece.SentencePieceProcessor(model_file=str(file))
+    for _ in range(1000):
+        text = "".join(draw.choice("aabbccdd  .,é") for _ in range(draw.randint(0, 60)))
+        assert np.frombuffer(machine.encode(text), machine.width).tolist() == library.encode(text), text

@@ -13,8 +13,10 @@ merging gives the one segmentation whose neighbours are all of that sort, so one
 Only models without a character map (identity normalisation) are compiled; others raise.
 
 The input is cut where no path can cross: before a run of marks, and between two characters that no piece holds
-side by side. The paths of such chunks are kept in dictionaries of at most `KEPT_BYTES` (and a fifth of that), so frequent words are composed once
-for each task; between tasks a Python worker keeps only the machines.
+side by side. One regular expression makes most of these cuts: characters side by side in some piece, directly or by way
+of others, are an alphabet, and a chunk is a run of one alphabet with the marks before it. A word and the punctuation
+behind it are two chunks, so fewer different ones are met. Their paths are kept in dictionaries of at most `KEPT_BYTES`
+(and a fifth of that), so frequent words are composed once for each task; between tasks a Python worker keeps only the machines.
 
 Edge cases: null or empty text has no ids and decodes to the empty text; repeated rows give a row each; other columns
 are ignored; an empty table gives an empty result. Work is linear in the text's length.
@@ -25,7 +27,8 @@ from __future__ import annotations
 import re
 import sys
 import zlib
-from array import array
+from collections import defaultdict
+from collections.abc import Callable
 from hashlib import sha256
 from itertools import pairwise
 
@@ -38,18 +41,19 @@ from .common import Bounded, id_and_text, kept, map_batches
 MARK = "▁"
 KEPT_BYTES = 40 << 20
 KEPT_PAIRS = 100_000
-_RUNS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+ALPHABETS = 8  # so many have a run of their own, all other characters share one
+SHORT = 32  # characters of a chunk that is not cut further
 
 
 class Chunks(Bounded):
-    """Packed ids by chunk (the mark left out of the key)."""
+    """Packed ids by chunk, with blanks for its marks (a string of Latin letters is half as long then)."""
 
-    def __init__(self, mark: str, machine: Transducer, limit: int):
+    def __init__(self, encode: Callable[[str], bytes], limit: int):
         super().__init__(limit)
-        self.mark, self.machine = mark, machine
+        self.encode = encode
 
     def __missing__(self, chunk: str) -> bytes:
-        found = self.machine.packed(self.mark + chunk)
+        found = self.encode(chunk.replace(" ", MARK))
         self.keep(chunk, found)
         return found
 
@@ -84,20 +88,58 @@ class Transducer:
         self.trie = self._trie()
         self.longest = max(map(len, self.pieces), default=0)
         self.apart: dict[tuple[str, str], bool] = {}
-        self.inner = Chunks("", self, limit // 5)  # chunks that begin a text or follow a cut
-        self.spaced = Chunks(MARK, self, limit)  # words with the mark before them
+        self.runs = self._runs()
+        self.spaced = Chunks(self.packed, limit)  # runs of one alphabet with the marks before them
+        self.inner = Chunks(self.shortest_path, limit // 5)  # parts of long ones
+
+    def _runs(self) -> re.Pattern:
+        """Cuts a text with blanks for marks into runs of one alphabet, each with the blanks before it."""
+        names: dict[str, str] = {}
+
+        def name(c: str) -> str:
+            while names.setdefault(c, c) != c:
+                c = names[c]
+            return c
+
+        for a, b in self.beside:
+            if MARK not in (a, b):
+                names[name(a)] = name(b)
+        alphabets = defaultdict(list)
+        for c in sorted(names):
+            alphabets[name(c)].append(re.escape(c))
+        classes = ["".join(a) for a in sorted(alphabets.values(), key=len, reverse=True)[:ALPHABETS]]
+        runs = [*(f"[{c}]+" for c in classes), f"[^ {''.join(classes)}]+"]
+        return re.compile(f" *(?:{'|'.join(runs)})| +")
 
     def _trie(self) -> dict:
-        """Pieces by their characters; those that merging itself never makes have no arc."""
+        """Pieces by their characters; those that merging itself never makes have no arc.
+
+        Every node holds the arcs of all pieces on the way to it, longest first: characters, piece, weight, packed ids.
+        """
         root: dict = {}
         for piece, i in self.pieces.items():
             if not self.merging or self.steps[piece] is not None:
                 node = root
                 for c in piece:
                     node = node.setdefault(c, {})
-                node[""] = (piece, 1.0 if self.merging else -self.scores[piece], (i,))
+                node[""] = ((len(piece), piece, 1.0 if self.merging else -self.scores[piece], self._pack([i])),)
+        root[""] = ()
+        nodes = [(c, node, ()) for c, node in root.items() if c]
+        while nodes:
+            c, node, before = nodes.pop()
+            if not before and c not in self.pieces:
+                before = (self._fallback(c),)
+            found = node[""] = node.get("", ()) + before
+            nodes += [(c, below, found) for c, below in node.items() if c]
         return root
 
+    def _pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.width).tobytes()
+
+    def _fallback(self, c: str) -> tuple[int, str, float, bytes]:
+        """The arc of a character without a piece."""
+        return 1, c, self.fallback_weight, self._pack([self.bytes[b] for b in c.encode()] if self.bytes else [self.unknown])
+
     def _steps(self, piece: str) -> list[tuple[float, str, str]] | None:
         """Merges that build a piece, in order: score, then first and last part afterwards; None if they do not."""
         scores, parts, steps = self.scores, list(piece), [(0.0, piece[0], piece[-1])]
@@ -143,90 +185,71 @@ class Transducer:
             else:
                 return True
 
-    def _arcs(self, chunk: str, i: int) -> list[tuple[int, tuple[str, float, tuple[int, ...]]]]:
-        """Arcs of the lattice that leave a position, shortest first: position behind, then piece, weight and ids."""
-        arcs, node, j = [], self.trie, i
+    def _arcs(self, chunk: str, i: int) -> tuple[tuple[int, str, float, bytes], ...]:
+        """Arcs of the lattice that leave a position, longest first: characters, piece, weight and packed ids."""
+        node = self.trie
         for c in chunk[i : i + self.longest]:
-            node = node.get(c)
-            if node is None:
+            below = node.get(c)
+            if below is None:
                 break
-            j += 1
-            closing = node.get("")
-            if closing is not None:
-                arcs.append((j, closing))
-        if chunk[i] not in self.pieces:
-            found = tuple([self.bytes[b] for b in chunk[i].encode()]) if self.bytes else (self.unknown,)
-            arcs.append((i + 1, (chunk[i], self.fallback_weight, found)))
-        return arcs
-
-    def shortest_path(self, chunk: str) -> list[int]:
-        """Ids on the cheapest path of the lattice of one chunk (already normalised)."""
+            node = below
+        return node[""] or (self._fallback(chunk[i]),)
+
+    def shortest_path(self, chunk: str) -> bytes:
+        """Packed ids on the cheapest path of the lattice of one chunk (already normalised)."""
         return self._only_path(chunk) if self.merging else self._cheapest_path(chunk)
 
-    def _only_path(self, chunk: str) -> list[int]:
+    def _only_path(self, chunk: str) -> bytes:
         """The path through the states (position, last piece) of a model of byte-pair kind.
 
         One path reaches the end, so the first that does is the shortest: states are tried depth first, long pieces
         before short ones, and a state that led nowhere is not tried again.
         """
-        length, follows, arcs_of = len(chunk), self._follows, self._arcs
-        arcs: list = [None] * length
-        path, i, last, dead = [], 0, "", set()
-        open_ = arcs[0] = arcs_of(chunk, 0)
-        at = len(open_)
+        length, apart, arcs_of = len(chunk), self.apart, self._arcs
+        path, i, last, dead, arcs = [], 0, "", set(), iter(arcs_of(chunk, 0))
         while True:
-            while at:
-                at -= 1
-                j, (piece, _, ids) = open_[at]
-                if follows(last, piece) and (j, piece) not in dead:
+            for size, piece, _, ids in arcs:
+                known = apart.get((last, piece)) if last else True
+                if (self._follows(last, piece) if known is None else known) and (not dead or (i + size, piece) not in dead):
                     break
             else:
                 dead.add((i, last))
-                ids, i, last, at = path.pop()
-                open_ = arcs[i]
+                ids, i, last, arcs = path.pop()
                 continue
-            path.append((ids, i, last, at))
-            if j == length:
-                return [number for step in path for number in step[0]]
-            i, last = j, piece
-            open_ = arcs[i]
-            if open_ is None:
-                open_ = arcs[i] = arcs_of(chunk, i)
-            at = len(open_)
-
-    def _cheapest_path(self, chunk: str) -> list[int]:
+            path.append((ids, i, last, arcs))
+            i += size
+            if i == length:
+                return b"".join([step[0] for step in path])
+            last, arcs = piece, iter(arcs_of(chunk, i))
+
+    def _cheapest_path(self, chunk: str) -> bytes:
         """The path of least weight in a model of unigram kind, position by position."""
-        best: list[tuple | None] = [(0.0, 0, ())] + [None] * len(chunk)
+        best: list[tuple | None] = [(0.0, 0, b"")] + [None] * len(chunk)
         for i in range(len(chunk)):
             if best[i] is not None:
-                for j, (_, weight, ids) in self._arcs(chunk, i):
+                for size, _, weight, ids in self._arcs(chunk, i):
                     cost = best[i][0] + weight
-                    if best[j] is None or cost < best[j][0]:
-                        best[j] = (cost, i, ids)
+                    if best[i + size] is None or cost < best[i + size][0]:
+                        best[i + size] = (cost, i, ids)
         i, arcs = len(chunk), []
         while i:
             _, i, ids = best[i]
             arcs.append(ids)
-        return [number for ids in reversed(arcs) for number in ids]
+        return b"".join(reversed(arcs))
 
     def packed(self, chunk: str) -> bytes:
-        """Ids of one chunk, cut further where no piece can cross."""
-        cuts = [i for i, pair in enumerate(pairwise(chunk), 1) if pair not in self.beside]
+        """Packed ids of one chunk; a long one is cut further where no piece can cross."""
+        cuts = [i for i, pair in enumerate(pairwise(chunk), 1) if pair not in self.beside] if len(chunk) > SHORT else []
         if not cuts:
-            return array(self.width.char, self.shortest_path(chunk)).tobytes()
+            return self.shortest_path(chunk)
         known = self.inner
-        return b"".join([known[chunk[a:b]] for a, b in pairwise([0, *cuts, len(chunk)])])
+        return b"".join([known[chunk[a:b].replace(MARK, " ")] for a, b in pairwise([0, *cuts, len(chunk)])])
 
     def encode(self, text: str) -> bytes:
         """Packed ids of a text."""
         if not text:
             return b""
-        words = text.split(" ")
-        if "" in words or MARK in text:  # runs of blanks are a chunk together with the word behind them
-            return b"".join(map(self.inner.__getitem__, _RUNS.findall(MARK * self.prefix + text.replace(" ", MARK))))
-        if self.prefix:
-            return b"".join(map(self.spaced.__getitem__, words))
-        return self.inner[words[0]] + b"".join(map(self.spaced.__getitem__, words[1:]))
+        return b"".join(map(self.spaced.__getitem__, self.runs.findall(" " * self.prefix + text.replace(MARK, " "))))
 
     def forget(self) -> None:
         """Drop all that was learned from texts; the machines stay."""
